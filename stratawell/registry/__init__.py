@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-GROUPS = ("clean", "windows", "gold")
+GROUPS = ("clean", "windows", "gold", "views", "quality")
 
 
 def all_queries():
