@@ -33,10 +33,9 @@ def apply_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
         )
     )
     worst = F.lit(None).cast("string")
+    levels = F.transform("_hit", lambda h: h["severity"])
     for level in reversed(SEVERITIES):
-        worst = F.when(
-            F.exists("_hit", lambda h, level=level: h["severity"] == level), level
-        ).otherwise(worst)
+        worst = F.when(F.array_contains(levels, level), level).otherwise(worst)
     return (
         df.withColumn("_hit", hit)
         .withColumn("failure_reasons", F.transform("_hit", lambda h: h["reason"]))

@@ -25,8 +25,8 @@ class Lake:
         return f"{self.root.rstrip('/')}/{table.replace('.', '/')}"
 
     def exists(self, table: str) -> bool:
-        path = _hadoop_path(self.spark, self.path(table))
-        return _file_system(self.spark, path).exists(path)
+        path = hadoop_path(self.spark, self.path(table))
+        return file_system(self.spark, path).exists(path)
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
@@ -86,12 +86,12 @@ class Lake:
             return
         old = self.read(table)
         kept = old.filter((F.col(partition) == first.year) & (F.col(time) < F.lit(first)))
-        written = self._years(batch, partition)
+        written = self.years(batch, partition)
         if not kept.isEmpty():
             written.add(first.year)
-        stale = self._years(old.filter(F.col(partition) >= first.year), partition) - written
+        stale = self.years(old.filter(F.col(partition) >= first.year), partition) - written
         merged = kept.unionByName(batch.select(*kept.columns))
-        self._overwrite_partitions(table, merged, partition, cluster_by)
+        self.overwrite_partitions(table, merged, partition, cluster_by)
         for year in stale:
             self._drop_partition(table, partition, year)
 
@@ -111,38 +111,42 @@ class Lake:
         if not self.exists(table):
             self.refresh(table, latest_per_key(batch, keys, newest_first), [partition], cluster_by)
             return
-        touched = self._years(batch, partition)
+        touched = self.years(batch, partition)
         old = self.read(table).filter(F.col(partition).isin(list(touched)))
         marked = old.withColumn("_new", F.lit(0)).unionByName(
             batch.select(*old.columns).withColumn("_new", F.lit(1))
         )
         merged = latest_per_key(marked, keys, [F.desc("_new"), *newest_first]).drop("_new")
-        self._overwrite_partitions(table, merged, partition, cluster_by)
+        self.overwrite_partitions(table, merged, partition, cluster_by)
 
     def retain_years(
         self, table: str, years: int, as_of_year: int, partition: str = "date_year"
     ) -> list[int]:
         """Drop whole partitions older than ``years`` years; returns what was dropped."""
-        old = [y for y in self._years(self.read(table), partition) if y <= as_of_year - years]
+        old = [y for y in self.years(self.read(table), partition) if y <= as_of_year - years]
         for year in old:
             self._drop_partition(table, partition, year)
         return sorted(old)
 
-    # ---- helpers -------------------------------------------------------------------------------
+    # ---- partitions ----------------------------------------------------------------------------
 
     @staticmethod
-    def _years(df: DataFrame, partition: str) -> set:
+    def years(df: DataFrame, partition: str = "date_year") -> set:
+        """Distinct partition values, one per calendar year."""
         years = df.select(partition).filter(F.col(partition).isNotNull()).distinct()
         return {r[0] for r in years.collect()}
 
-    def _overwrite_partitions(self, table, df, partition, cluster_by) -> None:
+    def overwrite_partitions(
+        self, table: str, df: DataFrame, partition: str, cluster_by: Sequence[str] = ()
+    ) -> None:
+        """Replace the partitions ``df`` has rows for; ``df`` may read the same table."""
         clustered(df, [partition], cluster_by).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(partition).parquet(self.path(table))
 
     def _drop_partition(self, table: str, partition: str, value) -> None:
-        path = _hadoop_path(self.spark, f"{self.path(table)}/{partition}={value}")
-        _file_system(self.spark, path).delete(path, True)
+        path = hadoop_path(self.spark, f"{self.path(table)}/{partition}={value}")
+        file_system(self.spark, path).delete(path, True)
 
 
 def clustered(
@@ -163,18 +167,18 @@ def create_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _file_system(spark: SparkSession, path):
+def file_system(spark: SparkSession, path):
     return path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def _swap(spark: SparkSession, staging: str, target: str) -> None:
-    new, old = _hadoop_path(spark, staging), _hadoop_path(spark, target)
-    fs = _file_system(spark, old)
-    retired = _hadoop_path(spark, target + "__old")
+    new, old = hadoop_path(spark, staging), hadoop_path(spark, target)
+    fs = file_system(spark, old)
+    retired = hadoop_path(spark, target + "__old")
     fs.mkdirs(old.getParent())
     if fs.exists(old):
         fs.delete(retired, True)

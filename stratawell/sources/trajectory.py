@@ -14,6 +14,7 @@ TRAJECTORY_DDL = (
     f"nameWellbore STRING, trajectoryStation {STATION_DDL}"
 )
 CORRUPT = "_corrupt_record"
+LAYOUT = r"/([^/.]+)/[0-9]+/trajectory/[^/]+$"
 
 # Tags every document type shares, and the element one document stands in.
 UNIVERSAL_TAGS = ("name", "dTimCreation", "dTimLastChange", "priv_dTimReceived", "sourceName")
@@ -45,11 +46,13 @@ def read_trajectories(
     root: str,
     wells: Sequence[str] = WELLS_IN_SCOPE,
     pattern: str = "*/[0-9]*/trajectory/*",
+    layout: str = LAYOUT,
 ) -> DataFrame:
     """Trajectory documents below ``root/<well folder>/<number>/trajectory/``.
 
     One scan over all matching files; well and wellbore come from the path. The explicit schema
-    makes the stations an array even where a document has only one.
+    makes the stations an array even where a document has only one. ``pattern`` and ``layout``
+    describe other folder structures; the first group of ``layout`` is the well folder.
     """
     docs = (
         spark.read.format("xml")
@@ -59,7 +62,6 @@ def read_trajectories(
         .load(f"{root.rstrip('/')}/{pattern}")
         .withColumn("_path", file_path())
     )
-    layout = r"/([^/.]+)/([0-9]+)/trajectory/[^/]+$"
     return (
         docs.filter(F.col("_path").rlike(layout))
         .withColumn("well_id", well_of_folder(F.regexp_extract("_path", layout, 1), wells))
