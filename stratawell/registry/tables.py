@@ -35,6 +35,13 @@ def full_refresh(spark, sf):
     return content(lake).withColumn("n_written", F.lit(n).cast("long"))
 
 
+@query("recluster", f"WITH {SILVER_SQL} SELECT {PICK} FROM silver")
+def recluster(spark, sf):
+    lake, _ = lake_with_silver(spark, sf)
+    lake.recluster("silver.production", ["date_year"], CLUSTER)
+    return content(lake)
+
+
 @query(
     "window_reload",
     f"""WITH {SILVER_SQL}, first AS (

@@ -57,7 +57,8 @@ class Lake:
         """
         target, staging = self.path(table), self.path(table) + "__staging"
         counted = Observation()
-        out = clustered(df.observe(counted, F.count(F.lit(1)).alias("n")), partition_by, cluster_by)
+        out = clustered(df, partition_by, cluster_by)
+        out = out.observe(counted, F.count(F.lit(1)).alias("n"))
         out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             *partition_by
         ).parquet(staging)
@@ -128,6 +129,22 @@ class Lake:
             self._drop_partition(table, partition, year)
         return sorted(old)
 
+    def recluster(
+        self, table: str, partition_by: Sequence[str], cluster_by: Sequence[str]
+    ) -> None:
+        """Rewrite a stored table so that each file covers a narrow range of the keys.
+
+        The range shuffle samples its input first, which is cheap for a stored table. Partition
+        and clustering keys are ranged together, so one large year or entity becomes many files.
+        """
+        keys = [*partition_by, *cluster_by]
+        rows = self.read(table).repartitionByRange(*keys).sortWithinPartitions(*keys)
+        staging = self.path(table) + "__staging"
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            *partition_by
+        ).parquet(staging)
+        _swap(self.spark, staging, self.path(table))
+
     # ---- partitions ----------------------------------------------------------------------------
 
     @staticmethod
@@ -152,15 +169,15 @@ class Lake:
 def clustered(
     df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Order rows for the write, so that files carry narrow key ranges.
+    """Order rows for the write: files of even size, sorted by the clustering keys.
 
-    The range shuffle is on partition and clustering keys together: a year or an entity with many
-    rows is cut into several files of even size.
+    The rebalance lets Spark split a partition that is large and join those that are small, by
+    their size at run time.
     """
     if not cluster_by:
         return df
-    keys = [*partition_by, *cluster_by]
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    spread = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    return spread.sortWithinPartitions(*partition_by, *cluster_by)
 
 
 def create_schema(spark: SparkSession, name: str) -> None:
