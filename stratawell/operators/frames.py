@@ -25,6 +25,7 @@ from stratawell.config import PRODUCTION, Series
 from stratawell.session import BROADCAST_ROWS, is_small, materialize
 
 MAX_ENTITY_ROWS = 2_000_000
+BUCKETS = ("day", "hour", "minute", "second")  # calendar buckets, widest first
 
 
 @dataclass(frozen=True)
@@ -80,7 +81,6 @@ def with_frames(
     measures: Sequence[Measure],
     series: Series = PRODUCTION,
     max_rows: int = MAX_ENTITY_ROWS,
-    bucket: str = "day",
     strategy: str = "auto",
 ) -> DataFrame:
     """Add one column per measure.
@@ -90,16 +90,39 @@ def with_frames(
     """
     if strategy == "plain" or (strategy == "auto" and is_small(df)):
         return _plain(df, measures, series)
-    profile = _bucket_profile(df, measures, series, bucket)
-    if strategy == "auto":
-        # A few bytes per entity and bucket; kept, so that the scan behind it runs once.
-        profile = materialize(profile)
-        totals = profile.groupBy(series.entity).agg(F.sum("_n").alias("_n"))
-        if totals.filter(F.col("_n") > max_rows).isEmpty():
-            return _plain(df, measures, series)
+    bucket, profile = _fitting_profile(df, measures, series, max_rows)
+    if profile is None and strategy == "auto":
+        return _plain(df, measures, series)
+    if profile is None:
+        profile = _bucket_profile(df, measures, series, bucket)
     return _blocked(df, measures, series, profile, max_rows, bucket)
 
 
+def _fitting_profile(
+    df: DataFrame, measures: Sequence[Measure], series: Series, max_rows: int
+) -> tuple[str, DataFrame | None]:
+    """Bucket width and profile of the large entities; no profile where there are none.
+
+    Buckets are days; where one holds more than ``max_rows`` rows of an entity and the series has
+    a time of day, narrower ones are tried. Only large entities are profiled again.
+    """
+    e = series.entity
+    has_time = dict(df.dtypes)[series.time] != "date"
+    rows = df
+    for bucket in BUCKETS if has_time else BUCKETS[:1]:
+        # A few bytes per entity and bucket; kept, so that the scan behind it runs once.
+        profile = materialize(_bucket_profile(rows, measures, series, bucket))
+        large = profile.groupBy(e).agg(F.sum("_n").alias("_total"), F.max("_n").alias("_peak"))
+        large = large.filter(F.col("_total") > max_rows)
+        if large.isEmpty():
+            return bucket, None
+        if large.filter(F.col("_peak") > max_rows).isEmpty():
+            break
+        # At most one row per ``max_rows`` rows of input.
+        rows = df.join(large.select(e), e, "left_semi")
+    return bucket, profile
+
+
 # ---- one task per entity ------------------------------------------------------------------------
 
 

@@ -24,10 +24,11 @@ def parse_stations(text: Column | str) -> Column:
 
 def explode_stations(df: DataFrame, json_column: str = "trajectory_stations_json") -> DataFrame:
     """One row per station in a ``station`` column; documents without stations vanish."""
-    readable = df.filter(F.col(json_column).isNotNull() & (F.col(json_column) != "null"))
+    # The outer form keeps Spark from adding its own emptiness filter, which would parse every
+    # document a second time; NULL, 'null' and empty documents give a NULL station, dropped here.
     others = [c for c in df.columns if c != json_column]
-    return readable.select(
-        *others, F.explode(parse_stations(F.col(json_column))).alias("station")
+    return df.select(
+        *others, F.explode_outer(parse_stations(F.col(json_column))).alias("station")
     ).filter(F.col("station").isNotNull())
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,28 +21,19 @@ class RowRule:
 
 
 def apply_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
-    """Add ``failure_reasons``, the worst ``severity`` and ``dq_flag`` to every row."""
-    hit = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    F.coalesce(r.broken, F.lit(False)),
-                    F.struct(F.lit(r.reason).alias("reason"), F.lit(r.severity).alias("severity")),
-                )
-                for r in rules
-            ]
-        )
-    )
+    """Add ``failure_reason`` (all broken rules), the worst ``severity`` and ``dq_flag``.
+
+    Plain conditions only, so the rules stay inside generated code.
+    """
+    reasons = [F.when(r.broken, F.lit(r.reason)) for r in rules]
     worst = F.lit(None).cast("string")
-    levels = F.transform("_hit", lambda h: h["severity"])
     for level in reversed(SEVERITIES):
-        worst = F.when(F.array_contains(levels, level), level).otherwise(worst)
-    return (
-        df.withColumn("_hit", hit)
-        .withColumn("failure_reasons", F.transform("_hit", lambda h: h["reason"]))
-        .withColumn("severity", worst)
-        .withColumn("dq_flag", F.coalesce(F.col("severity") == "MEDIUM", F.lit(False)))
-        .drop("_hit")
+        at_level = [r.broken for r in rules if r.severity == level]
+        if at_level:
+            broken = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in at_level])
+            worst = F.when(broken, level).otherwise(worst)
+    return df.withColumns({"failure_reason": F.concat_ws("; ", *reasons), "severity": worst}).withColumn(
+        "dq_flag", F.coalesce(F.col("severity") == "MEDIUM", F.lit(False))
     )
 
 
@@ -49,7 +41,7 @@ def split_rows(df: DataFrame, rules: Sequence[RowRule]) -> tuple[DataFrame, Data
     """Rows that go on (clean, or flagged as MEDIUM) and rows to quarantine (CRITICAL, HIGH)."""
     judged = apply_rules(df, rules)
     held = F.coalesce(F.col("severity").isin("CRITICAL", "HIGH"), F.lit(False))
-    kept = judged.filter(~held).drop("failure_reasons", "severity")
+    kept = judged.filter(~held).drop("failure_reason", "severity")
     return kept, judged.filter(held)
 
 
@@ -57,7 +49,7 @@ def quarantine_rows(
     held: DataFrame, source_table: str, run_date: Column, entity: str = "well_id"
 ) -> DataFrame:
     """Held rows as quarantine records; the id depends only on the row and its table."""
-    data = [c for c in held.columns if c not in ("failure_reasons", "severity", "dq_flag")]
+    data = [c for c in held.columns if c not in ("failure_reason", "severity", "dq_flag")]
     row_data = F.to_json(F.struct(*data), {"ignoreNullFields": "false"})
     return held.select(
         F.sha2(F.concat_ws("|", F.lit(source_table), row_data), 256).alias("quarantine_id"),
@@ -65,7 +57,7 @@ def quarantine_rows(
         run_date.cast("date").alias("run_date"),
         F.col(entity).alias("well_id"),
         row_data.alias("row_data"),
-        F.concat_ws("; ", "failure_reasons").alias("failure_reason"),
+        "failure_reason",
         "severity",
         F.lit(False).alias("resolved"),
     )

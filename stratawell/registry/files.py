@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratawell.plans.bronze import bronze_production, bronze_trajectory
 from stratawell.plans.silver import silver_trajectory
 from stratawell.registry.base import query, r, rounded
-from stratawell.registry.fixtures import RAW_SQL, STATIONS_SQL, raw_sheet, table, trajectory_documents
+from stratawell.registry.fixtures import RAW_SQL, STATIONS_SQL, raw_sheet, spread_lines, table, trajectory_documents
 from stratawell.session import scratch_path
 from stratawell.sources.production import POSITIONS, decode_workbooks, read_csv_sheet
 from stratawell.sources.trajectory import read_trajectories, route_document
@@ -145,7 +145,7 @@ def log_files(spark, sf):
         F.lit("\n"),
     )
     uid = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return table(spark, sf, "lineitem").select(uid.alias("source_path"), text.alias("text"))
+    return spread_lines(spark, sf).select(uid.alias("source_path"), text.alias("text"))
 
 
 LOGS_SQL = """logs AS (

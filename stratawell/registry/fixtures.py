@@ -7,12 +7,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratawell.config import SHEET_COLUMNS
 from stratawell.operators.nested import measure_struct
 from stratawell.plans.silver import production_kpis
+from stratawell.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items over all cores, for shaping that costs much per row."""
+    return spread(table(spark, sf_dir, "lineitem"))
+
+
 # ---- one production row per (supplier, ship day) ------------------------------------------------
 
 
@@ -165,7 +171,7 @@ def trajectory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     return (
-        table(spark, sf_dir, "lineitem")
+        spread_lines(spark, sf_dir)
         .filter(F.col("l_suppkey") % 2 == 0)
         .select(
             uid.alias("_uid"),
@@ -208,7 +214,7 @@ survey AS (
 
 def raw_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positional text rows with header rows, bad dates, missing keys and unreadable numbers."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_lines(spark, sf_dir)
     o, p = F.col("l_orderkey"), F.col("l_partkey")
     returned = F.col("l_returnflag") != "N"
     date_text = (

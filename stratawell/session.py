@@ -20,6 +20,7 @@ def build_session(app: str = "stratawell", master: str | None = None, **conf: st
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
@@ -65,3 +66,13 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
     size = estimated_bytes(df)
     return size is not None and size <= limit
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work on input of few partitions.
+
+    Files of a single row group cannot be split, so a small input would be worked on by one task.
+    Input with enough partitions is left alone.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
