@@ -6,7 +6,7 @@ counts in a single aggregation, whatever the number of expectations.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,14 +21,21 @@ RESULT_DDL = (
 
 
 @dataclass(frozen=True)
-class Expectation:
-    """``counts`` are aggregates; ``verdict`` reads them and the row count."""
+class Check:
+    """``counts`` are aggregates; the other expressions read them and ``row_count``."""
 
-    name: str
     counts: dict[str, Column]
     passed: Column
     details: Column
     actual: Column
+
+
+@dataclass(frozen=True)
+class Expectation:
+    """A named check; its expressions are built when a session exists."""
+
+    name: str
+    check: Callable[[], Check]
     threshold: float
     severity: str = "HIGH"
 
@@ -40,76 +47,79 @@ def _share(good: Column, total: Column) -> Column:
 def row_count(
     low: int = 1, high: int | None = None, name="expect_table_row_count_positive", severity="CRITICAL"
 ) -> Expectation:
-    n = F.col("row_count")
-    ok = n >= low if high is None else n.between(low, high)
-    return Expectation(
-        name,
-        {},
-        ok,
-        F.concat(F.lit("row_count = "), F.format_number(n, 0)),
-        n.cast("double"),
-        float(low),
-        severity,
-    )
+    def check() -> Check:
+        n = F.col("row_count")
+        return Check(
+            {},
+            n >= low if high is None else n.between(low, high),
+            F.concat(F.lit("row_count = "), F.format_number(n, 0)),
+            n.cast("double"),
+        )
+
+    return Expectation(name, check, float(low), severity)
 
 
 def not_null(column: str, mostly: float = 0.95, severity="HIGH") -> Expectation:
     """Share of rows with a value; an empty table has a share of 0."""
-    present, total = F.col(f"present_{column}"), F.col("row_count")
-    rate = F.coalesce(_share(present, total), F.lit(0.0))
-    return Expectation(
-        f"expect_{column}_not_null_mostly",
-        {f"present_{column}": F.count(column)},
-        rate >= mostly,
-        F.format_string("not_null_rate = %.4f (%d/%d)", rate, present, total),
-        F.round(rate, 4),
-        mostly,
-        severity,
-    )
+
+    def check() -> Check:
+        present, total = F.col(f"present_{column}"), F.col("row_count")
+        rate = F.coalesce(_share(present, total), F.lit(0.0))
+        return Check(
+            {f"present_{column}": F.count(column)},
+            rate >= mostly,
+            F.format_string("not_null_rate = %.4f (%d/%d)", rate, present, total),
+            F.round(rate, 4),
+        )
+
+    return Expectation(f"expect_{column}_not_null_mostly", check, mostly, severity)
 
 
 def in_set(column: str, allowed: Sequence[str], severity="HIGH") -> Expectation:
     """No value outside the set; NULLs are not looked at."""
-    bad = F.col(f"outside_{column}")
-    return Expectation(
-        f"expect_{column}_in_set",
-        {f"outside_{column}": F.count_if(~F.col(column).isin(list(allowed)))},
-        bad == 0,
-        F.concat(
-            F.lit("unexpected_values = "),
-            bad.cast("string"),
-            F.lit(f"  (allowed: {list(allowed)})"),
-        ),
-        bad.cast("double"),
-        0.0,
-        severity,
-    )
 
+    def check() -> Check:
+        bad = F.col(f"outside_{column}")
+        listed = F.lit(f"  (allowed: {list(allowed)})")
+        return Check(
+            {f"outside_{column}": F.count_if(~F.col(column).isin(list(allowed)))},
+            bad == 0,
+            F.concat(F.lit("unexpected_values = "), bad.cast("string"), listed),
+            bad.cast("double"),
+        )
 
-def _range_check(name, column, bad: Column, mostly, label, bad_label, severity) -> Expectation:
-    key = name.removeprefix("expect_")
-    some, wrong = F.col(f"some_{key}"), F.col(f"wrong_{key}")
-    rate = F.lit(1.0) - _share(wrong, some)
-    empty = some == 0
-    return Expectation(
-        name,
-        {f"some_{key}": F.count(column), f"wrong_{key}": F.count_if(bad)},
-        empty | (rate >= mostly),
-        F.when(empty, F.lit("all values NULL — skipped")).otherwise(
-            F.format_string(f"{label} = %.4f  ({bad_label} = %d/%d)", rate, wrong, some)
-        ),
-        F.round(rate, 4),
-        mostly,
-        severity,
-    )
+    return Expectation(f"expect_{column}_in_set", check, 0.0, severity)
+
+
+def _range_check(
+    name: str, column: str, bad: Callable[[Column], Column], mostly, label, bad_label, severity
+) -> Expectation:
+    """Share of present values that are not ``bad``; text is read as a number first."""
+
+    def check() -> Check:
+        some, wrong = F.col(f"some_{name}"), F.col(f"wrong_{name}")
+        rate = F.lit(1.0) - _share(wrong, some)
+        empty = some == 0
+        return Check(
+            {
+                f"some_{name}": F.count(column),
+                f"wrong_{name}": F.count_if(bad(F.col(column).try_cast("double"))),
+            },
+            empty | (rate >= mostly),
+            F.when(empty, F.lit("all values NULL — skipped")).otherwise(
+                F.format_string(f"{label} = %.4f  ({bad_label} = %d/%d)", rate, wrong, some)
+            ),
+            F.round(rate, 4),
+        )
+
+    return Expectation(name, check, mostly, severity)
 
 
 def non_negative(column: str, mostly: float = 0.95, severity="HIGH") -> Expectation:
-    """Share of values >= 0 among those present; text is read as a number first."""
     return _range_check(
         f"expect_{column}_non_negative",
         column,
-        F.col(column).try_cast("double") < 0,
+        lambda v: v < 0,
         mostly,
         "non_negative_rate",
         "negative_count",
@@ -118,11 +128,10 @@ def non_negative(column: str, mostly: float = 0.95, severity="HIGH") -> Expectat
 
 
 def between(column: str, low, high, mostly: float = 0.95, severity="HIGH") -> Expectation:
-    value = F.col(column).try_cast("double")
     return _range_check(
         f"expect_{column}_between_{low}_{high}",
         column,
-        (value < low) | (value > high),
+        lambda v: (v < low) | (v > high),
         mostly,
         "in_range_rate",
         "out_of_range",
@@ -138,7 +147,8 @@ class Suite:
 
     def evaluate(self, df: DataFrame) -> DataFrame:
         """One row: the row count and an array with the verdict of each expectation."""
-        counts = {k: c for e in self.expectations for k, c in e.counts.items()}
+        checks = [(e, e.check()) for e in self.expectations]
+        counts = {k: c for _, check in checks for k, c in check.counts.items()}
         measured = df.agg(
             F.count(F.lit(1)).alias("row_count"), *[c.alias(k) for k, c in counts.items()]
         )
@@ -146,13 +156,13 @@ class Suite:
             *[
                 F.struct(
                     F.lit(e.name).alias("name"),
-                    F.coalesce(e.passed, F.lit(False)).alias("passed"),
-                    e.details.alias("details"),
-                    e.actual.alias("actual_value"),
+                    F.coalesce(check.passed, F.lit(False)).alias("passed"),
+                    check.details.alias("details"),
+                    check.actual.alias("actual_value"),
                     F.lit(e.threshold).alias("threshold"),
                     F.lit(e.severity).alias("severity"),
                 )
-                for e in self.expectations
+                for e, check in checks
             ]
         )
         return measured.select(

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, types as T, functions as F
 
 from stratawell.operators.dedupe import latest_per_key
+from stratawell.storage import file_system, hadoop_path, swap
 
 
 @dataclass(frozen=True)
@@ -62,7 +63,7 @@ class Lake:
         out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             *partition_by
         ).parquet(staging)
-        _swap(self.spark, staging, target)
+        swap(self.spark, staging, target)
         return counted.get["n"]
 
     def reload_from(
@@ -143,7 +144,7 @@ class Lake:
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             *partition_by
         ).parquet(staging)
-        _swap(self.spark, staging, self.path(table))
+        swap(self.spark, staging, self.path(table))
 
     # ---- partitions ----------------------------------------------------------------------------
 
@@ -182,23 +183,3 @@ def clustered(
 
 def create_schema(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
-
-
-def hadoop_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def file_system(spark: SparkSession, path):
-    return path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _swap(spark: SparkSession, staging: str, target: str) -> None:
-    new, old = hadoop_path(spark, staging), hadoop_path(spark, target)
-    fs = file_system(spark, old)
-    retired = hadoop_path(spark, target + "__old")
-    fs.mkdirs(old.getParent())
-    if fs.exists(old):
-        fs.delete(retired, True)
-        fs.rename(old, retired)
-    fs.rename(new, old)
-    fs.delete(retired, True)

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stratawell.config import DOCUMENT_ROUTES, STATION_DDL, WELLS_IN_SCOPE
+from stratawell.storage import any_file
 
 TRAJECTORY_DDL = (
     "_uid STRING, _uidWell STRING, _uidWellbore STRING, name STRING, nameWell STRING, "
@@ -79,12 +80,16 @@ def route_document(path: Column) -> Column:
 
 
 def route_documents(spark: SparkSession, root: str) -> DataFrame:
-    """All files below ``root`` with their type; contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path", "modificationTime", "length")
+    """All files below ``root`` with their type; contents are not read.
+
+    Spark passes over folders whose name starts with an underscore, such as those of the well
+    and wellbore documents, so these are named by pattern.
+    """
+    base = root.rstrip("/")
+    hidden = [f"{base}/{'*/' * depth}_*/*" for depth in range(4)]
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = reader.load([base, *[p for p in hidden if any_file(spark, p)]]).select(
+        "path", "modificationTime", "length"
     )
     return files.withColumn("doc_type", route_document(F.col("path")))
 
