@@ -22,9 +22,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratawell.config import PRODUCTION, Series
-from stratawell.session import BROADCAST_ROWS, is_small, materialize
+from stratawell.session import checked_broadcast, is_small, materialize
 
 MAX_ENTITY_ROWS = 2_000_000
+WIDTHS = (30 * 86_400, 7 * 86_400, 86_400, 6 * 3_600, 3_600)  # seconds; each a multiple of the last
 BUCKETS = ("day", "hour", "minute", "second")  # calendar buckets, widest first
 
 
@@ -250,10 +251,7 @@ def _layout(profile: DataFrame, measures, series: Series, max_rows: int) -> Data
 
 def _blocked(df, measures, series: Series, profile, max_rows: int, bucket: str) -> DataFrame:
     e = series.entity
-    layout = _layout(profile, measures, series, max_rows)
-    if layout.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        layout = F.broadcast(layout)
-
+    layout = checked_broadcast(_layout(profile, measures, series, max_rows))
     no_context = F.array().cast("array<bigint>")
     placed = (
         df.withColumn("_bucket", _bucket_of(series, bucket))
@@ -303,28 +301,22 @@ def with_duration_mean(
     name: str,
     seconds: int,
     series: Series = PRODUCTION,
-    block_days: int = 30,
+    width: int | None = None,
+    max_rows: int = MAX_ENTITY_ROWS,
 ) -> DataFrame:
     """Mean over the ``seconds`` before each row, the row itself left out.
 
-    Series are cut into calendar blocks; a row near the end of a block is also sent to the next
-    one as context, so no task holds a whole entity.
+    Series are cut into calendar blocks of ``width`` seconds; a row is also sent to the later
+    blocks whose first rows look back to it. Without a width, small input takes the widest, and
+    other input the widest whose fullest block stays within ``max_rows``.
     """
-    width = max(block_days * 86_400, seconds)
-    at = F.unix_seconds(F.col(series.time).cast("timestamp"))
-    placed = (
-        df.withColumn("_at", at)
-        .withColumn("_block", F.floor(F.col("_at") / F.lit(width)))
-        .withColumn(
-            "_to",
-            F.explode(
-                F.array_distinct(
-                    F.array(
-                        F.col("_block"), F.floor((F.col("_at") + F.lit(seconds)) / F.lit(width))
-                    )
-                )
-            ),
-        )
+    timed = df.withColumn("_at", F.unix_seconds(F.col(series.time).cast("timestamp")))
+    if width is None:
+        width = WIDTHS[0] if is_small(df) else _fitting_width(timed, series, max_rows)
+    block = F.floor(F.col("_at") / F.lit(width))
+    last = F.floor((F.col("_at") + F.lit(seconds)) / F.lit(width))
+    placed = timed.withColumn("_block", block).withColumn(
+        "_to", F.explode(F.sequence(F.col("_block"), last))
     )
     span = Window.partitionBy(series.entity, "_to").orderBy("_at").rangeBetween(-seconds, -1)
     return (
@@ -332,3 +324,22 @@ def with_duration_mean(
         .filter(F.col("_to") == F.col("_block"))
         .select(*[F.col(c) for c in df.columns], F.col(name))
     )
+
+
+def _fitting_width(timed: DataFrame, series: Series, max_rows: int) -> int:
+    """Widest block that keeps every (entity, block) within bounds; the narrowest if none does."""
+    finest = timed.groupBy(
+        series.entity, F.floor(F.col("_at") / F.lit(WIDTHS[-1])).alias("_hour")
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    finest = materialize(finest)
+    for width in WIDTHS[:-1]:
+        ratio = width // WIDTHS[-1]
+        peak = (
+            finest.groupBy(series.entity, F.floor(F.col("_hour") / F.lit(ratio)))
+            .agg(F.sum("_n").alias("_n"))
+            .agg(F.max("_n"))
+            .first()[0]
+        )
+        if peak is None or peak <= max_rows:
+            return width
+    return WIDTHS[-1]

@@ -14,7 +14,7 @@ from stratawell.config import (
 )
 from stratawell.functions import kpis
 from stratawell.operators.frames import Lag, Lead, Overall, Running, Trailing, with_frames
-from stratawell.session import BROADCAST_ROWS, is_small, materialize
+from stratawell.session import checked_broadcast
 
 PRESSURE, OIL, GAS, WATER = (
     "AVG_DOWNHOLE_PRESSURE", "BORE_OIL_VOL", "BORE_GAS_VOL", "BORE_WAT_VOL",
@@ -143,17 +143,8 @@ def trajectory_stats(stations: DataFrame) -> DataFrame:
 
 
 def join_well_stats(df: DataFrame, stats: DataFrame, entity: str = "well_id") -> DataFrame:
-    """Left join of per-well figures.
-
-    They are broadcast where their row count is known to be small: at once when the input behind
-    them is, otherwise after counting the aggregated rows. Beyond the bound the join is left to
-    the optimizer, which splits skewed keys at run time.
-    """
-    if not is_small(stats):
-        stats = materialize(stats)
-        if stats.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-            return df.join(stats, entity, "left")
-    return df.join(F.broadcast(stats), entity, "left")
+    """Left join of per-well figures, broadcast where they are known to be few."""
+    return df.join(checked_broadcast(stats), entity, "left")
 
 
 def feature_store(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SMALL_INPUT_BYTES = 256 << 20
 BROADCAST_ROWS = 500_000
@@ -68,6 +68,18 @@ def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
     return size is not None and size <= limit
 
 
+def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Mark a small table for broadcast once its size is known, else leave the join to Spark.
+
+    A table from small files is marked at once; otherwise its rows are counted, up to the bound.
+    """
+    bound = BROADCAST_ROWS if max_rows is None else max_rows
+    if is_small(df):
+        return F.broadcast(df)
+    kept = materialize(df)
+    return F.broadcast(kept) if kept.limit(bound + 1).count() <= bound else kept
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for costly per-row work on input of few partitions.
 

@@ -11,7 +11,7 @@ from stratawell.config import RULES, AlertRules, Series
 from stratawell.functions import kpis
 from stratawell.operators.dedupe import latest_per_key
 from stratawell.operators.frames import Measure, with_frames
-from stratawell.session import materialize
+from stratawell.session import checked_broadcast, materialize
 from stratawell.streaming.tables import read_batches, start, write_batch
 
 
@@ -123,7 +123,7 @@ def start_reading_rules(
             edge = latest_per_key(kept, [e], newest_first, total_order=False).select(
                 e, F.struct(*order).alias("_edge")
             )
-            timed = batch.join(edge, e, "left").withColumn(
+            timed = batch.join(checked_broadcast(edge), e, "left").withColumn(
                 "_late", F.coalesce(F.struct(*order) < F.col("_edge"), F.lit(False))
             )
             write_batch(timed.filter("_late").select(*columns), f"{path}/late", batch_id)

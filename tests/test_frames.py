@@ -7,6 +7,8 @@ import statistics
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from stratawell.config import Series
 from stratawell.operators import frames
 from stratawell.operators.frames import (
@@ -98,7 +100,7 @@ def test_blocks_equal_loop(spark, max_rows):
 
 def test_blocks_with_joined_layout(spark, monkeypatch):
     """Beyond the broadcast bound the layout is joined; results do not change."""
-    monkeypatch.setattr(frames, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(frames, "checked_broadcast", lambda layout: layout)
     check(spark, make(3, 2, 50), strategy="blocks", max_rows=12)
 
 
@@ -135,7 +137,7 @@ def test_hot_day_is_cut_by_hour(spark, monkeypatch):
     assert [r["life"] for r in got] == pytest.approx([sum(v[: i + 1]) for i in range(len(v))])
 
 
-def test_duration_mean(spark):
+def test_duration_mean(spark, monkeypatch):
     rng = random.Random(5)
     start = dt.datetime(2024, 1, 1)
     rows = sorted(
@@ -143,8 +145,12 @@ def test_duration_mean(spark):
     )
     rows = [(e, t, 0, rng.uniform(0, 100)) for e, t in rows]
     df = spark.createDataFrame(rows, "e string, t timestamp, k int, v double")
-    for days in (1, 7):
-        out = with_duration_mean(df, "v", "m", 86_400, SERIES, block_days=days)
+    monkeypatch.setattr(frames, "is_small", lambda df: False)
+    timed = df.withColumn("_at", F.unix_seconds("t"))
+    assert frames._fitting_width(timed, SERIES, 10_000) == frames.WIDTHS[0]
+    assert frames._fitting_width(timed, SERIES, 8) in frames.WIDTHS[1:]
+    for options in ({"width": 3 * 86_400}, {"max_rows": 8}, {"width": 7_200}):
+        out = with_duration_mean(df, "v", "m", 86_400, SERIES, **options)
         got = {(r["e"], r["t"]): r["m"] for r in out.collect()}
         assert len(got) == len(rows)
         for e, t, _, _ in rows:

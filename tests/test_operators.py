@@ -48,6 +48,9 @@ def test_bracketed_medians(spark, slice_rows):
         "ties": [float(rng.choice([0, 0, 0, 1, 2])) for _ in range(n)],
         "two": [float(i % 2) for i in range(n - 1)] + [None],
         "holes": [rng.gauss(0, 1) if rng.random() < 0.4 else None for _ in range(n)],
+        "run_below": [1.0] * (n // 2) + [1 + rng.random() for _ in range(n - n // 2)],
+        "run_above": [rng.random() for _ in range(n // 2 + 1)] + [1.0] * (n - n // 2 - 1),
+        "between_runs": [0.0] * (n // 2) + [8.0] * (n // 2) + [None],
         "empty": [None] * n,
     }
     df = spark.createDataFrame(
@@ -116,3 +119,32 @@ def test_reconciliation(spark):
     assert (row["source_rows"], row["target_rows"], row["passed"]) == (3, 1, False)
     same = count_difference(left.limit(0), right.limit(0), "c", 0.01).first()
     assert same["passed"] and same["difference"] is None
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bracket_arithmetic(seed):
+    """Narrowing at any two values keeps or settles the middle (no Spark needed)."""
+    from stratawell.operators.medians import _Bracket
+
+    rng = random.Random(seed)
+    for _ in range(300):
+        values = sorted(float(rng.randint(0, 6)) for _ in range(rng.randint(1, 30)))
+        n = len(values)
+        want = (values[(n - 1) // 2], values[n // 2])
+        b = _Bracket("v", n, n)
+        for _ in range(6):
+            if b.done:
+                break
+            inside = [v for v in values if (b.low is None or v > b.low) and (b.high is None or v < b.high)]
+            assert len(inside) == b.size
+            if not inside:
+                break
+            low, high = sorted((rng.choice(inside), rng.choice(inside)))
+            b.cut(
+                low, high, inside.count(low), sum(low < v < high for v in inside),
+                inside.count(high) if high > low else 0, sum(v < low for v in inside),
+            )
+        if b.first is not None:
+            assert b.first == want[0]
+        if b.second is not None:
+            assert b.second == want[1]
