@@ -34,14 +34,11 @@ def build_session(app: str = "stratawell", master: str | None = None, **conf: st
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors see: the cluster's checkpoint folder, or a local one in tests."""
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stratawell-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="stratawell-"))
+    return (folder or context.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
