@@ -26,7 +26,8 @@ from stratawell.session import checked_broadcast, is_small, materialize
 
 MAX_ENTITY_ROWS = 2_000_000
 WIDTHS = (30 * 86_400, 7 * 86_400, 86_400, 6 * 3_600, 3_600)  # seconds; each a multiple of the last
-BUCKETS = ("day", "hour", "minute", "second")  # calendar buckets, widest first
+BUCKETS = ("month", "day", "hour", "minute", "second")  # calendar buckets, widest first
+BUCKETS_PER_BLOCK = 10
 
 
 @dataclass(frozen=True)
@@ -104,26 +105,34 @@ def _fitting_profile(
 ) -> tuple[str, DataFrame | None]:
     """Bucket width and profile of the large entities; no profile where there are none.
 
-    Buckets are days; where one holds more than ``max_rows`` rows of an entity and the series has
-    a time of day, narrower ones are tried. Only large entities are profiled again.
+    A bucket is the grain of blocks and of their context, so it should hold a small part of
+    ``max_rows``. Widths are tried from months down; a series of dates ends at days. Only large
+    entities are profiled again.
     """
     e = series.entity
-    has_time = dict(df.dtypes)[series.time] != "date"
     rows = df
-    for bucket in BUCKETS if has_time else BUCKETS[:1]:
+    for bucket in _widths(df, measures, series):
         # A few bytes per entity and bucket; kept, so that the scan behind it runs once.
         profile = materialize(_bucket_profile(rows, measures, series, bucket))
         large = profile.groupBy(e).agg(F.sum("_n").alias("_total"), F.max("_n").alias("_peak"))
         large = large.filter(F.col("_total") > max_rows)
         if large.isEmpty():
             return bucket, None
-        if large.filter(F.col("_peak") > max_rows).isEmpty():
+        if large.filter(F.col("_peak") > max_rows / BUCKETS_PER_BLOCK).isEmpty():
             break
         # At most one row per ``max_rows`` rows of input.
         rows = df.join(large.select(e), e, "left_semi")
     return bucket, profile
 
 
+def _widths(df: DataFrame, measures: Sequence[Measure], series: Series) -> list[str]:
+    """Calendar widths that fit the type of the time column and nest in all reset periods."""
+    nested = all(m.reset in (None, "month", "quarter", "year") for m in measures if isinstance(m, Running))
+    first = 0 if nested else 1
+    last = 2 if dict(df.dtypes)[series.time] == "date" else len(BUCKETS)
+    return list(BUCKETS[first:last])
+
+
 # ---- one task per entity ------------------------------------------------------------------------
 
 

@@ -124,6 +124,30 @@ def run_suites(tables: dict[str, DataFrame], names: Iterable[str] | None = None)
     return out
 
 
+def failures_on(results: DataFrame, day, severity: str | None = None) -> DataFrame:
+    """Failed expectations of one day from the result history, with the severity they have now."""
+    levels = [
+        F.lit(x)
+        for suite in SUITES.values()
+        for e in suite.expectations
+        for x in (f"{suite.name}/{e.name}", e.severity)
+    ]
+    listed = F.from_json(
+        "expectations_json",
+        "array<struct<name: string, passed: boolean, details: string, actual_value: double, "
+        "threshold: double>>",
+    )
+    failed = (
+        results.filter(F.to_date("run_ts") == F.lit(day))
+        .select("run_ts", "suite_name", "table_name", F.inline(listed))
+        .filter(~F.col("passed"))
+        .withColumn(
+            "severity", F.create_map(*levels)[F.concat_ws("/", "suite_name", "name")]
+        )
+    )
+    return failed if severity is None else failed.filter(F.col("severity") == severity)
+
+
 def production_rules() -> list[RowRule]:
     """Row rules of typed production data."""
     c = F.col

@@ -15,6 +15,7 @@ from stratawell.streaming.kpis import (
     start_alerts,
     start_reading_rules,
     start_windowed_kpi,
+    window_drop,
     windowed_kpi,
 )
 from stratawell.streaming.tables import latest_state
@@ -67,6 +68,25 @@ def stream_sliding_kpi(spark, sf):
     return event_kpis(spark, sf, "24 hours", "6 hours")
 
 
+@query(
+    "stream_window_drop",
+    f"""WITH w AS (
+          SELECT event_type, value * 100 AS p, ts, CAST(date_trunc('hour', ts) AS TIMESTAMP)
+                   - k * INTERVAL 6 HOUR - (hour(ts) % 6) * INTERVAL 1 HOUR AS window_start
+          FROM events, unnest(range(0, 4)) AS s(k)),
+        a AS (SELECT window_start, event_type, avg(p) AS mean_value, max_by(p, ts) AS last_value
+              FROM w GROUP BY ALL)
+        SELECT window_start, event_type, {r('mean_value')}, {r('last_value')},
+               mean_value - last_value > 500 AS is_pressure_drop FROM a""",
+)
+def stream_window_drop(spark, sf):
+    out, checkpoint = scratch_path(spark, "drop"), scratch_path(spark, "drop-checkpoint")
+    readings = source(spark, sf, "events").withColumn("p", F.col("value") * 100)
+    drops = window_drop(readings, "ts", ["event_type"], "p", "24 hours", "6 hours", "60 days")
+    start_windowed_kpi(drops, out, checkpoint).awaitTermination()
+    return rounded(latest_state(spark, out, ["window_start", "event_type"]).drop("window_end"))
+
+
 @query(
     "stream_alerts",
     f"""WITH p AS (SELECT *, CASE WHEN l_returnflag = 'N' THEN l_quantity ELSE 0 END AS oil,

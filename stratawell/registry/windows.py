@@ -140,7 +140,7 @@ ALL_MEASURES = [
 @query("block_frames", framed_sql(**ALL_SQL))
 def block_frames(spark, sf):
     """The plan for entities too large for one task, forced on every entity."""
-    return frames(spark, sf, ALL_MEASURES, strategy="blocks", max_rows=100)
+    return frames(spark, sf, ALL_MEASURES, strategy="blocks", max_rows=250)
 
 
 @query(

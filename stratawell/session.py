@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratawell.storage import file_system, hadoop_path
+
 SMALL_INPUT_BYTES = 256 << 20
 BROADCAST_ROWS = 500_000
 
@@ -20,7 +22,6 @@ def build_session(app: str = "stratawell", master: str | None = None, **conf: st
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
@@ -41,15 +42,30 @@ def shared_dir(spark: SparkSession) -> str:
     return (folder or context.getCheckpointDir()).rstrip("/")
 
 
+def _run_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/scratch-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses."""
+    return f"{_run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder."""
+    path = hadoop_path(spark, _run_dir(spark))
+    file_system(spark, path).delete(path, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder, so that a lost executor costs no recomputation."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage with a written table in the shared folder.
+
+    A lost executor then costs no recomputation. Unlike a checkpoint, which computes its input
+    twice, this is one pass, and later readers get column pruning and a known size.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -68,13 +84,13 @@ def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
 def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Mark a small table for broadcast once its size is known, else leave the join to Spark.
 
-    A table from small files is marked at once; otherwise its rows are counted, up to the bound.
+    A table from small files is marked at once; otherwise it is written, and its rows are counted.
     """
     bound = BROADCAST_ROWS if max_rows is None else max_rows
     if is_small(df):
         return F.broadcast(df)
     kept = materialize(df)
-    return F.broadcast(kept) if kept.limit(bound + 1).count() <= bound else kept
+    return F.broadcast(kept) if kept.count() <= bound else kept
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -60,6 +60,29 @@ def windowed_kpi(
     )
 
 
+def window_drop(
+    stream: DataFrame,
+    time: str,
+    keys: Sequence[str],
+    value: str,
+    width: str = "24 hours",
+    slide: str = "1 hour",
+    lateness: str = "1 hour",
+    rules: AlertRules = RULES,
+) -> DataFrame:
+    """Mean and last reading per key and sliding window, flagged where the last has dropped."""
+    kpi = windowed_kpi(
+        stream,
+        time,
+        keys,
+        {"mean_value": F.avg(value), "last_value": F.max_by(value, "_time")},
+        width,
+        slide,
+        lateness,
+    )
+    return kpi.withColumn("is_pressure_drop", kpis.pressure_drop("last_value", "mean_value", rules))
+
+
 def start_windowed_kpi(kpi: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Keep a table of the current value of every window, open ones included."""
     return start(

@@ -128,8 +128,10 @@ def test_hot_day_is_cut_by_hour(spark, monkeypatch):
     rows = [("a", start + dt.timedelta(seconds=37 * i), i, float(i % 11)) for i in range(2000)]
     df = spark.createDataFrame(rows, "e string, t timestamp, k int, v double")
     measures = [Lag("v", "lag1"), Trailing("v", "mean7", 7), Running("v", "life")]
+    assert frames._fitting_profile(df, measures, SERIES, 1_000)[0] == "hour"
     bucket, profile = frames._fitting_profile(df, measures, SERIES, 150)
-    assert bucket == "hour" and profile is not None
+    assert bucket == "minute" and profile is not None
+    assert frames._fitting_profile(df, measures, SERIES, 5_000) == ("month", None)
     got = with_frames(df, measures, SERIES, max_rows=150).orderBy("k").collect()
     v = [r[3] for r in rows]
     assert [r["lag1"] for r in got] == [None, *v[:-1]]

@@ -154,3 +154,18 @@ def test_quarantine(spark):
 def test_actions(spark):
     df = spark.createDataFrame([("CRITICAL",), ("HIGH",), ("MEDIUM",), (None,)], "s string")
     assert [r[0] for r in df.select(action_for("s")).collect()] == ["block", "quarantine", "flag", None]
+
+
+def test_failures_of_a_day(spark):
+    df = spark.createDataFrame(
+        [(None, None, "F-2", "1")] * 3,
+        "WELL_BORE_CODE string, DATEPRD string, well_id string, BORE_OIL_VOL string",
+    ).withColumns({c: F.lit("x") for c in ("ingestion_ts", "source_system", "source_file")})
+    evaluated = suites.run_suites({"bronze.raw_production": df}, ["bronze_production_suite"])
+    history = q.suite_rows(evaluated, F.timestamp_seconds(F.lit(1_700_000_000)))
+    got = suites.failures_on(history, "2023-11-14", "CRITICAL").collect()
+    assert sorted(r["name"] for r in got) == [
+        "expect_DATEPRD_not_null_mostly", "expect_WELL_BORE_CODE_not_null_mostly",
+    ]
+    assert suites.failures_on(history, "2023-11-14").count() == 3
+    assert suites.failures_on(history, "2023-11-15").count() == 0
