@@ -94,11 +94,10 @@ def csv_production(spark, sf):
     "xml_trajectory",
     f"""WITH {STATIONS_SQL}
         SELECT well_id, trajectory_uid, station_uid, {r('md_m')}, {r('azi_deg')}, {r('dls_deg_per_30m')},
-               is_md_valid, is_incl_valid, is_azi_valid FROM survey
-        WHERE well_id IN ('F-2', 'F-12', 'F-22', 'F-4', 'F-6')""",
+               is_md_valid, is_incl_valid, is_azi_valid FROM survey""",
 )
 def xml_trajectory(spark, sf):
-    """All documents as XML files in well folders; five wells are in scope when reading."""
+    """All documents as XML files in well folders."""
     root = scratch_path(spark, "surveys")
     docs = trajectory_documents(spark, sf)
     docs.select(
@@ -110,7 +109,7 @@ def xml_trajectory(spark, sf):
     found = read_trajectories(
         spark,
         f"{root}/1/trajectory",
-        wells=("F-2", "F-12", "F-22", "F-4", "F-6"),
+        wells=None,
         pattern="*/*",
         layout=r"/([^/.]+)/[^/]+$",
     )

@@ -143,16 +143,19 @@ gold AS (
 )"""
 )
 
-# ---- trajectory documents: one per line item of every second supplier ---------------------------
+# ---- trajectory documents: one per line item; those of odd suppliers are of wells without production
 
 
 def trajectory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of one to three stations, in the form of the XML scan."""
     n = F.col("l_linenumber") % 3 + 1
     uid = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    shift = F.when(F.col("l_suppkey") % 2 == 0, 0).otherwise(1_000_000)
+    well = F.concat(F.lit("F-"), F.col("l_suppkey") + shift)
 
     def station(i):
-        md = F.when(
+        # The offset keeps depths off exact halves, which two engines round differently.
+        md = 0.0003 + F.when(
             (i == 3) & (F.col("l_linenumber") == 5), -F.col("l_extendedprice") / 10
         ).otherwise(F.col("l_extendedprice") / 10 * i)
         return F.struct(
@@ -172,16 +175,16 @@ def trajectory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return (
         spread_lines(spark, sf_dir)
-        .filter(F.col("l_suppkey") % 2 == 0)
+        .withColumn("_well", well)
         .select(
             uid.alias("_uid"),
             F.concat(F.lit("w-"), F.col("l_suppkey")).alias("_uidWell"),
             F.concat(F.lit("b-"), F.col("l_suppkey")).alias("_uidWellbore"),
             F.concat(F.lit("survey "), F.col("l_orderkey")).alias("name"),
-            F.concat(F.lit("F-"), F.col("l_suppkey")).alias("nameWell"),
-            F.concat(F.lit("F-"), F.col("l_suppkey"), F.lit(" main")).alias("nameWellbore"),
+            F.col("_well").alias("nameWell"),
+            F.concat("_well", F.lit(" main")).alias("nameWellbore"),
             F.transform(F.sequence(F.lit(1), n), station).alias("trajectoryStation"),
-            F.concat(F.lit("F-"), F.col("l_suppkey")).alias("well_id"),
+            F.col("_well").alias("well_id"),
             F.concat(F.lit("/surveys/"), F.col("l_suppkey"), F.lit("/")).alias("source_path"),
         )
     )
@@ -190,18 +193,17 @@ def trajectory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 STATIONS_SQL = """
 stations AS (
   SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS trajectory_uid,
-         'F-' || l_suppkey AS well_id,
+         'F-' || (l_suppkey + CASE WHEN l_suppkey % 2 = 0 THEN 0 ELSE 1000000 END) AS well_id,
          l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || i AS station_uid,
-         CASE WHEN i = 3 AND l_linenumber = 5 THEN -l_extendedprice / 10
+         0.0003::DOUBLE + CASE WHEN i = 3 AND l_linenumber = 5 THEN -l_extendedprice / 10
               ELSE l_extendedprice / 10 * i END AS md_m,
          l_discount * 1800 + CASE WHEN i = 3 THEN 100.0 ELSE 0.0 END AS incl_deg,
          l_tax * 4500 + CASE WHEN i = 3 THEN 300.0 ELSE 0.0 END AS azi_deg,
-         CASE WHEN i = 3 AND l_linenumber = 5 THEN -l_extendedprice / 10
-              ELSE l_extendedprice / 10 * i END * 0.9 AS tvd_m,
+         (0.0003::DOUBLE + CASE WHEN i = 3 AND l_linenumber = 5 THEN -l_extendedprice / 10
+              ELSE l_extendedprice / 10 * i END) * 0.9 AS tvd_m,
          l_quantity * i AS disp_ns_m, -l_quantity * i AS disp_ew_m,
          CASE WHEN l_linenumber <> 1 THEN l_quantity / 10 END AS dls_deg_per_30m
   FROM lineitem, unnest(range(1, l_linenumber % 3 + 2)) AS s(i)
-  WHERE l_suppkey % 2 = 0
 ),
 survey AS (
   SELECT *, md_m >= 0 AS is_md_valid, incl_deg BETWEEN 0 AND 180 AS is_incl_valid,
@@ -292,9 +294,8 @@ raw AS (
 
 
 def predictions(gold: DataFrame) -> DataFrame:
-    """Seven-row mean as the prediction; wells whose number divides by 7 have none."""
-    number = F.substring_index("well_id", "-", -1).cast("long")
-    return gold.filter(number % 7 != 0).select(
+    """Seven-row mean as the prediction; rows without a valid pressure have none."""
+    return gold.filter("is_pressure_valid").select(
         "well_id",
         "DATEPRD",
         F.col("pressure_7d_avg").alias("pred_next_day_pressure"),
@@ -312,6 +313,6 @@ predictions AS (
   SELECT well_id, DATEPRD, pressure_7d_avg AS predicted_pressure,
          pressure_7d_avg / 1000 AS anomaly_score,
          coalesce(pressure_7d_avg > 600, false) AS is_predicted_anomaly
-  FROM gold WHERE CAST(split_part(well_id, '-', 2) AS BIGINT) % 7 <> 0
+  FROM gold WHERE is_pressure_valid
 )"""
 )

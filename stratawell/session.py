@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratawell.storage import file_system, hadoop_path
+from stratawell.storage import delete
 
 SMALL_INPUT_BYTES = 256 << 20
 BROADCAST_ROWS = 500_000
@@ -53,8 +53,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder."""
-    path = hadoop_path(spark, _run_dir(spark))
-    file_system(spark, path).delete(path, True)
+    delete(spark, _run_dir(spark))
 
 
 def materialize(df: DataFrame) -> DataFrame:

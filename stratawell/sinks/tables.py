@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, types as T, functions as F
 
 from stratawell.operators.dedupe import latest_per_key
-from stratawell.storage import file_system, hadoop_path, swap
+from stratawell.storage import any_file, delete, swap
 
 
 @dataclass(frozen=True)
@@ -26,8 +26,7 @@ class Lake:
         return f"{self.root.rstrip('/')}/{table.replace('.', '/')}"
 
     def exists(self, table: str) -> bool:
-        path = hadoop_path(self.spark, self.path(table))
-        return file_system(self.spark, path).exists(path)
+        return any_file(self.spark, self.path(table))
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
@@ -163,8 +162,7 @@ class Lake:
         ).partitionBy(partition).parquet(self.path(table))
 
     def _drop_partition(self, table: str, partition: str, value) -> None:
-        path = hadoop_path(self.spark, f"{self.path(table)}/{partition}={value}")
-        file_system(self.spark, path).delete(path, True)
+        delete(self.spark, f"{self.path(table)}/{partition}={value}")
 
 
 def clustered(

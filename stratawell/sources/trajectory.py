@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stratawell.config import DOCUMENT_ROUTES, STATION_DDL, WELLS_IN_SCOPE
+from stratawell.config import DOCUMENT_ROUTES, ENTITY_PATTERN, STATION_DDL, WELLS_IN_SCOPE
 from stratawell.storage import any_file
 
 TRAJECTORY_DDL = (
@@ -34,8 +34,14 @@ def file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def well_of_folder(folder: Column, wells: Sequence[str] = WELLS_IN_SCOPE) -> Column:
-    """First well whose name stands as a word in the folder name, whatever its case."""
+def well_of_folder(folder: Column, wells: Sequence[str] | None = WELLS_IN_SCOPE) -> Column:
+    """First well whose name stands as a word in the folder name, whatever its case.
+
+    Without a list, any name of the well pattern counts.
+    """
+    if wells is None:
+        name = F.regexp_extract(folder, rf"(?i)\b{ENTITY_PATTERN}\b", 0)
+        return F.nullif(F.upper(name), F.lit(""))
     found = F.lit(None).cast("string")
     for well in reversed(list(wells)):
         found = F.when(folder.rlike(rf"(?i)\b{well}\b"), well).otherwise(found)
@@ -45,7 +51,7 @@ def well_of_folder(folder: Column, wells: Sequence[str] = WELLS_IN_SCOPE) -> Col
 def read_trajectories(
     spark: SparkSession,
     root: str,
-    wells: Sequence[str] = WELLS_IN_SCOPE,
+    wells: Sequence[str] | None = WELLS_IN_SCOPE,
     pattern: str = "*/[0-9]*/trajectory/*",
     layout: str = LAYOUT,
 ) -> DataFrame:

@@ -19,6 +19,11 @@ def any_file(spark: SparkSession, pattern: str) -> bool:
     return bool(file_system(spark, path).globStatus(path))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    target = hadoop_path(spark, path)
+    file_system(spark, target).delete(target, True)
+
+
 def swap(spark: SparkSession, staging: str, target: str) -> None:
     """Put a finished folder in the place of another; the old one goes last."""
     new, old = hadoop_path(spark, staging), hadoop_path(spark, target)

@@ -12,6 +12,7 @@ from stratawell.functions import kpis
 from stratawell.operators.dedupe import latest_per_key
 from stratawell.operators.frames import Measure, with_frames
 from stratawell.session import checked_broadcast, materialize
+from stratawell.storage import delete
 from stratawell.streaming.tables import read_batches, start, write_batch
 
 
@@ -162,6 +163,7 @@ def start_reading_rules(
         last = Window.partitionBy(e).orderBy(*newest_first)
         state = both.withColumn("_k", F.row_number().over(last)).filter(F.col("_k") <= reach)
         write_batch(state.select(*columns), f"{path}/state", batch_id)
+        delete(spark, f"{path}/state/batch_id={batch_id - 2}")  # a replay needs the last one only
 
     return start(stream, each_batch, checkpoint, **trigger)
 
