@@ -6,8 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratawell.llm import bayes_language, compression_bands
+from stratawell.llm import (
+    bayes_language,
+    best_fit_packing,
+    compression_bands,
+    huffman_tokens,
+    separator_scan,
+)
+from stratawell.session import scratch_path
 
+END_OF_TEXT = 49407  # of word_bpe_49k.json
+DOCUMENT_END = 2  # closes each document of the Huffman files
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
@@ -15,11 +24,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and compression verdict of every document."""
     return compression_bands.compression_bands(_table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bin and offset of every document, by number of words."""
+    return best_fit_packing.pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat files that are written first."""
+    docs, folder = _table(spark, sf_dir, "documents"), scratch_path(spark, "flat-tokens")
+    return separator_scan.token_counts(docs, _vocabulary("word_bpe_49k.json"), END_OF_TEXT, folder)
+
+
 def op8_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from rows that are not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -28,9 +54,19 @@ def op8_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", bayes_language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op9_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, length and checksum of the ids of every document, read back from Huffman files."""
+    docs, folder = _table(spark, sf_dir, "documents"), scratch_path(spark, "huffman")
+    written = huffman_tokens.write_tokens(docs, _vocabulary("word_bpe_49k.json"), DOCUMENT_END, folder)
+    return huffman_tokens.read_tokens(spark, written)
+
+
 QUERIES: dict[str, Builder] = {
     "op1_compression_bands": op1_compression_bands,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_separator_scan": op5_separator_scan,
     "op8_bayes_language": op8_bayes_language,
+    "op9_huffman_tokens": op9_huffman_tokens,
 }
 #: DuckDB SQL, where SQL can say what the query returns.
 ORACLES: dict[str, str] = {}
