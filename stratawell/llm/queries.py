@@ -12,6 +12,7 @@ from stratawell.llm import (
     compression_bands,
     huffman_tokens,
     separator_scan,
+    tensored_minhash,
 )
 from stratawell.session import scratch_path
 
@@ -61,12 +62,19 @@ def op9_huffman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman_tokens.read_tokens(spark, written)
 
 
+def op10_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near-duplicates of every document."""
+    found = tensored_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Builder] = {
     "op1_compression_bands": op1_compression_bands,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op5_separator_scan": op5_separator_scan,
     "op8_bayes_language": op8_bayes_language,
     "op9_huffman_tokens": op9_huffman_tokens,
+    "op10_tensored_minhash": op10_tensored_minhash,
 }
 #: DuckDB SQL, where SQL can say what the query returns.
 ORACLES: dict[str, str] = {}
