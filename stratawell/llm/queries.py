@@ -11,6 +11,7 @@ from stratawell.llm import (
     best_fit_packing,
     compression_bands,
     huffman_tokens,
+    positional_index,
     separator_scan,
     tensored_minhash,
 )
@@ -41,6 +42,64 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that benchmark windows cover."""
+    return positional_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP3_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents),
+items AS (
+    SELECT coalesce(cast(item_id AS varchar), 'null') AS item,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS gram
+    FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (
+    SELECT rid, i, n, array_to_string(w[i : i + n - 1], ' ') AS gram
+    FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n)),
+found AS (SELECT rid, i, n, item FROM grams JOIN windows USING (n, gram)),
+hit AS (
+    SELECT rid, count(DISTINCT p) AS n_hit
+    FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT rid, i, n FROM found)) GROUP BY rid),
+named AS (
+    SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item COLLATE "C") AS list
+    FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid),
+counts AS (SELECT w, count(*) AS n FROM (SELECT unnest(w) AS w FROM docs) GROUP BY w),
+ranked AS (
+    SELECT item, t, row_number() OVER (PARTITION BY item ORDER BY n, off) AS r
+    FROM (SELECT item, t, min(off) AS off, max(coalesce(n, 0)) AS n
+          FROM (SELECT item, unnest(w) AS t, unnest(range(len(w))) AS off FROM items) s
+          LEFT JOIN counts ON s.t = counts.w GROUP BY item, t)),
+rare AS (SELECT item, t, r, max(r) OVER (PARTITION BY item) AS k FROM ranked WHERE r <= 3),
+spots AS (SELECT rid, t, p FROM (SELECT rid, unnest(w) AS t, unnest(range(len(w))) AS p FROM docs) WHERE t IN (SELECT t FROM rare)),
+near AS (
+    SELECT a.rid, x.item FROM rare x JOIN spots a ON a.t = x.t AND x.r = 1 WHERE x.k = 1
+    UNION
+    SELECT a.rid, x.item FROM rare x JOIN spots a ON a.t = x.t AND x.r = 1
+    JOIN rare y ON y.item = x.item AND y.r = 2 JOIN spots b ON b.t = y.t AND b.rid = a.rid AND abs(b.p - a.p) < 50
+    WHERE x.k = 2
+    UNION
+    SELECT a.rid, x.item FROM rare x JOIN spots a ON a.t = x.t AND x.r = 1
+    JOIN rare y ON y.item = x.item AND y.r = 2 JOIN spots b ON b.t = y.t AND b.rid = a.rid AND abs(b.p - a.p) < 50
+    JOIN rare z ON z.item = x.item AND z.r = 3 JOIN spots c ON c.t = z.t AND c.rid = a.rid
+      AND greatest(a.p, b.p, c.p) - least(a.p, b.p, c.p) < 50
+    WHERE x.k = 3),
+n_near AS (SELECT rid, count(*) AS n_near FROM near GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near, 0) AS n_near
+FROM docs LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid) LEFT JOIN n_near USING (rid)
+"""
+
+
 def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted in flat files that are written first."""
     docs, folder = _table(spark, sf_dir, "documents"), scratch_path(spark, "flat-tokens")
@@ -71,10 +130,11 @@ def op10_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Builder] = {
     "op1_compression_bands": op1_compression_bands,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_positional_index": op3_positional_index,
     "op5_separator_scan": op5_separator_scan,
     "op8_bayes_language": op8_bayes_language,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_tensored_minhash": op10_tensored_minhash,
 }
 #: DuckDB SQL, where SQL can say what the query returns.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_positional_index": OP3_SQL}
