@@ -109,9 +109,11 @@ def scan(spark: SparkSession, folder: str, end_id: int, block_ids: int = BLOCK_I
         F.coalesce(F.sum("closed").over(before), F.lit(0)).alias("docs_before"),
         F.coalesce(F.max("last_end").over(before), F.lit(-1)).alias("end_before"),
     )
-    ends = seen.select("part", "block", F.posexplode("ends").alias("k", "at"), "ends")
+    # Joined while it is one row per block; documents are unfolded afterwards, where they are read.
+    placed = seen.select("part", "block", "ends").join(carried, ["part", "block"])
+    ends = placed.select("part", "docs_before", "end_before", "ends", F.posexplode("ends").alias("k", "at"))
     previous = F.when(F.col("k") > 0, F.expr("ends[k - 1]")).otherwise(F.col("end_before"))
-    closed = ends.join(carried, ["part", "block"]).select(
+    closed = ends.select(
         "part", (F.col("docs_before") + F.col("k")).alias("ordinal"), (F.col("at") - previous - 1).alias("n_tokens")
     )
     open_end = (
@@ -134,4 +136,5 @@ def token_counts(docs: DataFrame, vocabulary: str, end_id: int, folder: str, blo
     """
     places = write_flat(docs, vocabulary, end_id, folder)
     counts = scan(docs.sparkSession, folder, end_id, block_ids)
-    return places.join(counts, ["part", "ordinal"]).select("doc_id", "part", "ordinal", "n_tokens")
+    # Unfolded rows look smaller to the optimizer than they are, so no side may be broadcast.
+    return places.join(counts.hint("merge"), ["part", "ordinal"]).select("doc_id", "part", "ordinal", "n_tokens")
