@@ -12,6 +12,7 @@ from stratawell.llm import (
     compression_bands,
     huffman_tokens,
     positional_index,
+    repeated_substrings,
     separator_scan,
     tensored_minhash,
 )
@@ -47,6 +48,11 @@ def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positional_index.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that start elsewhere too."""
+    return repeated_substrings.removal_report(_table(spark, sf_dir, "documents"))
+
+
 OP3_SQL = r"""
 WITH docs AS (
     SELECT row_number() OVER () AS rid, doc_id,
@@ -131,6 +137,7 @@ QUERIES: dict[str, Builder] = {
     "op1_compression_bands": op1_compression_bands,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_positional_index": op3_positional_index,
+    "op4_column_bwt": op4_column_bwt,
     "op5_separator_scan": op5_separator_scan,
     "op8_bayes_language": op8_bayes_language,
     "op9_huffman_tokens": op9_huffman_tokens,
