@@ -26,6 +26,7 @@ from stratawell.llm.words import codes_of, lower_ascii, slices, span_strings, te
 from stratawell.session import materialize, spread
 
 WORD = np.uint64(0x9E3779B97F4A7C15)
+SLICE = 2 << 20  # bytes of text that a task works on at a time
 OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -111,7 +112,7 @@ def document_sets(docs: DataFrame, plan: Banding) -> DataFrame:
     """doc_id, n_shingles, the marks of the set, and both collections of partial keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, budget=SLICE):
             sets, bounds = shingle_sets(part.column(1), plan.shingle)
             u, v = sketch(sets, bounds, plan)
             s1, s2 = _set_marks(sets, bounds)
@@ -154,7 +155,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, plan: Banding) -> DataFrame:
     found = wanted.join(texts, wanted["doc"].eqNullSafe(texts["doc_id"])).select("cid", "s1", "s2", "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
+        for part in slices(batches, budget=SLICE):
             sets, bounds = shingle_sets(part.column(3), plan.shingle)
             s1, s2 = _set_marks(sets, bounds)
             # An id may stand for several texts; only the one of this class counts.
