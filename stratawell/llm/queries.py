@@ -10,6 +10,7 @@ from stratawell.llm import (
     bayes_language,
     best_fit_packing,
     compression_bands,
+    deobfuscation,
     huffman_tokens,
     positional_index,
     repeated_substrings,
@@ -112,6 +113,16 @@ def op5_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separator_scan.token_counts(docs, _vocabulary("word_bpe_49k.json"), END_OF_TEXT, folder)
 
 
+def op6_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    letters = deobfuscation.fit_letters(docs)
+    learnt = docs.where(~bayes_language.held_out(F.col("doc_id")))
+    model = deobfuscation.fit_toxicity(learnt, labels.where(~bayes_language.held_out(F.col("doc_id"))), letters)
+    found = deobfuscation.toxicity(docs, model)
+    return found.select("doc_id", bayes_language.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_restored")
+
+
 def op8_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from rows that are not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -139,6 +150,7 @@ QUERIES: dict[str, Builder] = {
     "op3_positional_index": op3_positional_index,
     "op4_column_bwt": op4_column_bwt,
     "op5_separator_scan": op5_separator_scan,
+    "op6_deobfuscation": op6_deobfuscation,
     "op8_bayes_language": op8_bayes_language,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_tensored_minhash": op10_tensored_minhash,
