@@ -102,7 +102,8 @@ def phrase_matches(index: Index, docs: DataFrame, phrases: DataFrame, lists: int
         places = met.unionByName(places.join(short, "wid", "left_semi"))
     places = materialize(places.distinct())
     keyed = docs.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("doc_id", "text").alias("mark"), "text")
-    concerned = keyed.join(places.select("id", "mark").distinct(), ["id", "mark"], "left_semi")
+    # The documents concerned grow with the input, so they are never broadcast, however few.
+    concerned = keyed.join(places.select("id", "mark").distinct().hint("merge"), ["id", "mark"], "left_semi")
     texts = materialize(concerned.select("id", "mark", words(F.col("text")).alias("w")).dropDuplicates(["id", "mark"]))
     same = F.slice("w", F.col("start") + 1, F.col("len")) == F.col("terms")
     checked = places.join(texts, ["id", "mark"]).join(ranked.select("wid", "terms"), "wid")
@@ -179,4 +180,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFram
     windows, _ = benchmark_windows(benchmark, size)
     hit = phrase_matches(index, docs, windows).select(F.col("id").alias("_id"), F.col("mark").alias("_mark")).distinct()
     same = (F.coalesce(docs["doc_id"], F.lit(0)) == F.col("_id")) & (F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_mark"))
-    return docs.join(hit, same, "left_anti")
+    return docs.join(hit.hint("merge"), same, "left_anti")
