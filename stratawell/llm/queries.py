@@ -10,6 +10,7 @@ from stratawell.llm import (
     bayes_language,
     best_fit_packing,
     compression_bands,
+    crf_extract,
     deobfuscation,
     huffman_tokens,
     positional_index,
@@ -123,6 +124,12 @@ def op6_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", bayes_language.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_restored")
 
 
+def op7_crf_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages")
+    return crf_extract.extract(pages, crf_extract.fit(pages))
+
+
 def op8_bayes_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from rows that are not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -151,6 +158,7 @@ QUERIES: dict[str, Builder] = {
     "op4_column_bwt": op4_column_bwt,
     "op5_separator_scan": op5_separator_scan,
     "op6_deobfuscation": op6_deobfuscation,
+    "op7_crf_extract": op7_crf_extract,
     "op8_bayes_language": op8_bayes_language,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_tensored_minhash": op10_tensored_minhash,
