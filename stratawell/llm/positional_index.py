@@ -178,6 +178,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFram
     """The rows of ``docs``, all columns as they are, that hold no window of the benchmark."""
     index = build_index(docs, benchmark)
     windows, _ = benchmark_windows(benchmark, size)
-    hit = phrase_matches(index, docs, windows).select(F.col("id").alias("_id"), F.col("mark").alias("_mark")).distinct()
-    same = (F.coalesce(docs["doc_id"], F.lit(0)) == F.col("_id")) & (F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_mark"))
+    hit = phrase_matches(index, docs, windows).select("id", "mark").distinct()
+    same = (F.coalesce(docs["doc_id"], F.lit(0)) == hit["id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == hit["mark"])
     return docs.join(hit.hint("merge"), same, "left_anti")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stratawell.llm.column_bwt import repeated_starts
-from stratawell.llm.words import slices, text_bytes
+from stratawell.llm.words import slices, text_bytes, unused
 from stratawell.session import materialize, spread
 
 LENGTH = 200
@@ -123,7 +123,7 @@ def _all_fragments(docs: DataFrame, length: int) -> DataFrame:
                     names=["id", "mark", *found],
                 )
 
-    keyed = _keyed(docs).select("id", "mark", "text")
+    keyed = _keyed(docs.select("doc_id", "text")).select("id", "mark", "text")
     return keyed.mapInArrow(run, "id long, mark long, g long, f long, first long, starts long, tied boolean")
 
 
@@ -202,7 +202,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.col("text").cast("binary").alias("body"),
     )
     bodies = materialize(
-        compared.join(keyed, ["id", "mark"]).select(
+        compared.hint("merge").join(keyed, ["id", "mark"]).select(
             "g", "f", "n_kinds",
             F.substring("body", F.col("first").cast("int") + 1, (F.col("starts") + length - 1).cast("int")).alias("body"),
         ).dropDuplicates(["g", "f"])
@@ -243,7 +243,7 @@ def removal_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     length.
     """
     found = repeated_spans(docs, length)
-    joined = _keyed(docs.select("doc_id", "text")).join(found, ["id", "mark"], "left").select("doc_id", "text", "spans")
+    joined = _keyed(docs.select("doc_id", "text")).join(found.hint("merge"), ["id", "mark"], "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,9 +265,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Characters that a cut splits go as a whole. ``n_chars``, if there is such a column, follows the
     text. A document of which nothing is left goes; one that was empty before stays.
     """
-    found = repeated_spans(docs, length).select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("spans").alias("_spans"))
-    same = (F.coalesce(docs["doc_id"], F.lit(0)).cast("long") == F.col("_id")) & (F.xxhash64(docs["doc_id"], docs["text"]) == F.col("_mark"))
-    joined = docs.join(found, same, "left").drop("_id", "_mark")
+    own = unused(docs.columns, "id", "mark", "spans")
+    found = repeated_spans(docs, length).toDF(*own)
+    same = (F.coalesce(docs["doc_id"], F.lit(0)).cast("long") == found[own[0]]) & (F.xxhash64(docs["doc_id"], docs["text"]) == found[own[1]])
+    joined = docs.join(found.hint("merge"), same, "left").drop(own[0], own[1])
     at, schema = docs.columns.index("text"), docs.schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

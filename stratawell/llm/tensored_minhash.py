@@ -19,10 +19,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from stratawell.llm.links import components
-from stratawell.llm.words import codes_of, lower_ascii, slices, span_strings, text_bytes, word_spans
+from stratawell.llm.words import codes_of, lower_ascii, slices, span_strings, text_bytes, unused, word_spans
 from stratawell.session import materialize, spread
 
 WORD = np.uint64(0x9E3779B97F4A7C15)
@@ -170,7 +170,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, plan: Banding) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, plan: Banding = Banding()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, group of every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id, kept, group, and the set's marks, of every row of ``docs``.
 
     ``component_id`` is the smallest doc_id that links lead to, ``kept`` says that it is the row's
     own, ``group`` numbers the components. A text without words has the empty set and is linked
@@ -243,5 +243,44 @@ def near_duplicates(docs: DataFrame, plan: Banding = Banding()) -> DataFrame:
         .select("doc_id", "n_shingles", "s1", "s2", "group", "component_id").unionByName(nothing)
     )
     return found.select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "group"
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "group",
+        "s1", "s2",
     )
+
+
+def keep_one(docs: DataFrame, plan: Banding = Banding()) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, without all but one of each group.
+
+    The row whose doc_id is the smallest of its group stays. Texts without words stay. Of rows that
+    repeat that doc_id with an equal set of shingles, one stays.
+    """
+    found = near_duplicates(docs, plan).where("n_shingles > 0")
+    dropped = found.where("NOT kept").select("doc_id", "s1", "s2").distinct()
+    # Rows carry the marks of their sets, so that an id with several texts is told apart.
+    m1, m2 = unused(docs.columns, "s1", "s2")
+    marked = _marked(docs, plan, m1, m2)
+
+    def same(other: DataFrame):
+        return marked["doc_id"].eqNullSafe(other["doc_id"]) & (marked[m1] == other["s1"]) & (marked[m2] == other["s2"])
+
+    kept = marked.join(dropped.hint("merge"), same(dropped), "left_anti")
+    twice = materialize(
+        found.where("kept").groupBy("doc_id", "s1", "s2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    )
+    if twice.isEmpty():
+        return kept.drop(m1, m2)
+    once = marked.join(twice, same(twice), "left_semi").dropDuplicates(["doc_id", m1, m2])
+    return kept.join(twice, same(twice), "left_anti").unionByName(once).drop(m1, m2)
+
+
+def _marked(docs: DataFrame, plan: Banding, m1: str, m2: str) -> DataFrame:
+    """``docs`` with the marks of each row's set of shingles."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, budget=SLICE):
+            s1, s2 = _set_marks(*shingle_sets(part.column(at), plan.shingle))
+            yield part.append_column(m1, pa.array(s1)).append_column(m2, pa.array(s2))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(m1, T.LongType()), T.StructField(m2, T.LongType())])
+    return spread(docs).mapInArrow(run, schema)

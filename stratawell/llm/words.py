@@ -17,6 +17,17 @@ NOT_BLANK = np.ones(256, dtype=bool)
 NOT_BLANK[[0x20, *range(0x09, 0x0E)]] = False
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, changed where a table already has such a column."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], column: str = "text", budget: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
