@@ -15,24 +15,33 @@ import numpy as np
 
 
 class ColumnTable:
-    """The two files of a round; they hold one byte per suffix each."""
+    """The two files of a round and those of the next; they hold one byte per suffix each.
 
-    def __init__(self, folder: str):
-        self.folder, self.round = folder, 0
+    The four files stay open and are written over, for opening costs more than a short round.
+    """
 
-    def _names(self) -> tuple[str, str]:
-        side = self.round % 2
-        return os.path.join(self.folder, f"symbols-{side}"), os.path.join(self.folder, f"prefixes-{side}")
+    def __init__(self, folder: str):
+        names = ("symbols-0", "prefixes-0", "symbols-1", "prefixes-1")
+        self.files = [open(os.path.join(folder, name), "w+b") for name in names]
+        self.round = self.rows = 0
 
     def read(self) -> tuple[np.ndarray, np.ndarray]:
-        symbols, prefixes = self._names()
-        return np.fromfile(symbols, np.uint8), np.fromfile(prefixes, np.uint8)
+        out = []
+        for f in self.files[2 * (self.round % 2) :][:2]:
+            f.seek(0)
+            out.append(np.fromfile(f, np.uint8, self.rows))
+        return out[0], out[1]
 
     def write(self, symbols: np.ndarray, prefixes: np.ndarray) -> None:
-        self.round += 1
-        for name, values in zip(self._names(), (symbols, prefixes)):
-            with open(name, "wb") as f:
-                f.write(np.ascontiguousarray(values).data)
+        self.round, self.rows = self.round + 1, len(symbols)
+        for f, values in zip(self.files[2 * (self.round % 2) :], (symbols, prefixes)):
+            f.seek(0)
+            f.write(np.ascontiguousarray(values).data)
+            f.flush()
+
+    def close(self) -> None:
+        for f in self.files:
+            f.close()
 
 
 def _merge(old: np.ndarray, at: np.ndarray, new: np.ndarray) -> np.ndarray:
@@ -112,6 +121,7 @@ def transform(strings: list[bytes], cap: int = 200, folder: str | None = None) -
             table.write(_merge(symbols, new, before(which, size)), grown)
             row = new
         symbols, prefixes = table.read()
+        table.close()
     return symbols, prefixes, alphabet
 
 

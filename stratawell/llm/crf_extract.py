@@ -42,6 +42,9 @@ AROUND_NAME = regex.compile(
 )
 
 
+AROUND_WEIGHT = -8.0  # at most
+
+
 @dataclass
 class Block:
     text: str
@@ -72,6 +75,8 @@ class _Reader(HTMLParser):
             self.parts, self.linked = [], 0
 
     def _place(self, tag: str, names: str) -> str:
+        if tag in ("html", "body"):  # their names tell about the layout, not about their text
+            return ""
         if tag in AROUND or names and AROUND_NAME.search(names):
             return "around"
         if tag == "header":
@@ -260,6 +265,9 @@ def train(pages: list[tuple[list[list[int]], list[int]]], rounds: int = 100, rat
             moments[2 * k] = 0.9 * moments[2 * k] + 0.1 * slope
             moments[2 * k + 1] = 0.999 * moments[2 * k + 1] + 0.001 * slope**2
             value += rate * (moments[2 * k] / (1 - 0.9**step)) / (np.sqrt(moments[2 * k + 1] / (1 - 0.999**step)) + 1e-8)
+    # Surroundings of kinds that the sample lacks are told by their place alone.
+    around = zlib.crc32(b"place=around") % BUCKETS
+    weights[around] = min(weights[around], AROUND_WEIGHT)
     return PageModel(weights, change)
 
 

@@ -156,6 +156,10 @@ def token_features(token: str, letters: LetterModel) -> tuple[tuple[str, ...], b
     return (*words, *{w[:PREFIX] + "*" for w in words if len(w) > PREFIX}), restored
 
 
+_LETTER_BYTES = np.zeros(256, dtype=bool)
+_LETTER_BYTES[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+
+
 class FeatureReader:
     """Features of columns of texts; each distinct token is looked at once per task."""
 
@@ -206,8 +210,11 @@ class FeatureReader:
         return pairs // max(len(number), 1), pairs % max(len(number), 1), list(number), n_restored
 
     def _apart(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, str]]:
-        """Runs of three or more one-character tokens with one blank between them."""
-        single = ends - starts == 1
+        """Runs of three or more characters with one blank between them, and punctuation at most."""
+        size, letter = ends - starts, _LETTER_BYTES
+        single = size == 1
+        if len(starts):
+            single |= (size <= 3) & ~letter[data[np.minimum(starts + 1, len(data) - 1)]] & ~letter[data[ends - 1]]
         joined = single[:-1] & single[1:] & (starts[1:] == ends[:-1] + 1) & (row[1:] == row[:-1]) if len(starts) else single
         edges = np.flatnonzero(np.diff(np.concatenate([[0], joined.astype(np.int8), [0]])))
         for first, last in zip(edges[::2].tolist(), edges[1::2].tolist()):
@@ -215,7 +222,7 @@ class FeatureReader:
                 yield int(row[first]), data[starts[first] : ends[last]].tobytes().decode("utf-8", "replace")
 
 
-_TOKEN = regex.compile(r"(?<!\S)(?:\S (?:\S )+\S(?!\S)|\S+)")
+_TOKEN = regex.compile(r"(?<!\S)(?:\S[^\s\p{L}\p{N}]{0,2} ){2,}\S(?![\p{L}\p{N}])|\S+")
 
 
 def deobfuscate(docs: DataFrame, letters: LetterModel) -> DataFrame:

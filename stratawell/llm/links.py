@@ -26,7 +26,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(a, b) links between long ids to (node, root): root is the smallest id of the component.
 
-    Only nodes with a link to another node appear. The rounds grow with the logarithm of the
+    Roots themselves, and nodes without a link to another one, do not appear. The rounds grow with the logarithm of the
     longest chain; each is written to the shared folder. A node with very many links is summed
     before the shuffle and split by adaptive joins, never gathered.
     """

@@ -1,11 +1,13 @@
 """Removal of long substrings that start at two places or more, from sorted suffixes.
 
-Only strings that can repeat are sorted. Every string of 200 bytes has a least k-gram (by hash),
-which depends on the string alone, so equal strings have equal least k-grams wherever they stand.
-Documents are cut into fragments, one per stretch of starts with the same least k-gram; fragments
-of one k-gram form a group, and equal strings always meet in a group. Equal fragments count once.
-The different fragments of a group go, with those of other groups, into a collection whose
-Burrows-Wheeler transform and common prefixes are built column by column.
+Only strings that can repeat are sorted. Every string of 200 bytes has a first least k-gram (by
+hash), its anchor, which depends on the string alone, so equal strings have equal anchors wherever
+they stand. Documents are cut into fragments, one per stretch of starts with the same anchor;
+fragments of one k-gram form a group, and equal strings always meet in a group. Equal fragments
+count once. Where a group has different fragments, each is cut by the distance of its starts from
+the anchor, and pieces of one distance go on if another one shares the bytes that all their strings
+have in common. The pieces of many groups form a collection whose Burrows-Wheeler transform and
+common prefixes are built column by column.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from stratawell.session import materialize, spread
 LENGTH = 200
 GRAM = 32  # a power of two
 SLICE = 2 << 20
-COLLECTION = 600  # fragments sorted at a time, more only where one group has more
+REACH = 43  # distances from the anchor that a piece spans
+COLLECTION = 1500  # pieces sorted at a time
 GROUP_LIMIT = 400  # different fragments of a group that are sorted together
 BASE = np.uint64(0xD6E8FEB86659FD93)
 INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
@@ -71,9 +74,9 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 def fragments(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
     """The fragments of some documents laid end to end: group, content hash, row, first start
-    within the row, number of starts, and whether it may repeat a string in itself."""
+    within the row, number of starts, and the anchor's distance from the first start."""
     none = np.zeros(0, np.int64)
-    empty = {"g": none, "f": none, "row": none, "first": none, "starts": none, "tied": none.astype(bool)}
+    empty = {"g": none, "f": none, "row": none, "first": none, "starts": none, "anchor": none}
     if len(data) < length:
         return empty
     grams = _Hashes(data)
@@ -85,25 +88,30 @@ def fragments(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram:
     starts = np.flatnonzero(np.arange(len(least)) + length <= bounds[row_of + 1])
     if not len(starts):
         return empty
-    anchor = (least[starts] & np.uint64((1 << 24) - 1)).astype(np.int64)
-    group, row = hashes[anchor], row_of[starts]
+    anchor, row = (least[starts] & np.uint64((1 << 24) - 1)).astype(np.int64), row_of[starts]
     new = np.ones(len(starts), dtype=bool)
-    new[1:] = (group[1:] != group[:-1]) | (row[1:] != row[:-1]) | (starts[1:] != starts[:-1] + 1)
-    # Long stretches (of repetitive text) are cut; the pieces are of one group all the same.
-    opened = np.flatnonzero(new)
-    since = np.arange(len(starts)) - np.repeat(opened, np.diff(np.append(opened, len(starts))))
-    first = np.flatnonzero(new | (since % (length - gram + 1) == 0))
+    new[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1
-    moved = np.concatenate([[0], np.cumsum(anchor[1:] != anchor[:-1])])
-    begin, end = starts[first], starts[last] + length
+    begin, end, at = starts[first], starts[last] + length, anchor[first]
     return {
-        "g": group[first].view(np.int64), "f": grams.of(begin, end).view(np.int64), "row": row[first],
-        "first": begin - bounds[row[first]], "starts": last - first + 1, "tied": moved[last] > moved[first],
+        "g": hashes[at].view(np.int64), "f": grams.of(begin, end).view(np.int64), "row": row[first],
+        "first": begin - bounds[row[first]], "starts": last - first + 1, "anchor": at - begin,
     }
 
 
+def pieces(body: bytes, anchor: int, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, bytes, int, bytes]]:
+    """(distance class, bytes common to all its strings, first start, bytes) of a fragment."""
+    last_start = len(body) - length
+    for k, near in enumerate(range(0, length - gram + 1, REACH)):
+        far = min(near + REACH - 1, length - gram)
+        lo, hi = max(0, anchor - far), min(last_start, anchor - near)
+        if lo <= hi:
+            yield k, body[anchor - near : anchor - far + length], lo, body[lo : hi + length]
+
+
 def _all_fragments(docs: DataFrame, length: int) -> DataFrame:
-    """(id, mark, g, f, first, starts, tied) of all documents; (id, mark) names a document."""
+    """(id, mark, g, f, first, starts, anchor) of all documents; (id, mark) names a document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, budget=SLICE):
@@ -124,7 +132,7 @@ def _all_fragments(docs: DataFrame, length: int) -> DataFrame:
                 )
 
     keyed = _keyed(docs.select("doc_id", "text")).select("id", "mark", "text")
-    return keyed.mapInArrow(run, "id long, mark long, g long, f long, first long, starts long, tied boolean")
+    return keyed.mapInArrow(run, "id long, mark long, g long, f long, first long, starts long, anchor long")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -134,29 +142,42 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _sorted_out(strings: DataFrame, length: int) -> DataFrame:
-    """(g, f, lo, hi): stretches of starts that repeat, from whole groups of (g, f, body)."""
+    """(g, f, lo, hi): stretches of starts that repeat, from whole groups of (g, f, copies, anchor, body)."""
 
-    def flush(keys: list, bodies: list[bytes]) -> pa.RecordBatch:
+    def flush(waiting: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
         out = []
-        for (g, f), at in zip(keys, repeated_starts(bodies, length)):
+        for (g, f, lo, _), at in zip(waiting, repeated_starts([w[3] for w in waiting], length)):
             if len(at):
                 breaks = np.flatnonzero(np.diff(at) > 1)
-                for lo, hi in zip(at[np.append(0, breaks + 1)].tolist(), at[np.append(breaks, len(at) - 1)].tolist()):
-                    out.append((g, f, lo, hi))
+                for a, b in zip(at[np.append(0, breaks + 1)].tolist(), at[np.append(breaks, len(at) - 1)].tolist()):
+                    out.append((g, f, lo + a, lo + b))
         columns = list(zip(*out)) or [[], [], [], []]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["g", "f", "lo", "hi"])
 
+    def shared(group: list[tuple]) -> Iterator[tuple[int, int, int, bytes]]:
+        """Pieces that another fragment may repeat, where something is left to find out."""
+        classes: dict[tuple[int, bytes], list] = {}
+        for g, f, copies, anchor, body in group:
+            for k, core, lo, piece in pieces(body, anchor, length):
+                classes.setdefault((k, core), []).append((copies, (g, f, lo, piece)))
+        for found in classes.values():
+            if len(found) > 1 and any(copies == 1 for copies, _ in found):
+                yield from (piece for _, piece in found)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, bodies = [], []
+        waiting, group = [], []
         for batch in batches:
-            for g, f, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if len(bodies) >= COLLECTION and g != keys[-1][0]:
-                    yield flush(keys, bodies)
-                    keys, bodies = [], []
-                keys.append((g, f))
-                bodies.append(body)
-        if bodies:
-            yield flush(keys, bodies)
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if group and row[0] != group[0][0]:
+                    waiting += shared(group)
+                    group = []
+                    if len(waiting) >= COLLECTION:
+                        yield flush(waiting)
+                        waiting = []
+                group.append(row)
+        waiting += shared(group)
+        if waiting:
+            yield flush(waiting)
 
     spark = strings.sparkSession
     n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -190,25 +211,22 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     cut = materialize(_all_fragments(docs, length))
     kinds = materialize(
-        cut.groupBy("g", "f").agg(
-            F.count("*").alias("copies"), F.min(F.struct("id", "mark", "first", "starts")).alias("at"), F.max("tied").alias("tied")
-        )
+        cut.groupBy("g", "f").agg(F.count("*").alias("copies"), F.min(F.struct("id", "mark", "first", "starts", "anchor")).alias("at"))
     )
-    groups = kinds.groupBy("g").agg(F.count("*").alias("n_kinds"), F.max("tied").alias("any_tied"))
-    groups = groups.where("n_kinds > 1 OR any_tied").select("g", "n_kinds")
-    compared = materialize(kinds.join(groups, "g").select("g", "f", "n_kinds", "at.*"))
+    groups = kinds.groupBy("g").agg(F.count("*").alias("n_kinds")).where("n_kinds > 1")
+    compared = materialize(kinds.join(groups, "g").select("g", "f", "copies", "n_kinds", "at.*"))
     keyed = docs.where("text IS NOT NULL").select(
         F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.xxhash64("doc_id", "text").alias("mark"),
         F.col("text").cast("binary").alias("body"),
     )
     bodies = materialize(
         compared.hint("merge").join(keyed, ["id", "mark"]).select(
-            "g", "f", "n_kinds",
+            "g", "f", "copies", "n_kinds", "anchor",
             F.substring("body", F.col("first").cast("int") + 1, (F.col("starts") + length - 1).cast("int")).alias("body"),
         ).dropDuplicates(["g", "f"])
     )
     small, large = f"n_kinds <= {GROUP_LIMIT}", f"n_kinds > {GROUP_LIMIT}"
-    within = _sorted_out(bodies.where(small).select("g", "f", "body"), length).unionByName(
+    within = _sorted_out(bodies.where(small).select("g", "f", "copies", "anchor", "body"), length).unionByName(
         _counted_out(bodies.where(large).select("g", "f", "body"), length)
     )
     whole = kinds.where("copies > 1").select("g", "f", F.lit(0).cast("long").alias("lo"), (F.col("at.starts") - 1).alias("hi"))
