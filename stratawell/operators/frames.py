@@ -22,10 +22,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stratawell.config import PRODUCTION, Series
-from stratawell.session import checked_broadcast, is_small, materialize
+from stratawell.session import checked_broadcast, materialize, row_bound
 
 MAX_ENTITY_ROWS = 2_000_000
-WIDTHS = (30 * 86_400, 7 * 86_400, 86_400, 6 * 3_600, 3_600)  # seconds; each a multiple of the last
 BUCKETS = ("month", "day", "hour", "minute", "second")  # calendar buckets, widest first
 BUCKETS_PER_BLOCK = 10
 
@@ -87,10 +86,14 @@ def with_frames(
 ) -> DataFrame:
     """Add one column per measure.
 
-    ``strategy``: ``plain``, ``blocks``, or ``auto`` (plain when the input is small by file size
-    or no entity exceeds ``max_rows``, else blocks).
+    ``strategy``: ``plain``, ``blocks``, or ``auto`` (plain when the input or every entity has at
+    most ``max_rows`` rows, else blocks). Both give the same types and values, also for rows
+    without a time, which come first.
     """
-    if strategy == "plain" or (strategy == "auto" and is_small(df)):
+    if strategy == "plain":
+        return _plain(df, measures, series)
+    bound = row_bound(df) if strategy == "auto" else None
+    if bound is not None and bound <= max_rows:
         return _plain(df, measures, series)
     bucket, profile = _fitting_profile(df, measures, series, max_rows)
     if profile is None and strategy == "auto":
@@ -260,11 +263,15 @@ def _layout(profile: DataFrame, measures, series: Series, max_rows: int) -> Data
 
 def _blocked(df, measures, series: Series, profile, max_rows: int, bucket: str) -> DataFrame:
     e = series.entity
-    layout = checked_broadcast(_layout(profile, measures, series, max_rows))
+    layout = _layout(profile, measures, series, max_rows)
+    layout = checked_broadcast(
+        layout.withColumnsRenamed({e: "_entity", "_bucket": "_from"})
+    )
     no_context = F.array().cast("array<bigint>")
+    timed = df.withColumn("_bucket", _bucket_of(series, bucket))
+    here = timed[e].eqNullSafe(layout["_entity"]) & timed["_bucket"].eqNullSafe(layout["_from"])
     placed = (
-        df.withColumn("_bucket", _bucket_of(series, bucket))
-        .join(layout, [e, "_bucket"], "left")
+        timed.join(layout, here, "left")
         .withColumn("_block", F.coalesce("_block", F.lit(0)))
         .withColumn(
             "_to", F.explode(F.concat(F.array("_block"), F.coalesce("_context", no_context)))
@@ -272,6 +279,8 @@ def _blocked(df, measures, series: Series, profile, max_rows: int, bucket: str)
         .withColumn("_own", F.col("_to") == F.col("_block"))
     )
     block = [e, "_to"]
+    types = _plain(df, measures, series).schema
+    types = {m.name: types[m.name].dataType for m in measures}
     out = {}
     for m in measures:
         own = F.when(F.col("_own"), F.col(m.column))
@@ -279,10 +288,10 @@ def _blocked(df, measures, series: Series, profile, max_rows: int, bucket: str)
             case Running():
                 inside = _over(m, block, series, own)
                 base = F.col(f"_r_{m.name}")
-                out[m.name] = F.when(
-                    inside.isNotNull() | base.isNotNull(),
-                    F.coalesce(inside, F.lit(0.0)) + F.coalesce(base, F.lit(0.0)),
-                )
+                kind = types[m.name]
+                zero = F.lit(0).cast(kind)
+                both = F.coalesce(inside, zero) + F.coalesce(base.cast(kind), zero)
+                out[m.name] = F.when(inside.isNotNull() | base.isNotNull(), both.cast(kind))
             case Overall():
                 span = Window.partitionBy(*block)
                 if m.expanding:
@@ -292,9 +301,10 @@ def _blocked(df, measures, series: Series, profile, max_rows: int, bucket: str)
                 if m.expanding:
                     total = total + F.coalesce(F.sum(own).over(span), F.lit(0.0))
                     n = n + F.count(own).over(span)
-                    out[m.name] = F.when(n > 0, total / n)
+                    mean = F.when(n > 0, total / n)
                 else:
-                    out[m.name] = F.coalesce(F.when(n > 0, total / n), F.avg(own).over(span))
+                    mean = F.coalesce(F.when(n > 0, total / n), F.avg(own).over(span))
+                out[m.name] = mean.cast(types[m.name])
             case _:
                 out[m.name] = _over(m, block, series)
     kept = [F.col(c) for c in df.columns] + [F.col(m.name) for m in measures]
@@ -310,45 +320,51 @@ def with_duration_mean(
     name: str,
     seconds: int,
     series: Series = PRODUCTION,
-    width: int | None = None,
     max_rows: int = MAX_ENTITY_ROWS,
+    strategy: str = "auto",
 ) -> DataFrame:
-    """Mean over the ``seconds`` before each row, the row itself left out.
+    """Mean over the ``seconds`` before each row, the row's own second left out.
 
-    Series are cut into calendar blocks of ``width`` seconds; a row is also sent to the later
-    blocks whose first rows look back to it. Without a width, small input takes the widest, and
-    other input the widest whose fullest block stays within ``max_rows``.
+    Every row enters the mean one second after its time and leaves it ``seconds`` later, so the
+    mean is a running sum of what enters and leaves, which ``with_frames`` splits where an entity
+    is large. What enters and leaves is added up per second first. A row without a time keeps its
+    place with a NULL mean.
     """
-    timed = df.withColumn("_at", F.unix_seconds(F.col(series.time).cast("timestamp")))
-    if width is None:
-        width = WIDTHS[0] if is_small(df) else _fitting_width(timed, series, max_rows)
-    block = F.floor(F.col("_at") / F.lit(width))
-    last = F.floor((F.col("_at") + F.lit(seconds)) / F.lit(width))
-    placed = timed.withColumn("_block", block).withColumn(
-        "_to", F.explode(F.sequence(F.col("_block"), last))
+    e = series.entity
+    at = F.unix_seconds(F.col(series.time).cast("timestamp"))
+    value = F.col(column).cast("double")
+    moved = df.filter(at.isNotNull() & value.isNotNull()).select(
+        F.col(e).alias("_e"), value.alias("_v"), at.alias("_s"), F.lit(1).cast("bigint").alias("_n")
+    )
+    both = F.explode(
+        F.array(
+            F.struct((F.col("_s") + 1).alias("at"), F.col("_v").alias("v"), F.col("_n").alias("n")),
+            F.struct((F.col("_s") + seconds + 1).alias("at"), (-F.col("_v")).alias("v"), (-F.col("_n")).alias("n")),
+        )
     )
-    span = Window.partitionBy(series.entity, "_to").orderBy("_at").rangeBetween(-seconds, -1)
-    return (
-        placed.withColumn(name, F.avg(column).over(span))
-        .filter(F.col("_to") == F.col("_block"))
-        .select(*[F.col(c) for c in df.columns], F.col(name))
+    steps = (
+        moved.select("_e", both.alias("_x"))
+        .groupBy("_e", F.col("_x.at").alias("_s"))
+        .agg(F.sum("_x.v").alias("_v"), F.sum("_x.n").alias("_n"))
     )
-
-
-def _fitting_width(timed: DataFrame, series: Series, max_rows: int) -> int:
-    """Widest block that keeps every (entity, block) within bounds; the narrowest if none does."""
-    finest = timed.groupBy(
-        series.entity, F.floor(F.col("_at") / F.lit(WIDTHS[-1])).alias("_hour")
-    ).agg(F.count(F.lit(1)).alias("_n"))
-    finest = materialize(finest)
-    for width in WIDTHS[:-1]:
-        ratio = width // WIDTHS[-1]
-        peak = (
-            finest.groupBy(series.entity, F.floor(F.col("_hour") / F.lit(ratio)))
-            .agg(F.sum("_n").alias("_n"))
-            .agg(F.max("_n"))
-            .first()[0]
+    own = F.struct(*[F.col(c) for c in df.columns])
+    rows = df.select(F.col(e).alias("_e"), at.alias("_s"), own.alias("_row"))
+    placed = steps.withColumn("_row", F.lit(None).cast(rows.schema["_row"].dataType)).unionByName(
+        rows.filter(F.col("_s").isNotNull()).withColumns(
+            {"_v": F.lit(None).cast("double"), "_n": F.lit(None).cast("bigint")}
         )
-        if peak is None or peak <= max_rows:
-            return width
-    return WIDTHS[-1]
+    )
+    # Steps of a second come before its rows.
+    timed = placed.withColumns(
+        {"_at": F.timestamp_seconds("_s"), "_asks": F.col("_row").isNotNull()}
+    )
+    summed = with_frames(
+        timed,
+        [Running("_v", "_sum"), Running("_n", "_count")],
+        Series(entity="_e", time="_at", tie=("_asks",)),
+        max_rows,
+        strategy,
+    ).filter("_asks")
+    found = summed.select("_row.*", F.when(F.col("_count") > 0, F.col("_sum") / F.col("_count")).alias(name))
+    untimed = rows.filter(F.col("_s").isNull()).select("_row.*", F.lit(None).cast("double").alias(name))
+    return found.unionByName(untimed)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from stratawell.config import PRODUCTION, Series
 from stratawell.operators.frames import Lag, Lead, Measure, Trailing, with_frames
+from stratawell.session import materialize
 from stratawell.sinks.tables import Lake
 
 
@@ -36,8 +37,8 @@ def backfill(
     cluster = [e, *series.order]
 
     kept = lake.read(source).filter((F.col(partition) == year) & (F.col(t) != at))
-    lake.overwrite_partitions(
-        source, kept.unionByName(day_rows.select(*kept.columns)), partition, cluster
+    lake.replace_partition(
+        source, kept.unionByName(day_rows.select(*kept.columns)), partition, year, cluster
     )
 
     rows = lake.read(source)
@@ -55,11 +56,13 @@ def backfill(
             later.filter(F.col("_k") <= 2 * reach).withColumn("_due", F.col("_k") <= reach)
         )
     )
-    fresh = with_frames(stretch.drop("_k"), measures, series).filter("_due").drop("_due")
+    fresh = materialize(with_frames(stretch.drop("_k"), measures, series).filter("_due").drop("_due"))
 
     keys = [e, *series.order]
     years = lake.years(fresh, partition) | {year}
     old = lake.read(target).filter(F.col(partition).isin(list(years)))
     others = old.filter(F.col(t) != at).join(fresh.select(*keys), keys, "left_anti")
-    merged = others.unionByName(fresh.select(*old.columns))
-    lake.overwrite_partitions(target, merged, partition, cluster)
+    # Written before the first of these years is replaced, since it reads all of them.
+    merged = materialize(others.unionByName(fresh.select(*old.columns)))
+    for y in sorted(years):
+        lake.replace_partition(target, merged.filter(F.col(partition) == y), partition, y, cluster)

@@ -58,11 +58,11 @@ def bronze_trajectory(
     )
 
 
-def rows_per_well_year(df: DataFrame, limit: int = 30) -> DataFrame:
-    """Row counts of the first wells and years, as a load check."""
-    return (
+def rows_per_well_year(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Row counts of wells and years, as a load check; ``limit`` gives the first ones only."""
+    counts = (
         df.groupBy("well_id", "date_year")
         .agg(F.count(F.lit(1)).alias("row_count"))
         .orderBy("well_id", "date_year")
-        .limit(limit)
     )
+    return counts if limit is None else counts.limit(limit)

@@ -88,8 +88,9 @@ def silver_trajectory(bronze: DataFrame, processed_ts=None) -> DataFrame:
 # ---- load checks -----------------------------------------------------------------------------------
 
 
-def production_summary(silver: DataFrame, limit: int = 30) -> DataFrame:
-    return (
+def production_summary(silver: DataFrame, limit: int | None = None) -> DataFrame:
+    """Rows, means and flag counts per well and year; ``limit`` gives the first ones only."""
+    summary = (
         silver.groupBy("well_id", "date_year")
         .agg(
             F.count(F.lit(1)).alias("rows"),
@@ -99,8 +100,8 @@ def production_summary(silver: DataFrame, limit: int = 30) -> DataFrame:
             kpis.as_count(~F.col("is_pressure_valid")).alias("invalid_pressure_rows"),
         )
         .orderBy("well_id", "date_year")
-        .limit(limit)
     )
+    return summary if limit is None else summary.limit(limit)
 
 
 def null_counts(df: DataFrame, columns: dict[str, str]) -> DataFrame:

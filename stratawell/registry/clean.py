@@ -203,13 +203,24 @@ def flow_kind_filter(spark, sf):
 
 @query(
     "counts_by_year",
+    f"""WITH {RAW_SQL}
+        SELECT well_id, CAST(year(DATEPRD) AS INTEGER) AS date_year, count(*) AS row_count
+        FROM raw WHERE NOT is_header AND NOT no_date AND well_id IS NOT NULL GROUP BY ALL""",
+)
+def counts_by_year(spark, sf):
+    return rows_per_well_year(bronze(spark, sf, None).filter(F.length("well_id") > 0))
+
+
+@query(
+    "counts_by_year_first_30",
     f"""WITH {RAW_SQL}
         SELECT well_id, CAST(year(DATEPRD) AS INTEGER) AS date_year, count(*) AS row_count
         FROM raw WHERE NOT is_header AND NOT no_date AND well_id IN ('F-1', 'F-11', 'F-12')
         GROUP BY ALL ORDER BY well_id, date_year NULLS FIRST LIMIT 30""",
 )
-def counts_by_year(spark, sf):
-    return rows_per_well_year(bronze(spark, sf, WELLS_IN_SCOPE))
+def counts_by_year_first_30(spark, sf):
+    """The console report: the first 30 counts of the wells in scope."""
+    return rows_per_well_year(bronze(spark, sf, WELLS_IN_SCOPE), limit=30)
 
 
 @query(
@@ -220,7 +231,7 @@ def counts_by_year(spark, sf):
                {plain_r('avg(gas_oil_ratio)', 'avg_gor', 4)},
                count(*) FILTER (WHERE is_zero_prod_uptime) AS zero_prod_days,
                count(*) FILTER (WHERE NOT is_pressure_valid) AS invalid_pressure_rows
-        FROM silver GROUP BY ALL ORDER BY well_id, date_year LIMIT 30""",
+        FROM silver GROUP BY ALL""",
 )
 def silver_summary(spark, sf):
     return production_summary(silver(spark, sf))

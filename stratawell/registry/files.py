@@ -13,7 +13,7 @@ from stratawell.registry.base import query, r, rounded
 from stratawell.registry.fixtures import RAW_SQL, STATIONS_SQL, raw_sheet, spread_lines, table, trajectory_documents
 from stratawell.session import scratch_path
 from stratawell.sources.production import POSITIONS, decode_workbooks, read_csv_sheet
-from stratawell.sources.trajectory import read_trajectories, route_document
+from stratawell.sources.trajectory import read_trajectories, route_document, route_documents
 from stratawell.sources.welllogs import logs_long, logs_wide, parse_logs
 
 
@@ -199,3 +199,25 @@ def route_docs(spark, sf):
     )
     path = F.concat(F.col("url"), F.lit("/"), F.get(parts, (F.col("page_id") % 7).cast("int")), F.lit("/1.xml"))
     return table(spark, sf, "pages").select("page_id", route_document(path).alias("doc_type"))
+
+
+@query(
+    "route_files",
+    """SELECT page_id, CASE page_id % 7 WHEN 0 THEN 'well_info' WHEN 1 THEN 'wellbore_info'
+              WHEN 2 THEN 'trajectory' WHEN 3 THEN 'messages' WHEN 4 THEN 'bha'
+              WHEN 5 THEN 'mud_log' ELSE 'other' END AS doc_type FROM pages""",
+)
+def route_files(spark, sf):
+    """A file for each page, in folders of several depths, some below underscore folders."""
+    root = scratch_path(spark, "documents")
+    names = ("_wellInfo", "_wellboreInfo", "trajectory", "message", "bhaRun", "mudLog", "log")
+    pages = table(spark, sf, "pages").select("page_id", F.concat(F.lit("page "), F.col("page_id")).alias("value"))
+    for at, folder in enumerate(names):
+        for level, above in enumerate(("a", "a/b/c/d", "a/_u/c")):
+            chosen = pages.filter((F.col("page_id") % 7 == at) & (F.floor(F.col("page_id") / 7) % 3 == level))
+            # One file per page, under its own folder.
+            kept = chosen.select("value", F.col("page_id").alias("n"))
+            kept.write.partitionBy("n").text(f"{root}/{above}/{folder}")
+    found = route_documents(spark, root)
+    page = F.regexp_extract("path", r"/n=([0-9]+)/[^/]+$", 1).cast("long")
+    return found.select(page.alias("page_id"), "doc_type")

@@ -105,6 +105,63 @@ def upsert_latest(spark, sf):
     return content(lake)
 
 
+# Every 13th of a month has no date; such rows are told apart by their bore code.
+UNDATED_SQL = f"""{SILVER_SQL}, part AS (
+  SELECT well_id, CASE WHEN day(DATEPRD) = 13 THEN NULL ELSE DATEPRD END AS DATEPRD,
+         WELL_BORE_CODE || strftime(DATEPRD, ' %Y-%m-%d') AS WELL_BORE_CODE,
+         CASE WHEN day(DATEPRD) = 13 THEN NULL ELSE date_year END AS date_year, BORE_OIL_VOL, BORE_GAS_VOL
+  FROM silver)"""
+
+
+def undated(spark, sf):
+    day = F.col("DATEPRD")
+    dated = F.dayofmonth(day) != 13
+    return silver(spark, sf).select(
+        "well_id",
+        F.when(dated, day).alias("DATEPRD"),
+        F.concat_ws(" ", "WELL_BORE_CODE", day.cast("string")).alias("WELL_BORE_CODE"),
+        F.when(dated, F.col("date_year")).alias("date_year"),
+        "BORE_OIL_VOL",
+        "BORE_GAS_VOL",
+    )
+
+
+@query(
+    "upsert_null_year",
+    f"""WITH {UNDATED_SQL}
+        SELECT well_id, DATEPRD, WELL_BORE_CODE, date_year, {r('BORE_OIL_VOL')},
+               {r('CASE WHEN date_year IS NULL AND BORE_OIL_VOL > 0 THEN -BORE_GAS_VOL ELSE BORE_GAS_VOL END', 'BORE_GAS_VOL')}
+        FROM part""",
+)
+def upsert_null_year(spark, sf):
+    """A batch without years changes its rows and leaves the other rows without a year."""
+    lake, _ = lake_with_silver(spark, sf, undated(spark, sf))
+    batch = undated(spark, sf).filter("date_year IS NULL AND BORE_OIL_VOL > 0")
+    batch = batch.withColumn("BORE_GAS_VOL", -F.col("BORE_GAS_VOL"))
+    for _ in range(2):
+        lake.upsert("silver.production", batch, ["WELL_BORE_CODE"], [F.desc("BORE_GAS_VOL")], cluster_by=CLUSTER)
+    return content(lake)
+
+
+@query(
+    "reload_null_date",
+    f"""WITH {UNDATED_SQL}
+        SELECT well_id, DATEPRD, WELL_BORE_CODE, date_year, {rs('BORE_OIL_VOL', 'BORE_GAS_VOL')} FROM part
+        WHERE coalesce(date_year, 0) < 2000
+        UNION ALL
+        SELECT well_id, DATEPRD, WELL_BORE_CODE, date_year, {r('BORE_OIL_VOL')}, {r('-BORE_GAS_VOL', 'BORE_GAS_VOL')}
+        FROM part WHERE coalesce(date_year, 2000) = 2000 AND BORE_OIL_VOL > 0""",
+)
+def reload_null_date(spark, sf):
+    """A batch of 2000 with undated rows, loaded twice: stored undated rows stay, new ones come once."""
+    lake, _ = lake_with_silver(spark, sf, undated(spark, sf))
+    batch = undated(spark, sf).filter("coalesce(date_year, 2000) = 2000 AND BORE_OIL_VOL > 0")
+    batch = batch.withColumn("BORE_GAS_VOL", -F.col("BORE_GAS_VOL")).drop("date_year")
+    for _ in range(2):
+        lake.reload_from("silver.production", batch, "DATEPRD", cluster_by=CLUSTER)
+    return content(lake)
+
+
 @query(
     "append_history",
     """SELECT o_orderstatus AS status, count(*) * 2 AS n_rows FROM orders GROUP BY 1""",

@@ -1,5 +1,8 @@
 """Row-frame measures over the daily series."""
 
+from pyspark.sql import functions as F
+
+from stratawell.config import Series
 from stratawell.functions import kpis
 from stratawell.operators.frames import (
     Lag,
@@ -205,3 +208,68 @@ def pressure_delta(spark, sf):
     base = silver(spark, sf).select(*KEYS, "WELL_BORE_CODE", P)
     lagged = with_frames(base, [Lag(P, "before")])
     return rounded(lagged.select(*KEYS, kpis.change(P, "before").alias("pressure_delta_24h")))
+
+
+# Rows whose date is NULL come before all others, as one more day of their well.
+UNDATED_SQL = f"""{SILVER_SQL}, part AS (
+  SELECT well_id, CASE WHEN day(DATEPRD) = 13 THEN NULL ELSE DATEPRD END AS DATEPRD,
+         strftime(DATEPRD, '%Y-%m-%d') AS WELL_BORE_CODE, BORE_OIL_VOL, {P} FROM silver)"""
+
+
+def undated(spark, sf):
+    day = F.col("DATEPRD")
+    return silver(spark, sf).select(
+        "well_id",
+        F.when(F.dayofmonth(day) != 13, day).alias("DATEPRD"),
+        day.cast("string").alias("WELL_BORE_CODE"),
+        "BORE_OIL_VOL",
+        P,
+    )
+
+
+@query(
+    "block_frames_null_time",
+    f"""WITH {UNDATED_SQL}
+        SELECT well_id, WELL_BORE_CODE,
+               {r('''sum(BORE_OIL_VOL) OVER (PARTITION BY well_id ORDER BY DATEPRD NULLS FIRST, WELL_BORE_CODE
+                     ROWS UNBOUNDED PRECEDING)''', 'life')},
+               {r('avg(BORE_OIL_VOL) OVER (PARTITION BY well_id)', 'overall')},
+               {r('lag(BORE_OIL_VOL) OVER (PARTITION BY well_id ORDER BY DATEPRD NULLS FIRST, WELL_BORE_CODE)', 'before')}
+        FROM part""",
+)
+def block_frames_null_time(spark, sf):
+    """Blocks of large entities, with rows that have no date."""
+    measures = [Running("BORE_OIL_VOL", "life"), Overall("BORE_OIL_VOL", "overall"), Lag("BORE_OIL_VOL", "before")]
+    out = with_frames(undated(spark, sf), measures, strategy="blocks", max_rows=250)
+    return rounded(out.select("well_id", "WELL_BORE_CODE", "life", "overall", "before"))
+
+
+@query(
+    "duration_mean_null_time",
+    f"""WITH {UNDATED_SQL}
+        SELECT well_id, WELL_BORE_CODE,
+               {r(f'''CASE WHEN DATEPRD IS NOT NULL THEN avg({P}) OVER (PARTITION BY well_id ORDER BY DATEPRD
+                     RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) END''', 'mean_7d')}
+        FROM part""",
+)
+def duration_mean_null_time(spark, sf):
+    """Means over seven days before each row; rows without a date stay, with none."""
+    out = with_duration_mean(undated(spark, sf), P, "mean_7d", 7 * 86_400)
+    return rounded(out.select("well_id", "WELL_BORE_CODE", "mean_7d"))
+
+
+@query(
+    "drop_hot_entity",
+    """WITH e AS (SELECT event_id, floor(epoch(ts))::BIGINT AS s, value FROM events)
+       SELECT event_id, round(avg(value) OVER (ORDER BY s RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING) + 0.000001, 4)
+              AS mean_24h FROM e""",
+)
+def drop_hot_entity(spark, sf):
+    """All events as one entity, cut into blocks."""
+    events = spark.read.parquet(f"{sf}/events.parquet").select(
+        F.lit("all").alias("e"), F.col("ts").cast("timestamp").alias("t"), "event_id", "value"
+    )
+    mean = with_duration_mean(
+        events, "value", "mean_24h", 86_400, Series("e", "t", ("event_id",)), max_rows=2_000
+    )
+    return rounded(mean.select("event_id", "mean_24h"))

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratawell.storage import delete
 
-SMALL_INPUT_BYTES = 256 << 20
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "stratawell", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,10 +34,16 @@ def build_session(app: str = "stratawell", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors see: the cluster's checkpoint folder, or a local one in tests."""
+    """Folder all executors see: the cluster's checkpoint folder.
+
+    Only a local session may do without one; executors of a cluster would each write to their own
+    disk, and reads would come back incomplete.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not context.getCheckpointDir():
+        if not folder and context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="stratawell-"))
     return (folder or context.getCheckpointDir()).rstrip("/")
 
@@ -75,21 +81,34 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
+def row_bound(df: DataFrame) -> int | None:
+    """An upper bound of the rows of ``df`` from the footers of its files; None if there is none.
+
+    It holds for plans that only read, filter, group and rank Parquet files. Where rows can be
+    multiplied (joins, explodes, unions of one file with itself) nothing is said.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(word in plan for word in ("Join", "Generate", "Expand", "Union", "MapIn", "FlatMap")):
+        return None
+    files = df.inputFiles()
+    if not files or not all(f.endswith(".parquet") for f in files):
+        return None
+    return df.sparkSession.read.parquet(*files).count()
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Mark a small table for broadcast once its size is known, else leave the join to Spark.
+def checked_broadcast(
+    df: DataFrame, max_rows: int | None = None, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Mark a table for broadcast if its counted rows and its bytes are within bounds.
 
-    A table from small files is marked at once; otherwise it is written, and its rows are counted.
+    The table is written first, so that it is computed once; beyond the bounds the join is left
+    to Spark.
     """
     bound = BROADCAST_ROWS if max_rows is None else max_rows
-    if is_small(df):
-        return F.broadcast(df)
     kept = materialize(df)
-    return F.broadcast(kept) if kept.count() <= bound else kept
+    size = estimated_bytes(kept)
+    fits = size is not None and size <= max_bytes and kept.count() <= bound
+    return F.broadcast(kept) if fits else kept
 
 
 def spread(df: DataFrame) -> DataFrame:

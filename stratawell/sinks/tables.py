@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, types as T, functions as F
 
 from stratawell.operators.dedupe import latest_per_key
+from stratawell.session import materialize
 from stratawell.storage import any_file, delete, swap
 
 
@@ -75,23 +76,30 @@ class Lake:
     ) -> None:
         """Delete rows dated on or after the first date of the batch, then insert the batch.
 
-        Only the partitions from that date on are rewritten. Running it twice with the same batch
-        gives the same table.
+        Only the partitions from that date on are rewritten. Rows without a date are stored beside
+        the others; one that is stored already is not stored again. Running it twice with the same
+        batch gives the same table.
         """
-        first = batch.agg(F.min(time)).first()[0]
-        if first is None:
+        batch = materialize(batch.withColumn(partition, F.year(time)))
+        first, undated = batch.agg(F.min(time), F.count_if(F.col(time).isNull())).first()
+        if first is None and not undated:
             return
-        batch = batch.withColumn(partition, F.year(time))
         if not self.exists(table):
             self.refresh(table, batch, [partition], cluster_by)
             return
         old = self.read(table)
-        kept = old.filter((F.col(partition) == first.year) & (F.col(time) < F.lit(first)))
-        written = self.years(batch, partition)
-        if not kept.isEmpty():
-            written.add(first.year)
-        stale = self.years(old.filter(F.col(partition) >= first.year), partition) - written
-        merged = kept.unionByName(batch.select(*kept.columns))
+        batch = batch.select(*old.columns)
+        kept, stale = old.limit(0), set()
+        if first is not None:
+            kept = old.filter((F.col(partition) == first.year) & (F.col(time) < F.lit(first)))
+            written = self.years(batch, partition)
+            if not kept.isEmpty():
+                written.add(first.year)
+            stale = self.years(old.filter(F.col(partition) >= first.year), partition) - written
+        if undated:
+            dateless = batch.filter(F.col(time).isNull())
+            kept = kept.unionByName(old.filter(F.col(partition).isNull()).exceptAll(dateless))
+        merged = kept.unionByName(batch)
         self.overwrite_partitions(table, merged, partition, cluster_by)
         for year in stale:
             self._drop_partition(table, partition, year)
@@ -112,8 +120,12 @@ class Lake:
         if not self.exists(table):
             self.refresh(table, latest_per_key(batch, keys, newest_first), [partition], cluster_by)
             return
+        batch = materialize(batch)
         touched = self.years(batch, partition)
-        old = self.read(table).filter(F.col(partition).isin(list(touched)))
+        here = F.col(partition).isin(list(touched))
+        if not batch.filter(F.col(partition).isNull()).isEmpty():
+            here = here | F.col(partition).isNull()
+        old = self.read(table).filter(F.coalesce(here, F.lit(False)))
         marked = old.withColumn("_new", F.lit(0)).unionByName(
             batch.select(*old.columns).withColumn("_new", F.lit(1))
         )
@@ -161,6 +173,16 @@ class Lake:
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(partition).parquet(self.path(table))
 
+    def replace_partition(
+        self, table: str, df: DataFrame, partition: str, value, cluster_by: Sequence[str] = ()
+    ) -> None:
+        """Make ``df`` the content of one partition; without rows the partition goes."""
+        kept = materialize(df)
+        if kept.isEmpty():
+            self._drop_partition(table, partition, value)
+        else:
+            self.overwrite_partitions(table, kept, partition, cluster_by)
+
     def _drop_partition(self, table: str, partition: str, value) -> None:
         delete(self.spark, f"{self.path(table)}/{partition}={value}")
 

@@ -85,6 +85,21 @@ def route_document(path: Column) -> Column:
     return kind
 
 
+def underscore_folders(spark: SparkSession, base: str) -> list[str]:
+    """Patterns of what lies in folders whose name starts with an underscore, one per depth.
+
+    A recursive read of such a folder passes over the ones below it, which have patterns of their
+    own, so every file is found once.
+    """
+    patterns, depth = [], 0
+    while any_file(spark, f"{base}/{'*/' * depth}*"):
+        inside = f"{base}/{'*/' * depth}_*/[!_.]*"
+        if any_file(spark, inside):
+            patterns.append(inside)
+        depth += 1
+    return patterns
+
+
 def route_documents(spark: SparkSession, root: str) -> DataFrame:
     """All files below ``root`` with their type; contents are not read.
 
@@ -92,9 +107,8 @@ def route_documents(spark: SparkSession, root: str) -> DataFrame:
     and wellbore documents, so these are named by pattern.
     """
     base = root.rstrip("/")
-    hidden = [f"{base}/{'*/' * depth}_*/*" for depth in range(4)]
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    files = reader.load([base, *[p for p in hidden if any_file(spark, p)]]).select(
+    files = reader.load([base, *underscore_folders(spark, base)]).select(
         "path", "modificationTime", "length"
     )
     return files.withColumn("doc_type", route_document(F.col("path")))

@@ -25,13 +25,21 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 def swap(spark: SparkSession, staging: str, target: str) -> None:
-    """Put a finished folder in the place of another; the old one goes last."""
+    """Put a finished folder in the place of another; the old one goes last.
+
+    A rename that a file system refuses is an error, and the old folder is put back.
+    """
     new, old = hadoop_path(spark, staging), hadoop_path(spark, target)
     retired = hadoop_path(spark, target + "__old")
     fs = file_system(spark, old)
     fs.mkdirs(old.getParent())
-    if fs.exists(old):
+    had_old = fs.exists(old)
+    if had_old:
         fs.delete(retired, True)
-        fs.rename(old, retired)
-    fs.rename(new, old)
+        if not fs.rename(old, retired):
+            raise OSError(f"cannot move {target} aside")
+    if not fs.rename(new, old):
+        if had_old and not fs.rename(retired, old):
+            raise OSError(f"cannot move {staging} to {target}; the old table is at {target}__old")
+        raise OSError(f"cannot move {staging} to {target}")
     fs.delete(retired, True)

@@ -7,8 +7,6 @@ import statistics
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from pyspark.sql import functions as F
-
 from stratawell.config import Series
 from stratawell.operators import frames
 from stratawell.operators.frames import (
@@ -20,6 +18,7 @@ from stratawell.operators.frames import (
     with_duration_mean,
     with_frames,
 )
+from stratawell.session import checked_broadcast, row_bound
 
 SERIES = Series("e", "t", ("k",))
 MEASURES = [
@@ -104,8 +103,7 @@ def test_blocks_with_joined_layout(spark, monkeypatch):
     check(spark, make(3, 2, 50), strategy="blocks", max_rows=12)
 
 
-def test_auto_uses_blocks_for_a_large_entity(spark, monkeypatch):
-    monkeypatch.setattr(frames, "is_small", lambda df: False)
+def test_auto_uses_blocks_for_a_large_entity(spark):
     rows = make(4, 3, 30)
     df = spark.createDataFrame(rows, DDL)
     plan = with_frames(df, MEASURES, SERIES, max_rows=50)._jdf.queryExecution().toString()
@@ -121,9 +119,8 @@ def test_blocks_property(spark, seed, max_rows, gap):
     check(spark, make(seed, 2, 20, gap), strategy="blocks", max_rows=max_rows)
 
 
-def test_hot_day_is_cut_by_hour(spark, monkeypatch):
+def test_hot_day_is_cut_by_hour(spark):
     """All rows on one day: narrower buckets are found and the frames stay whole."""
-    monkeypatch.setattr(frames, "is_small", lambda df: False)
     start = dt.datetime(2024, 5, 1)
     rows = [("a", start + dt.timedelta(seconds=37 * i), i, float(i % 11)) for i in range(2000)]
     df = spark.createDataFrame(rows, "e string, t timestamp, k int, v double")
@@ -139,7 +136,7 @@ def test_hot_day_is_cut_by_hour(spark, monkeypatch):
     assert [r["life"] for r in got] == pytest.approx([sum(v[: i + 1]) for i in range(len(v))])
 
 
-def test_duration_mean(spark, monkeypatch):
+def test_duration_mean(spark):
     rng = random.Random(5)
     start = dt.datetime(2024, 1, 1)
     rows = sorted(
@@ -147,11 +144,7 @@ def test_duration_mean(spark, monkeypatch):
     )
     rows = [(e, t, 0, rng.uniform(0, 100)) for e, t in rows]
     df = spark.createDataFrame(rows, "e string, t timestamp, k int, v double")
-    monkeypatch.setattr(frames, "is_small", lambda df: False)
-    timed = df.withColumn("_at", F.unix_seconds("t"))
-    assert frames._fitting_width(timed, SERIES, 10_000) == frames.WIDTHS[0]
-    assert frames._fitting_width(timed, SERIES, 8) in frames.WIDTHS[1:]
-    for options in ({"width": 3 * 86_400}, {"max_rows": 8}, {"width": 7_200}):
+    for options in ({}, {"max_rows": 8}, {"max_rows": 50, "strategy": "blocks"}):
         out = with_duration_mean(df, "v", "m", 86_400, SERIES, **options)
         got = {(r["e"], r["t"]): r["m"] for r in out.collect()}
         assert len(got) == len(rows)
@@ -166,3 +159,39 @@ def test_single_row_and_empty(spark):
     check(spark, [("a", dt.date(2020, 1, 1), 1, 2.0)], strategy="blocks", max_rows=1)
     empty = spark.createDataFrame([], DDL)
     assert with_frames(empty, MEASURES, SERIES, strategy="blocks").count() == 0
+
+
+def test_compressed_entity_takes_blocks(spark, tmp_path):
+    """Rows decide, not the size of files: one entity in a few KB of Parquet."""
+    path = str(tmp_path / "one")
+    spark.range(0, 5000, 1, 1).selectExpr("'a' AS e", "timestamp_seconds(id) AS t", "0 AS k", "1.0D AS v").write.parquet(path)
+    df = spark.read.parquet(path)
+    assert row_bound(df) == 5000 and row_bound(df.filter("v > 0").select("e", "t", "k", "v")) == 5000
+    assert row_bound(df.join(df.select("e"), "e")) is None
+    plan = with_frames(df, [Running("v", "s")], SERIES, max_rows=1000)._jdf.queryExecution().toString()
+    assert "_context" in plan
+    assert "_context" not in with_frames(df, [Running("v", "s")], SERIES, max_rows=5000)._jdf.queryExecution().toString()
+    assert "broadcast" not in checked_broadcast(df, max_rows=100)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" in checked_broadcast(df)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_routes_agree_on_types_and_rows_without_time(spark):
+    rows = [("a", None if i % 10 == 0 else dt.datetime(2024, 1, 1 + i % 28), i, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "e string, t timestamp, k int, v int")
+    measures = [Running("v", "run"), Running("v", "month", reset="month"), Overall("v", "all"), Overall("v", "far", True), Lag("v", "l")]
+    plain = with_frames(df, measures, SERIES, strategy="plain")
+    blocks = with_frames(df, measures, SERIES, strategy="blocks", max_rows=30)
+    assert plain.schema == blocks.schema
+    by_k = lambda out: {r["k"]: r for r in out.collect()}
+    a, b = by_k(plain), by_k(blocks)
+    assert len(a) == len(b) == 200
+    for k in a:
+        assert a[k]["run"] == b[k]["run"] and a[k]["month"] == b[k]["month"] and a[k]["l"] == b[k]["l"]
+        assert a[k]["all"] == pytest.approx(b[k]["all"]) and a[k]["far"] == pytest.approx(b[k]["far"])
+
+
+def test_duration_mean_keeps_rows_without_time(spark):
+    rows = [("a", None if i % 10 == 0 else dt.datetime(2024, 1, 1, i % 24), i, float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "e string, t timestamp, k int, v double")
+    got = {r["k"]: r["m"] for r in with_duration_mean(df, "v", "m", 86_400, SERIES).collect()}
+    assert len(got) == 50 and all(got[k] is None for k in range(0, 50, 10))

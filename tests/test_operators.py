@@ -56,7 +56,7 @@ def test_bracketed_medians(spark, slice_rows):
     df = spark.createDataFrame(
         list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)
     )
-    got = column_medians(df, list(columns), small_bytes=0, slice_rows=slice_rows)
+    got = column_medians(df, list(columns), small_rows=0, slice_rows=slice_rows)
     for c, values in columns.items():
         present = [v for v in values if v is not None]
         want = statistics.median(present) if present else None
