@@ -10,6 +10,7 @@ in labelled texts after the same treatment, then decide the score.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -41,6 +42,7 @@ _EDGES = " \t.,;:!?\"'()[]{}*#%&<>/\\-_~=^`"
 _SIGNS = regex.escape("".join(STANDS_FOR), special_only=True)
 # Letters, signs and separators only; then with a sign, two separators or a threefold letter.
 _SHAPE = regex.compile(rf"[\p{{L}}{_SIGNS}.\-_*~ ]{{3,{MAX_DISGUISED}}}")
+_THREEFOLD = re.compile(r"(.)\1\1")
 _HINT = regex.compile(rf"[{_SIGNS}]|\p{{L}}[.\-_*~ ]+\p{{L}}[.\-_*~ ]+\p{{L}}|(\p{{L}})\1\1")
 
 
@@ -145,6 +147,9 @@ def fit_letters(docs: DataFrame, smoothing: float = 0.1) -> LetterModel:
 
 def token_features(token: str, letters: LetterModel) -> tuple[tuple[str, ...], bool]:
     """Words of a token and their prefixes, restored ones too; whether anything was restored."""
+    plain = token.strip(_EDGES).lower()
+    if plain.isalpha() and not _THREEFOLD.search(plain):  # most tokens
+        return ((plain, plain[:PREFIX] + "*") if len(plain) > PREFIX else (plain,)), False
     words = set(_WORD.findall(token.lower()))
     core = disguised(token)
     restored = False
@@ -187,7 +192,7 @@ class FeatureReader:
             found = self.known.get(token)
             if found is None:
                 found = self.known[token] = self._look(token)
-            lists.append([number.setdefault(n, len(number)) for n in found[0]])
+            lists.append([number.setdefault(n, len(number)) for n in found[0]] if found[0] else found[0])
             restored[i] = found[1]
         counts = np.array([len(x) for x in lists], np.int64)
         flat = np.array([x for found in lists for x in found], np.int64)
