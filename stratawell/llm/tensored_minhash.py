@@ -19,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from stratawell.llm.links import components
 from stratawell.llm.words import codes_of, lower_ascii, slices, span_strings, text_bytes, unused, word_spans
@@ -34,8 +34,9 @@ OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 class Banding:
     shingle: int = 2
     percent: int = 80  # links have 100 * intersection >= percent * union
-    depth: int = 2
-    width: int = 11
+    depth: int = 3
+    width: int = 14
+    leaders: int = 3  # drawn leaders that a class is compared with
     seed: int = 20
 
 
@@ -149,6 +150,43 @@ def _sized(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
 
+def _likeliest(led: DataFrame, percent: int, most: int) -> DataFrame:
+    """(a, b): for each class of (cid, n_a, other, n_b) the leaders it shares most tables with."""
+    met = _sized(led, percent).groupBy("cid", "other").agg(F.count("*").alias("met"))
+    # At most one row per class and table.
+    order = W.partitionBy("cid").orderBy(F.desc("met"), "other")
+    best = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+    return best.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
+
+
+def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different roots that may be similar, among ``members`` (cid, n, root).
+
+    Shingles are ordered by the number of members that have them. A pair shares at least
+    ``percent`` of the larger set, so it shares one of the first n - ceil(percent n / 100) + 1 of
+    either set. Shingles of one member only come first and match nothing.
+    """
+
+    def unfold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cid, hashes in zip(batch.column(0).to_pylist(), batch.column(1)):
+                values = np.frombuffer(hashes.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), cid)), pa.array(values)], names=["cid", "h"])
+
+    wanted = sets.select("cid", "hashes").join(members.select("cid"), "cid", "left_semi")
+    shingles = materialize(wanted.mapInArrow(unfold, "cid long, h long"))
+    often = shingles.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    order = W.partitionBy("cid").orderBy("df", "h")
+    ranked = shingles.join(often, "h").select(
+        "cid", "h", F.row_number().over(order).alias("rank"), F.count("*").over(W.partitionBy("cid")).alias("m")
+    )
+    first = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1 - (F.col("n") - F.col("m"))
+    prefix = materialize(ranked.join(members, "cid").where(F.col("rank") <= first).select("h", "cid", "n", "root"))
+    left = prefix.select("h", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
+    right = prefix.select("h", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    return _sized(left.join(right, "h").where("a < b AND root_a <> root_b"), percent).select("a", "b").distinct()
+
+
 def _full_sets(docs: DataFrame, wanted: DataFrame, plan: Banding) -> DataFrame:
     """(cid, hashes) of the wanted classes (cid, doc, s1, s2), made anew from their texts."""
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
@@ -190,21 +228,24 @@ def near_duplicates(docs: DataFrame, plan: Banding = Banding()) -> DataFrame:
         .select(F.xxhash64("i", "ku", "j", "kv").alias("key"), "cid", "n")
     )
     # Only buckets of several classes go on.
-    shared = tables.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low < high")
-    buckets = materialize(tables.join(shared.select("key", "low"), "key"))
-
-    low = classes.select(F.col("cid").alias("low"), F.col("n").alias("n_a"))
-    met = buckets.where("cid > low").groupBy("cid", "low").agg(F.count("*").alias("met"), F.first("n").alias("n_b"))
-    sized = _sized(met.join(low, "low"), plan.percent)
-    best = sized.groupBy("cid").agg(F.max(F.struct("met", -F.col("low"))).alias("m"))
-    first = materialize(best.select((-F.col("m")["col2"]).alias("a"), F.col("cid").alias("b")))
+    shared = tables.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high"), F.count("*").alias("size"))
+    buckets = materialize(tables.join(shared.where("low < high").select("key", "size"), "key"))
+
+    # The class whose buckets are the fullest stands in the middle of its like.
+    weights = buckets.groupBy("cid").agg(F.sum("size").alias("weight"))
+    weighed = buckets.join(weights, "cid").select("key", "cid", "n", "weight")
+    middle = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("cid")).alias("minus"), "n")).alias("lead"))
+    led = weighed.join(middle, "key").select(
+        "cid", F.col("n").alias("n_a"), (-F.col("lead.minus")).alias("other"), F.col("lead.n").alias("n_b")
+    )
+    first = materialize(_likeliest(led.where("cid <> other"), plan.percent, 1))
 
     wanted = classes.join(buckets.select("cid").distinct(), "cid", "left_semi").select("cid", "doc", "s1", "s2")
     sets = materialize(_full_sets(docs, wanted, plan))
     links = materialize(_confirmed(first, sets, plan.percent))
     roots = components(links)
 
-    def placed(state: DataFrame) -> DataFrame:
+    def mixed(state: DataFrame) -> DataFrame:
         """Buckets that still hold more than one component, with the component of each class."""
         named = buckets.join(state.withColumnRenamed("node", "cid"), "cid", "left").select(
             "key", "cid", "n", F.coalesce("root", "cid").alias("root")
@@ -212,23 +253,19 @@ def near_duplicates(docs: DataFrame, plan: Banding = Banding()) -> DataFrame:
         split = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
         return materialize(named.join(split.select("key"), "key", "left_semi"))
 
-    mixed = placed(roots)
-    order = F.struct(F.xxhash64("key", "cid").alias("draw"), "cid", "n", "root")
-    leaders = mixed.groupBy("key").agg(F.min(order).alias("lead"))
-    led = mixed.join(leaders, "key").where("root <> lead.root").select(
-        F.least("cid", F.col("lead.cid")).alias("a"), F.greatest("cid", F.col("lead.cid")).alias("b"),
-        F.col("n").alias("n_a"), F.col("lead.n").alias("n_b"),
+    def with_more(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        more = materialize(links.unionByName(_confirmed(pairs, sets, plan.percent)))
+        return more, components(more)
+
+    left = mixed(roots)
+    draws = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "cid").alias("draw"), "cid", "n", "root")).alias("lead"))
+    led = left.join(draws, "key").where("root <> lead.root").select(
+        "cid", F.col("n").alias("n_a"), F.col("lead.cid").alias("other"), F.col("lead.n").alias("n_b")
     )
-    second = _sized(led, plan.percent).select("a", "b").distinct()
-    links = materialize(links.unionByName(_confirmed(second, sets, plan.percent)))
-    roots = components(links)
+    links, roots = with_more(_likeliest(led, plan.percent, plan.leaders))
 
-    mixed = placed(roots)
-    left = mixed.select("key", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    right = mixed.select("key", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    rest = _sized(left.join(right, "key").where("a < b AND root_a <> root_b"), plan.percent).select("a", "b").distinct()
-    links = materialize(links.unionByName(_confirmed(rest, sets, plan.percent)))
-    roots = components(links)
+    members = mixed(roots).groupBy("cid").agg(F.first("n").alias("n"), F.first("root").alias("root"))
+    links, roots = with_more(_prefix_pairs(materialize(members), sets, plan.percent))
 
     named = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "s1", "s2", "doc", F.coalesce("root", "cid").alias("group")
