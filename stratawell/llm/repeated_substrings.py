@@ -144,40 +144,48 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def _sorted_out(strings: DataFrame, length: int) -> DataFrame:
     """(g, f, lo, hi): stretches of starts that repeat, from whole groups of (g, f, copies, anchor, body)."""
 
-    def flush(waiting: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-        out = []
-        for (g, f, lo, _), at in zip(waiting, repeated_starts([w[3] for w in waiting], length)):
-            if len(at):
+    def flush(done: list[tuple], waiting: list[tuple]) -> pa.RecordBatch:
+        out = list(done)
+        for (g, f, lo, _), at in zip(waiting, repeated_starts([w[3] for w in waiting], length) if waiting else ()):
+            if g is not None and len(at):
                 breaks = np.flatnonzero(np.diff(at) > 1)
                 for a, b in zip(at[np.append(0, breaks + 1)].tolist(), at[np.append(breaks, len(at) - 1)].tolist()):
                     out.append((g, f, lo + a, lo + b))
         columns = list(zip(*out)) or [[], [], [], []]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["g", "f", "lo", "hi"])
 
-    def shared(group: list[tuple]) -> Iterator[tuple[int, int, int, bytes]]:
-        """Pieces that another fragment may repeat, where something is left to find out."""
-        classes: dict[tuple[int, bytes], list] = {}
+    def look(group: list[tuple], done: list[tuple], waiting: list[tuple]) -> None:
+        """Equal pieces are settled at once and count once in the collection."""
+        classes: dict[tuple[int, bytes], dict[bytes, list]] = {}
         for g, f, copies, anchor, body in group:
             for k, core, lo, piece in pieces(body, anchor, length):
-                classes.setdefault((k, core), []).append((copies, (g, f, lo, piece)))
+                classes.setdefault((k, core), {}).setdefault(piece, []).append((copies, g, f, lo))
         for found in classes.values():
-            if len(found) > 1 and any(copies == 1 for copies, _ in found):
-                yield from (piece for _, piece in found)
+            unsettled = False
+            for piece, owners in found.items():
+                if len(owners) > 1:
+                    done += [(g, f, lo, lo + len(piece) - length) for copies, g, f, lo in owners if copies == 1]
+                elif owners[0][0] == 1:
+                    unsettled = True
+            if unsettled and len(found) > 1:
+                for piece, owners in found.items():
+                    copies, g, f, lo = owners[0]
+                    own = len(owners) == 1 and copies == 1
+                    waiting.append((g, f, lo, piece) if own else (None, None, 0, piece))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, group = [], []
+        done, waiting, group = [], [], []
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if group and row[0] != group[0][0]:
-                    waiting += shared(group)
+                    look(group, done, waiting)
                     group = []
-                    if len(waiting) >= COLLECTION:
-                        yield flush(waiting)
-                        waiting = []
+                    if len(waiting) >= COLLECTION or len(done) >= 100 * COLLECTION:
+                        yield flush(done, waiting)
+                        done, waiting = [], []
                 group.append(row)
-        waiting += shared(group)
-        if waiting:
-            yield flush(waiting)
+        look(group, done, waiting)
+        yield flush(done, waiting)
 
     spark = strings.sparkSession
     n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -211,10 +219,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     cut = materialize(_all_fragments(docs, length))
     kinds = materialize(
-        cut.groupBy("g", "f").agg(F.count("*").alias("copies"), F.min(F.struct("id", "mark", "first", "starts", "anchor")).alias("at"))
+        # Any of the equal fragments will do; the first of each task is one row's.
+        cut.groupBy("g", "f").agg(
+            F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("id", "mark", "first", "starts", "anchor")]
+        )
     )
     groups = kinds.groupBy("g").agg(F.count("*").alias("n_kinds")).where("n_kinds > 1")
-    compared = materialize(kinds.join(groups, "g").select("g", "f", "copies", "n_kinds", "at.*"))
+    compared = materialize(kinds.join(groups, "g").select("g", "f", "copies", "n_kinds", "id", "mark", "first", "starts", "anchor"))
     keyed = docs.where("text IS NOT NULL").select(
         F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.xxhash64("doc_id", "text").alias("mark"),
         F.col("text").cast("binary").alias("body"),
@@ -229,7 +240,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     within = _sorted_out(bodies.where(small).select("g", "f", "copies", "anchor", "body"), length).unionByName(
         _counted_out(bodies.where(large).select("g", "f", "body"), length)
     )
-    whole = kinds.where("copies > 1").select("g", "f", F.lit(0).cast("long").alias("lo"), (F.col("at.starts") - 1).alias("hi"))
+    whole = kinds.where("copies > 1").select("g", "f", F.lit(0).cast("long").alias("lo"), (F.col("starts") - 1).alias("hi"))
     alone = kinds.where("copies = 1").select("g", "f")
     found = materialize(whole.unionByName(within.join(alone, ["g", "f"], "left_semi")))
     spans = cut.select("id", "mark", "g", "f", "first").join(found, ["g", "f"]).select(
