@@ -181,10 +181,16 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
         "cid", "h", F.row_number().over(order).alias("rank"), F.count("*").over(W.partitionBy("cid")).alias("m")
     )
     first = F.col("n") - F.floor((percent * F.col("n") + 99) / 100) + 1 - (F.col("n") - F.col("m"))
-    prefix = materialize(ranked.join(members, "cid").where(F.col("rank") <= first).select("h", "cid", "n", "root"))
-    left = prefix.select("h", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    right = prefix.select("h", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    return _sized(left.join(right, "h").where("a < b AND root_a <> root_b"), percent).select("a", "b").distinct()
+    place = (F.col("rank") + F.col("n") - F.col("m")).alias("place")  # among all shingles of the set
+    prefix = materialize(ranked.join(members, "cid").where(F.col("rank") <= first).select("h", "cid", "n", "root", place))
+    left, right = (
+        prefix.select("h", *[F.col(x).alias(y) for x, y in (("cid", side), ("n", f"n_{side}"), ("root", f"root_{side}"), ("place", f"place_{side}"))])
+        for side in "ab"
+    )
+    # At the first shingle that two sets share, what is left of both must hold the rest of the overlap.
+    most = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
+    return left.join(right, "h").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough).select("a", "b").distinct()
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, plan: Banding) -> DataFrame:
