@@ -10,6 +10,7 @@ in labelled texts after the same treatment, then decide the score.
 from __future__ import annotations
 
 import math
+import os
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -31,17 +32,22 @@ STANDS_FOR = {
 SEPARATORS = " .-_*~"
 # Costs of the channel, in nats.
 SIGN_COST, APART_COST, REPEAT_COST, KEEP_TWO_COST = 1.0, 0.4, 0.3, 1.2
+EDGE_COST = 0.4  # of a separator that ends a word
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 EDGE, OTHER, SYMBOLS = 0, 27, 28  # word edge, a-z as 1..26, any other letter
 
 PREFIX = 5  # letters of the prefixes that count as features beside whole words
-MAX_DISGUISED = 24  # characters; longer ones (keys, encoded data) are no words
+# Unbroken tokens with more runs of one character than this are encoded keys if their cheapest path
+# costs more a run than letters drawn evenly.
+LONG_RUNS, KEY_COST = 24, math.log(27)
 
 _WORD = regex.compile(r"\p{L}+")
 _EDGES = " \t.,;:!?\"'()[]{}*#%&<>/\\-_~=^`"
 _SIGNS = regex.escape("".join(STANDS_FOR), special_only=True)
 # Letters, signs and separators only; then with a sign, two separators or a threefold letter.
-_SHAPE = regex.compile(rf"[\p{{L}}{_SIGNS}.\-_*~ ]{{3,{MAX_DISGUISED}}}")
+_SHAPE = regex.compile(rf"[\p{{L}}{_SIGNS}.\-_*~ ]{{3,}}")
+_SEPARATOR = re.compile(r"[ .\-_*~]+")
+INSIDE = range(4, 16)  # letters of typical words that are looked for anywhere in letters set apart
 _THREEFOLD = re.compile(r"(.)\1\1")
 _HINT = regex.compile(rf"[{_SIGNS}]|\p{{L}}[.\-_*~ ]+\p{{L}}[.\-_*~ ]+\p{{L}}|(\p{{L}})\1\1")
 
@@ -67,17 +73,34 @@ class LetterModel:
     cost: np.ndarray
     memo: dict[str, str] = field(default_factory=dict)
 
+    def __post_init__(self):
+        self.flat = self.cost.ravel().tolist()
+
     def restore(self, shown: str) -> str:
-        """The likeliest plain spelling of a disguised word."""
+        """The likeliest plain spelling of a disguised word, or of several set apart."""
         found = self.memo.get(shown)
         if found is None:
             if len(self.memo) > 200_000:
                 self.memo.clear()
-            found = self.memo[shown] = self._decode(shown.lower()) if len(shown) <= MAX_DISGUISED else shown
+            found = self._restored(shown)
+            if len(shown) <= 100:
+                self.memo[shown] = found
         return found
 
+    def _restored(self, shown: str) -> str:
+        plain = shown.lower()
+        if _SEPARATOR.search(plain):
+            return self._cheapest(plain, split=True)[1]
+        runs = sum(x != y for x, y in zip(plain, plain[1:])) + 1
+        spent, text = self._cheapest(plain)
+        return shown if runs > LONG_RUNS and spent > KEY_COST * runs else text
+
     def _decode(self, shown: str) -> str:
-        cost = self.cost
+        return self._cheapest(shown)[1]
+
+    def _cheapest(self, shown: str, split: bool = False) -> tuple[float, str]:
+        """Cost and spelling of the best path; with ``split`` a separator may end a word and stay."""
+        cost = self.flat
         # Runs of one character: (character, length).
         runs: list[list] = []
         for c in shown:
@@ -85,8 +108,9 @@ class LetterModel:
                 runs[-1][1] += 1
             else:
                 runs.append([c, 1])
-        # State: the last two symbols; value: cost and the spelling so far.
+        # State: the last two symbols; value: cost and the spelling so far, without what all share.
         beam: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
+        shared: list[str] = []
         for c, n in runs:
             choices: list[tuple[float, str]] = []
             if c.isalpha():
@@ -106,13 +130,23 @@ class LetterModel:
                     a, b, total = x, y, spent + extra
                     for letter in letters:
                         s = _symbol(letter)
-                        total += cost[a, b, s]
+                        total += cost[(a * SYMBOLS + b) * SYMBOLS + s]
                         a, b = b, s
                     known = grown.get((a, b))
                     if known is None or (total, text + letters) < known:
                         grown[(a, b)] = (total, text + letters)
+                if split and c in SEPARATORS:
+                    ended = (spent + EDGE_COST + (cost[(x * SYMBOLS + y) * SYMBOLS + EDGE] if y != EDGE else 0.0), text + c * n)
+                    known = grown.get((EDGE, EDGE))
+                    if known is None or ended < known:
+                        grown[(EDGE, EDGE)] = ended
             beam = grown
-        return min((spent + cost[x, y, EDGE], text) for (x, y), (spent, text) in beam.items())[1]
+            if len(next(iter(beam.values()))[1]) > 200:
+                start = os.path.commonprefix([text for _, text in beam.values()])
+                shared.append(start)
+                beam = {at: (spent, text[len(start) :]) for at, (spent, text) in beam.items()}
+        spent, text = min((spent + cost[(x * SYMBOLS + y) * SYMBOLS + EDGE] * (y != EDGE or not split), text) for (x, y), (spent, text) in beam.items())
+        return spent, "".join(shared) + text
 
 
 def fit_letters(docs: DataFrame, smoothing: float = 0.1) -> LetterModel:
@@ -145,8 +179,12 @@ def fit_letters(docs: DataFrame, smoothing: float = 0.1) -> LetterModel:
     return LetterModel(-np.log(backed))
 
 
-def token_features(token: str, letters: LetterModel) -> tuple[tuple[str, ...], bool]:
-    """Words of a token and their prefixes, restored ones too; whether anything was restored."""
+def token_features(token: str, letters: LetterModel, wanted: dict[str, float] | None = None) -> tuple[tuple[str, ...], bool]:
+    """Words of a token and their prefixes, restored ones too; whether anything was restored.
+
+    Letters set apart may be several words whose edges nothing shows, so ``wanted`` words of
+    ``INSIDE`` letters are also found where the letter model sets other edges.
+    """
     plain = token.strip(_EDGES).lower()
     if plain.isalpha() and not _THREEFOLD.search(plain):  # most tokens
         return ((plain, plain[:PREFIX] + "*") if len(plain) > PREFIX else (plain,)), False
@@ -158,6 +196,11 @@ def token_features(token: str, letters: LetterModel) -> tuple[tuple[str, ...], b
         restored = plain != core.lower()
         if restored:
             words.update(_WORD.findall(plain))
+        if _SEPARATOR.search(core):  # as one word too
+            joined = letters._decode(core.lower())
+            words.update(_WORD.findall(joined))
+            if wanted and all(len(x) == 1 for x in _SEPARATOR.split(core)):
+                words.update(w for i in range(len(joined)) for n in INSIDE if (w := joined[i : i + n]) in wanted)
     return (*words, *{w[:PREFIX] + "*" for w in words if len(w) > PREFIX}), restored
 
 
@@ -173,7 +216,7 @@ class FeatureReader:
         self.known: dict[bytes, tuple[tuple[str, ...], bool]] = {}
 
     def _look(self, token: bytes) -> tuple[tuple[str, ...], bool]:
-        names, restored = token_features(token.decode("utf-8", "replace"), self.letters)
+        names, restored = token_features(token.decode("utf-8", "replace"), self.letters, self.wanted)
         if self.wanted is not None:
             names = tuple(n for n in names if n in self.wanted)
         return names, restored
@@ -206,7 +249,7 @@ class FeatureReader:
         n_restored = np.bincount(row[restored[codes]], minlength=len(bounds) - 1) if len(codes) else np.zeros(len(bounds) - 1, np.int64)
         extra = list(self._apart(data, starts, ends, row))
         for at, text in extra:
-            names, changed = token_features(text, self.letters)
+            names, changed = token_features(text, self.letters, self.wanted)
             n_restored[at] += changed
             names = [n for n in names if self.wanted is None or n in self.wanted]
             rows = np.append(rows, np.full(len(names), at))
@@ -223,7 +266,7 @@ class FeatureReader:
         joined = single[:-1] & single[1:] & (starts[1:] == ends[:-1] + 1) & (row[1:] == row[:-1]) if len(starts) else single
         edges = np.flatnonzero(np.diff(np.concatenate([[0], joined.astype(np.int8), [0]])))
         for first, last in zip(edges[::2].tolist(), edges[1::2].tolist()):
-            if 2 <= last - first and ends[last] - starts[first] <= MAX_DISGUISED:
+            if 2 <= last - first:
                 yield int(row[first]), data[starts[first] : ends[last]].tobytes().decode("utf-8", "replace")
 
 

@@ -102,6 +102,38 @@ def test_plain_words_stay(letters, shown):
     assert not deobfuscation.token_features(shown, letters)[1]
 
 
+@pytest.mark.parametrize(
+    "shown,words",
+    [("i d i o t m o r o n", {"idiot", "moron"}), ("s t u p i d i d i o t l o s e r", {"stupid", "idiot", "loser"}),
+     ("i.d.i.o.t.s.t.u.p.i.d.m.o.r.o.n", {"idiot", "stupid", "moron"}), ("iiiiiiiiii" + "d" * 20 + "10t", {"idiot"}),
+     ("m o r o n " * 3000, {"moron"})],
+    ids=lambda x: x[:12] if isinstance(x, str) else None,
+)
+def test_long_disguises_are_restored(letters, shown, words):
+    reader = deobfuscation.FeatureReader(letters)
+    import pyarrow as pa
+
+    _, features, names, restored = reader.read(pa.array(["of the", f"of the {shown} which"]))
+    assert words <= {names[f] for f in features} and restored[0] == 0 and restored[1] >= 1
+
+
+def test_wanted_words_are_found_where_edges_are_not(letters):
+    even = deobfuscation.LetterModel(np.full_like(letters.cost, 3.0))
+    names = deobfuscation.token_features("s t u p i d i d i o t l o s e r", even, {"idiot": 1.0, "loser": 1.0})[0]
+    assert {"idiot", "loser"} <= set(names)
+
+
+def test_encoded_keys_stay(letters):
+    key = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"
+    assert deobfuscation.token_features(key, letters)[1] is False
+    assert letters.restore(key) == key
+
+
+def test_long_texts_are_restored_in_place(letters, frame):
+    rows = [(1, "so i d i o t m o r o n l o s e r, of")]
+    assert [r.text for r in deobfuscation.deobfuscate(frame(rows), letters).collect()] == ["so idiot moron loser, of"]
+
+
 def test_decoding_finds_the_cheapest_path(letters):
     """Against all spellings of a short lattice."""
     import itertools
