@@ -33,6 +33,7 @@ SEPARATORS = " .-_*~"
 # Costs of the channel, in nats.
 SIGN_COST, APART_COST, REPEAT_COST, KEEP_TWO_COST = 1.0, 0.4, 0.3, 1.2
 EDGE_COST = 0.4  # of a separator that ends a word
+TWICE_COST = 3.0  # of a letter doubled in disguise, where a text is changed: most doubled letters are meant
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 EDGE, OTHER, SYMBOLS = 0, 27, 28  # word edge, a-z as 1..26, any other letter
 
@@ -43,22 +44,32 @@ LONG_RUNS, KEY_COST = 24, math.log(27)
 
 _WORD = regex.compile(r"\p{L}+")
 _EDGES = " \t.,;:!?\"'()[]{}*#%&<>/\\-_~=^`"
+_STRIPPED = _EDGES + "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _SIGNS = regex.escape("".join(STANDS_FOR), special_only=True)
-# Letters, signs and separators only; then with a sign, two separators or a threefold letter.
-_SHAPE = regex.compile(rf"[\p{{L}}{_SIGNS}.\-_*~ ]{{3,}}")
+# Pieces of letters, signs and separators; those with a sign, a separator inside or a doubled letter may be disguised.
+_PIECE = regex.compile(rf"[\p{{L}}{_SIGNS}.\-_*~\s]{{3,}}")
+_DOUBLED = re.compile(r"([^\W\d_])\1")
+_HINT = regex.compile(rf"[{_SIGNS}]|\p{{L}}[.\-_*~\s]+\p{{L}}|(\p{{L}})\1", regex.IGNORECASE)
+_BLANKS = re.compile(r"\s+")
+# A link, or a mailbox or host name with a path: its parts are looked at one by one, since their separators are meant.
+_ADDRESS = regex.compile(r"://|(?:@|^www\.)[^\s/@]*\.\p{L}{2,}/")
+_PART = regex.compile(rf"[\p{{L}}{regex.escape(''.join(c for c in STANDS_FOR if c != '@'), special_only=True)}]{{3,}}")
 _SEPARATOR = re.compile(r"[ .\-_*~]+")
 INSIDE = range(4, 16)  # letters of typical words that are looked for anywhere in letters set apart
-_THREEFOLD = re.compile(r"(.)\1\1")
-_HINT = regex.compile(rf"[{_SIGNS}]|\p{{L}}[.\-_*~ ]+\p{{L}}[.\-_*~ ]+\p{{L}}|(\p{{L}})\1\1")
 
 
-def disguised(token: str) -> str | None:
-    """The part of a token that may be a disguised word, or None."""
-    core = token.strip(_EDGES)
-    if not _HINT.search(core) or not _SHAPE.fullmatch(core):
-        return None
-    letters = sum(c.isalpha() for c in core)
-    return core if letters >= 2 and 2 * letters >= sum(c in STANDS_FOR for c in core) else None
+def disguises(token: str) -> list[tuple[int, int, str]]:
+    """Start, end and text of the parts of a token that may be disguised words; other signs part them."""
+    found = []
+    for piece in (_PART if _ADDRESS.search(token) else _PIECE).finditer(token):
+        core = piece.group().strip(_STRIPPED)
+        if not _HINT.search(core):
+            continue
+        letters = sum(c.isalpha() for c in core)
+        if letters >= 2 and 2 * letters >= sum(c in STANDS_FOR for c in core):
+            at = piece.start() + piece.group().index(core)
+            found.append((at, at + len(core), _BLANKS.sub(" ", core)))
+    return found
 
 
 def _symbol(c: str) -> int:
@@ -90,16 +101,38 @@ class LetterModel:
     def _restored(self, shown: str) -> str:
         plain = shown.lower()
         if _SEPARATOR.search(plain):
-            return self._cheapest(plain, split=True)[1]
+            return self._cheapest(plain, True, TWICE_COST)[1]
         runs = sum(x != y for x, y in zip(plain, plain[1:])) + 1
-        spent, text = self._cheapest(plain)
+        spent, text = self._cheapest(plain, twice=TWICE_COST)
         return shown if runs > LONG_RUNS and spent > KEY_COST * runs else text
 
+    def keeps_doubled(self, plain: str, twice: float = REPEAT_COST) -> bool:
+        """Whether the best path of a word of letters, doubled ones among them, is the word itself.
+
+        Pairs with a letter between them are independent; pairs side by side and longer runs are
+        left to the lattice.
+        """
+        cost, last = self.flat, -1
+        for found in _DOUBLED.finditer(plain):
+            i, j = found.span()
+            if i == last or plain[j : j + 1] == plain[i]:
+                return False
+            a = _symbol(plain[i - 1]) if i else EDGE
+            b, c = _symbol(plain[i]), _symbol(plain[j]) if j < len(plain) else EDGE
+            row = (a * SYMBOLS + b) * SYMBOLS
+            if cost[row + b] + cost[(b * SYMBOLS + b) * SYMBOLS + c] >= twice + cost[row + c]:
+                return False
+            last = j
+        return True
+
     def _decode(self, shown: str) -> str:
         return self._cheapest(shown)[1]
 
-    def _cheapest(self, shown: str, split: bool = False) -> tuple[float, str]:
-        """Cost and spelling of the best path; with ``split`` a separator may end a word and stay."""
+    def _cheapest(self, shown: str, split: bool = False, twice: float = REPEAT_COST) -> tuple[float, str]:
+        """Cost and spelling of the best path; with ``split`` a separator may end a word and stay.
+
+        ``twice`` is the cost of taking a doubled letter for one.
+        """
         cost = self.flat
         # Runs of one character: (character, length).
         runs: list[list] = []
@@ -114,7 +147,7 @@ class LetterModel:
         for c, n in runs:
             choices: list[tuple[float, str]] = []
             if c.isalpha():
-                choices.append(((n - 1) * REPEAT_COST, c))
+                choices.append((twice if n == 2 else (n - 1) * REPEAT_COST, c))
                 if n >= 2:
                     choices.append(((n - 2) * REPEAT_COST + (KEEP_TWO_COST if n > 2 else 0.0), c + c))
             else:
@@ -186,18 +219,20 @@ def token_features(token: str, letters: LetterModel, wanted: dict[str, float] |
     ``INSIDE`` letters are also found where the letter model sets other edges.
     """
     plain = token.strip(_EDGES).lower()
-    if plain.isalpha() and not _THREEFOLD.search(plain):  # most tokens
+    if plain.isalpha() and (not _DOUBLED.search(plain) or letters.keeps_doubled(plain)):  # most tokens
         return ((plain, plain[:PREFIX] + "*") if len(plain) > PREFIX else (plain,)), False
+    if plain.isalpha() and letters.keeps_doubled(plain, TWICE_COST):  # perhaps disguised, but not surely
+        return tuple({w: 0 for x in (plain, letters._decode(plain)) for w in (x, x[:PREFIX] + "*" if len(x) > PREFIX else x)}), False
     words = set(_WORD.findall(token.lower()))
-    core = disguised(token)
     restored = False
-    if core is not None:
+    for _, _, core in disguises(token):
+        core = core.lower()
         plain = letters.restore(core)
-        restored = plain != core.lower()
-        if restored:
+        if plain != core:
+            restored = True
             words.update(_WORD.findall(plain))
-        if _SEPARATOR.search(core):  # as one word too
-            joined = letters._decode(core.lower())
+        if _DOUBLED.search(core) or _SEPARATOR.search(core):  # as one word without doubled letters too
+            joined = letters._decode(core)
             words.update(_WORD.findall(joined))
             if wanted and all(len(x) == 1 for x in _SEPARATOR.split(core)):
                 words.update(w for i in range(len(joined)) for n in INSIDE if (w := joined[i : i + n]) in wanted)
@@ -258,19 +293,21 @@ class FeatureReader:
         return pairs // max(len(number), 1), pairs % max(len(number), 1), list(number), n_restored
 
     def _apart(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, str]]:
-        """Runs of three or more characters with one blank between them, and punctuation at most."""
-        size, letter = ends - starts, _LETTER_BYTES
-        single = size == 1
-        if len(starts):
-            single |= (size <= 3) & ~letter[data[np.minimum(starts + 1, len(data) - 1)]] & ~letter[data[ends - 1]]
-        joined = single[:-1] & single[1:] & (starts[1:] == ends[:-1] + 1) & (row[1:] == row[:-1]) if len(starts) else single
+        """Runs of three or more code points with any blanks between them, and punctuation at most."""
+        if not len(starts):
+            return
+        size, letter, head = ends - starts, _LETTER_BYTES, data[starts]
+        wide = 1 + (head >= 0xC0) + (head >= 0xE0) + (head >= 0xF0)  # bytes of the first code point
+        after = data[np.minimum(starts + wide, len(data) - 1)]
+        single = (size == wide) | ((size > wide) & (size <= wide + 2) & ~letter[after] & ~letter[data[ends - 1]])
+        joined = single[:-1] & single[1:] & (row[1:] == row[:-1])
         edges = np.flatnonzero(np.diff(np.concatenate([[0], joined.astype(np.int8), [0]])))
         for first, last in zip(edges[::2].tolist(), edges[1::2].tolist()):
             if 2 <= last - first:
                 yield int(row[first]), data[starts[first] : ends[last]].tobytes().decode("utf-8", "replace")
 
 
-_TOKEN = regex.compile(r"(?<!\S)(?:\S[^\s\p{L}\p{N}]{0,2} ){2,}\S(?![\p{L}\p{N}])|\S+")
+_TOKEN = regex.compile(r"(?<!\S)(?:\S[^\s\p{L}\p{N}]{0,2}\s++){2,}\S(?![\p{L}\p{N}])|\S+")
 
 
 def deobfuscate(docs: DataFrame, letters: LetterModel) -> DataFrame:
@@ -281,8 +318,13 @@ def deobfuscate(docs: DataFrame, letters: LetterModel) -> DataFrame:
         model = shared.value
 
         def plain(match) -> str:
-            core = disguised(match.group())
-            return match.group() if core is None else match.group().replace(core, model.restore(core))
+            token, out, at = match.group(), [], 0
+            for start, end, core in disguises(token):
+                found = model.restore(core)
+                if found != core.lower():
+                    out += [token[at:start], found]
+                    at = end
+            return "".join([*out, token[at:]])
 
         for part in slices(batches, budget=2 << 20):
             texts = [None if t is None else _TOKEN.sub(plain, t) for t in part.column(1).to_pylist()]

@@ -117,6 +117,40 @@ def test_long_disguises_are_restored(letters, shown, words):
     assert words <= {names[f] for f in features} and restored[0] == 0 and restored[1] >= 1
 
 
+@pytest.mark.parametrize(
+    "shown,words",
+    [("idioot", {"idiot"}), ("morron", {"moron"}), ("IDIoOT!", {"idiot"}), ("id.iot", {"idiot"}), ("mo-ron", {"moron"}), ("st.up.id", {"stupid"}),
+     ("i d i o t, m o r o n", {"idiot", "moron"}), ("1d10t/m0r0n", {"idiot", "moron"}), ("i  d  i  o  t", {"idiot"}),
+     ("i\nd\ni \n o\tt", {"idiot"}), ("i\u00a0d\u00a0i\u00a0o\u00a0t", {"idiot"}), ("s t u p i d \u00e9 t \u00e9", {"stupid"})],
+)
+def test_every_kind_of_disguise_is_restored(letters, shown, words):
+    import pyarrow as pa
+
+    reader = deobfuscation.FeatureReader(letters, dict.fromkeys(TOXIC, 1.0))
+    _, features, names, restored = reader.read(pa.array(["of the", f"of the {shown} which"]))
+    assert words <= {names[f] for f in features} and restored[1] >= 1
+
+
+@pytest.mark.parametrize("word", ["loss", "the", "idioot", "sseen", "add", "moorrons", "\u00e9tt\u00e9", "aab", "clloown"])
+def test_kept_doubled_letters_are_those_of_the_lattice(letters, word):
+    rest = letters._decode(word)
+    assert letters.keeps_doubled(word) <= (rest == word)
+    if "oorr" not in word:
+        assert letters.keeps_doubled(word) == (rest == word)
+
+
+def test_meant_doubled_letters_stay(letters):
+    even = deobfuscation.LetterModel(np.full_like(letters.cost, 1.0))
+    names, restored = deobfuscation.token_features("letter", even)
+    assert {"letter", "leter"} <= set(names) and not restored and even.restore("letter") == "letter"
+
+
+def test_all_kinds_are_restored_in_place(letters, frame):
+    rows = [(1, "so i  d i\no t, m o r o n! id.iot (1d10t/m0r0n)"), (2, "of the, in\n\nis. which-have")]
+    got = {r.doc_id: r.text for r in deobfuscation.deobfuscate(frame(rows), letters).collect()}
+    assert got == {1: "so idiot, moron! idiot (idiot/moron)", 2: "of the, in\n\nis. which-have"}
+
+
 def test_wanted_words_are_found_where_edges_are_not(letters):
     even = deobfuscation.LetterModel(np.full_like(letters.cost, 3.0))
     names = deobfuscation.token_features("s t u p i d i d i o t l o s e r", even, {"idiot": 1.0, "loser": 1.0})[0]
