@@ -30,6 +30,9 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("head title script style noscript template iframe object svg math canvas audio video select textarea".split())
+# What may stand in a head; any other start tag there ends it, and so does text of its own.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template noframes".split())
+HEAD_HOLDS = frozenset("title style script noscript template noframes".split())
 # An opening tag of the first kind ends an open element of the second.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("ul ol dl table article section main div body html td th".split())
@@ -87,7 +90,18 @@ class _Reader(HTMLParser):
         self.silent -= sum(t in SILENT for t, _, _ in self.stack[at:])
         del self.stack[at:]
 
+    def _end_head(self) -> None:
+        """Close a head whose end tag was left out; what is inside one of its elements leaves it open."""
+        for at in range(len(self.stack) - 1, -1, -1):
+            tag = self.stack[at][0]
+            if tag == "head":
+                self._close(at)
+            if tag == "head" or tag in HEAD_HOLDS:
+                return
+
     def handle_starttag(self, tag, attrs):
+        if self.silent and tag not in IN_HEAD:
+            self._end_head()
         if tag == "br":
             self.parts.append(" ")
             return
@@ -129,6 +143,8 @@ class _Reader(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.silent and data.strip(" \t\n\r\f"):
+            self._end_head()
         if self.silent:
             return
         self.parts.append(data)

@@ -247,6 +247,24 @@ def test_pages_without_the_marks_of_an_article(page_model):
         assert other not in text
 
 
+HEAD = "<html><head><meta charset=utf-8><title>t</title><style>p{}</style><script>'<p>'</script>"
+
+
+@pytest.mark.parametrize(
+    "html",
+    [f"{HEAD}<p>Article one.</p>", f"{HEAD}<noscript><img src=x><p>No script.</p></noscript><div>Article one.</div>", f"{HEAD}Article one.",
+     f"{HEAD}<link rel=x><a href=y>Article</a> one.", f"{HEAD}<basefont size=2><html lang=en><p>Article one.</p>",
+     f"{HEAD}</head><p>Article one.", f"{HEAD}<body><p>Article one.", f"{HEAD}</head><body><p>Article one.</body></html>"],
+)
+def test_a_head_ends_where_its_end_tag_is_left_out(html):
+    assert [b.text for b in crf_extract.blocks_of(html)] == ["Article one."]
+
+
+def test_pages_without_head_end_and_body_have_the_same_text(page_model):
+    html = page(5, f"<p>{spoken(1, 'en', 30)}.</p>")
+    assert page_model.main_text(html.replace("</head><body>", "").replace("</body></html>", "")) == page_model.main_text(html) != ""
+
+
 def test_long_page_is_read_whole(page_model):
     body = "".join(f"<p>{spoken(k, 'en', 30)}.</p>" for k in range(2000))
     text = page_model.main_text(page(1, body))
