@@ -325,46 +325,55 @@ def with_duration_mean(
 ) -> DataFrame:
     """Mean over the ``seconds`` before each row, the row's own second left out.
 
-    Every row enters the mean one second after its time and leaves it ``seconds`` later, so the
-    mean is a running sum of what enters and leaves, which ``with_frames`` splits where an entity
-    is large. What enters and leaves is added up per second first. A row without a time keeps its
-    place with a NULL mean.
+    Time is cut into parts of ``seconds``. What a row looks back on is the end of one part and the
+    beginning of the next, so its mean comes from a running sum backwards over the one and forwards
+    over the other. Nothing is subtracted: only readings within the duration enter, NaN, infinities
+    and rounding errors of others do not. ``with_frames`` splits parts with many rows. What is of the
+    same second is added up first. A row without a time keeps its place with a NULL mean.
     """
     e = series.entity
     at = F.unix_seconds(F.col(series.time).cast("timestamp"))
     value = F.col(column).cast("double")
-    moved = df.filter(at.isNotNull() & value.isNotNull()).select(
-        F.col(e).alias("_e"), value.alias("_v"), at.alias("_s"), F.lit(1).cast("bigint").alias("_n")
+    moments = (
+        df.filter(at.isNotNull())
+        .groupBy(F.col(e).alias("_e"), at.alias("_s"))
+        .agg(F.sum(value).alias("_v"), F.count(value).alias("_n"))
     )
-    both = F.explode(
-        F.array(
-            F.struct((F.col("_s") + 1).alias("at"), F.col("_v").alias("v"), F.col("_n").alias("n")),
-            F.struct((F.col("_s") + seconds + 1).alias("at"), (-F.col("_v")).alias("v"), (-F.col("_n")).alias("n")),
+    since = F.pmod(F.col("_s"), F.lit(seconds).cast("bigint"))
+    begin = F.col("_s") - since
+    turned = begin + F.lit(seconds - 1) - since
+
+    def entry(back: bool, begin, when, asks: bool):
+        # Forwards, what is of the second itself comes after its question; backwards, before it.
+        return F.struct(
+            F.lit(back).alias("back"), begin.alias("begin"), F.timestamp_seconds(when).alias("at"),
+            F.lit(asks).alias("asks"), F.lit(asks == back).alias("last"),
         )
-    )
-    steps = (
-        moved.select("_e", both.alias("_x"))
-        .groupBy("_e", F.col("_x.at").alias("_s"))
-        .agg(F.sum("_x.v").alias("_v"), F.sum("_x.n").alias("_n"))
-    )
-    own = F.struct(*[F.col(c) for c in df.columns])
-    rows = df.select(F.col(e).alias("_e"), at.alias("_s"), own.alias("_row"))
-    placed = steps.withColumn("_row", F.lit(None).cast(rows.schema["_row"].dataType)).unionByName(
-        rows.filter(F.col("_s").isNotNull()).withColumns(
-            {"_v": F.lit(None).cast("double"), "_n": F.lit(None).cast("bigint")}
+
+    entries = F.explode(
+        F.array(
+            entry(False, begin, F.col("_s"), False),
+            entry(False, begin, F.col("_s"), True),
+            entry(True, begin, turned, False),
+            entry(True, begin - F.lit(seconds), turned - F.lit(seconds), True),
         )
     )
-    # Steps of a second come before its rows.
-    timed = placed.withColumns(
-        {"_at": F.timestamp_seconds("_s"), "_asks": F.col("_row").isNotNull()}
+    placed = moments.withColumn("_x", entries).select(
+        "_e", "_s", F.struct("_e", "_x.back", "_x.begin").alias("_part"), F.col("_x.at").alias("_at"),
+        F.col("_x.last").alias("_last"), F.col("_x.asks").alias("_asks"),
+        F.when(~F.col("_x.asks"), F.col("_v")).alias("_v"), F.when(~F.col("_x.asks"), F.col("_n")).alias("_n"),
     )
     summed = with_frames(
-        timed,
+        placed,
         [Running("_v", "_sum"), Running("_n", "_count")],
-        Series(entity="_e", time="_at", tie=("_asks",)),
+        Series(entity="_part", time="_at", tie=("_last",)),
         max_rows,
         strategy,
     ).filter("_asks")
-    found = summed.select("_row.*", F.when(F.col("_count") > 0, F.col("_sum") / F.col("_count")).alias(name))
-    untimed = rows.filter(F.col("_s").isNull()).select("_row.*", F.lit(None).cast("double").alias(name))
-    return found.unionByName(untimed)
+    means = summed.groupBy("_e", "_s").agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count")).select(
+        F.col("_e").alias("_f"), F.col("_s").alias("_t"), F.when(F.col("_count") > 0, F.col("_sum") / F.col("_count")).alias("_mean")
+    )
+    own = F.struct(*[F.col(c) for c in df.columns])
+    rows = df.select(F.col(e).alias("_e"), at.alias("_s"), own.alias("_row"))
+    same = rows["_e"].eqNullSafe(means["_f"]) & (rows["_s"] == means["_t"])
+    return rows.join(means, same, "left").select("_row.*", F.col("_mean").alias(name))

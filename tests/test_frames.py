@@ -1,6 +1,7 @@
 """Row frames: plain and blocked plans against a plain Python loop."""
 
 import datetime as dt
+import math
 import random
 import statistics
 
@@ -155,6 +156,19 @@ def test_duration_mean(spark):
             assert got[(e, t)] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("odd", [math.nan, -math.inf, 1e18])
+def test_duration_mean_forgets_odd_readings(spark, odd):
+    start = dt.datetime(2024, 1, 1)
+    rows = [("a", start + dt.timedelta(hours=i), i, odd if i in (3, 5) else i % 7 + 0.1) for i in range(200)]
+    df = spark.createDataFrame(rows, "e string, t timestamp, k int, v double")
+    for options in ({"strategy": "plain"}, {"max_rows": 8, "strategy": "blocks"}):
+        got = {r["k"]: r["m"] for r in with_duration_mean(df, "v", "m", 86_400, SERIES, **options).collect()}
+        assert len(got) == 200 and got[0] is None
+        for i in range(1, 200):
+            want = mean([r[3] for r in rows[max(0, i - 24) : i]])
+            assert got[i] == pytest.approx(want, rel=1e-12, nan_ok=True)
+
+
 def test_single_row_and_empty(spark):
     check(spark, [("a", dt.date(2020, 1, 1), 1, 2.0)], strategy="blocks", max_rows=1)
     empty = spark.createDataFrame([], DDL)
