@@ -12,12 +12,14 @@ from stratawell.llm import (
     compression_bands,
     crf_extract,
     deobfuscation,
+    filter_audit,
     huffman_tokens,
     positional_index,
     repeated_substrings,
     separator_scan,
     tensored_minhash,
 )
+from stratawell.llm.oracles import OP13_SQL
 from stratawell.session import scratch_path
 
 END_OF_TEXT = 49407  # of word_bpe_49k.json
@@ -151,6 +153,11 @@ def op10_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order, per source."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Builder] = {
     "op1_compression_bands": op1_compression_bands,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -162,6 +169,7 @@ QUERIES: dict[str, Builder] = {
     "op8_bayes_language": op8_bayes_language,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_tensored_minhash": op10_tensored_minhash,
+    "op13_filter_audit": op13_filter_audit,
 }
 #: DuckDB SQL, where SQL can say what the query returns.
-ORACLES: dict[str, str] = {"op3_positional_index": OP3_SQL}
+ORACLES: dict[str, str] = {"op3_positional_index": OP3_SQL, "op13_filter_audit": OP13_SQL}
