@@ -41,3 +41,37 @@ SELECT part, filter_order, step::int AS step, coalesce(kept, 0)::bigint AS kept,
        coalesce(sum(removed) OVER (PARTITION BY part, letter), 0)::bigint AS shapley
 FROM r
 """
+
+# The order of equal sizes is the same on both sides: by least doc_id, the shards of a size in order.
+OP12_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+           octet_length(encode(coalesce(text, ''))) + 1 AS size FROM documents),
+g AS (
+    SELECT text, sum(size)::bigint AS total, row_number() OVER (ORDER BY sum(size) DESC, min(doc_id)) AS pos,
+           row_number() OVER (PARTITION BY sum(size) ORDER BY min(doc_id)) AS k
+    FROM d GROUP BY text),
+run(pos, total, shard, loads) AS (
+    SELECT 0::bigint, 0::bigint, 0, [0::bigint for i in range(16)]
+    UNION ALL
+    SELECT g.pos, g.total, list_position(loads, list_min(loads)) - 1,
+           [CASE WHEN i = list_position(loads, list_min(loads)) THEN loads[i] + g.total ELSE loads[i] END for i in range(1, 17)]
+    FROM run JOIN g ON g.pos = run.pos + 1),
+moves AS (
+    SELECT total, shard, sum(n) OVER (PARTITION BY total ORDER BY shard) AS upto, n
+    FROM (SELECT total, shard, count(*) AS n FROM run WHERE pos > 0 GROUP BY total, shard)),
+placed AS (SELECT g.text, m.shard FROM g JOIN moves m ON m.total = g.total AND g.k <= m.upto AND g.k > m.upto - m.n),
+crc(k, b, c) AS (
+    SELECT 0, b, b FROM range(256) t(b)
+    UNION ALL
+    SELECT k + 1, b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8),
+lut AS (SELECT list(c ORDER BY b) AS t FROM crc WHERE k = 8),
+bytes AS (SELECT rid, hex(encode(text)) AS h FROM d),
+sums AS (
+    SELECT rid, xor(list_reduce([('0x' || p)::bigint for p in regexp_extract_all(h, '..')],
+               lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS crc32
+    FROM bytes, lut)
+SELECT doc_id, size::bigint AS size, crc32 AS text_crc32, 'bytes' AS law, shard::int AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::int AS grown_shard
+FROM d JOIN placed USING (text) JOIN sums USING (rid)
+"""

@@ -17,9 +17,10 @@ from stratawell.llm import (
     positional_index,
     repeated_substrings,
     separator_scan,
+    shard_schedule,
     tensored_minhash,
 )
-from stratawell.llm.oracles import OP13_SQL
+from stratawell.llm.oracles import OP12_SQL, OP13_SQL
 from stratawell.session import scratch_path
 
 END_OF_TEXT = 49407  # of word_bpe_49k.json
@@ -153,6 +154,11 @@ def op10_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op12_longest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; equal texts stay together, sizes are near equal."""
+    return shard_schedule.shard_documents(_table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove in every order, per source."""
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -169,7 +175,8 @@ QUERIES: dict[str, Builder] = {
     "op8_bayes_language": op8_bayes_language,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_tensored_minhash": op10_tensored_minhash,
+    "op12_longest_first": op12_longest_first,
     "op13_filter_audit": op13_filter_audit,
 }
 #: DuckDB SQL, where SQL can say what the query returns.
-ORACLES: dict[str, str] = {"op3_positional_index": OP3_SQL, "op13_filter_audit": OP13_SQL}
+ORACLES: dict[str, str] = {"op3_positional_index": OP3_SQL, "op12_longest_first": OP12_SQL, "op13_filter_audit": OP13_SQL}
