@@ -75,3 +75,24 @@ SELECT doc_id, size::bigint AS size, crc32 AS text_crc32, 'bytes' AS law, shard:
        row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::int AS grown_shard
 FROM d JOIN placed USING (text) JOIN sums USING (rid)
 """
+
+OP11_SQL = r"""
+WITH e AS (
+    SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::double) for x in embedding] AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND list_count(embedding) = len(embedding)
+      AND len([x for x in embedding if NOT isfinite(x)]) = 0),
+s AS (
+    SELECT a.uid, a.vec_id AS anchor_id, b.vec_id, b.uid AS other, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::bigint AS score
+    FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.uid <> b.uid AND len(a.v) = len(b.v)),
+p AS (
+    SELECT uid, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER w AS slot
+    FROM s WHERE same WINDOW w AS (PARTITION BY uid ORDER BY score DESC, vec_id, other) QUALIFY slot <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER w AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.uid = p.uid AND NOT s.same
+ AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY p.uid, p.slot ORDER BY s.score DESC, s.vec_id, s.other) QUALIFY rank <= 5
+"""

@@ -13,6 +13,7 @@ from stratawell.llm import (
     crf_extract,
     deobfuscation,
     filter_audit,
+    hard_negatives,
     huffman_tokens,
     positional_index,
     repeated_substrings,
@@ -20,7 +21,7 @@ from stratawell.llm import (
     shard_schedule,
     tensored_minhash,
 )
-from stratawell.llm.oracles import OP12_SQL, OP13_SQL
+from stratawell.llm.oracles import OP11_SQL, OP12_SQL, OP13_SQL
 from stratawell.session import scratch_path
 
 END_OF_TEXT = 49407  # of word_bpe_49k.json
@@ -154,6 +155,11 @@ def op10_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and each of its positives."""
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_longest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document; equal texts stay together, sizes are near equal."""
     return shard_schedule.shard_documents(_table(spark, sf_dir, "documents"))
@@ -175,8 +181,14 @@ QUERIES: dict[str, Builder] = {
     "op8_bayes_language": op8_bayes_language,
     "op9_huffman_tokens": op9_huffman_tokens,
     "op10_tensored_minhash": op10_tensored_minhash,
+    "op11_bond_negatives": op11_bond_negatives,
     "op12_longest_first": op12_longest_first,
     "op13_filter_audit": op13_filter_audit,
 }
 #: DuckDB SQL, where SQL can say what the query returns.
-ORACLES: dict[str, str] = {"op3_positional_index": OP3_SQL, "op12_longest_first": OP12_SQL, "op13_filter_audit": OP13_SQL}
+ORACLES: dict[str, str] = {
+    "op3_positional_index": OP3_SQL,
+    "op11_bond_negatives": OP11_SQL,
+    "op12_longest_first": OP12_SQL,
+    "op13_filter_audit": OP13_SQL,
+}
