@@ -53,7 +53,7 @@ def repeated_counters(hashes: DataFrame, bits: int) -> np.ndarray:
 
     Tasks send the counters of a batch, each with its count; a task per slice adds them up.
     """
-    edge, size = 1 << SLICE_BITS, 1 << bits
+    edge, size = 1 << min(SLICE_BITS, bits), 1 << bits
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
