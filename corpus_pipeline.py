@@ -26,8 +26,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of each group of near-duplicates."""
-    return tensored_minhash.keep_one(docs)
+    """Keep one row of each group of near-duplicates, by shingles of five words."""
+    return tensored_minhash.keep_one(docs, tensored_minhash.Banding(shingle=5))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
