@@ -8,6 +8,10 @@ count once. Where a group has different fragments, each is cut by the distance o
 the anchor, and pieces of one distance go on if another one shares the bytes that all their strings
 have in common. The pieces of many groups form a collection whose Burrows-Wheeler transform and
 common prefixes are built column by column.
+
+A group of more fragments than one task should hold is dealt out by what its pieces have in common:
+distance class and common bytes are a key of the shuffle, equal pieces count once, and a class that is
+still too large is cut again into pieces of fewer distances, down to single strings.
 """
 
 from __future__ import annotations
@@ -29,7 +33,8 @@ GRAM = 32  # a power of two
 SLICE = 2 << 20
 REACH = 43  # distances from the anchor that a piece spans
 COLLECTION = 1500  # pieces sorted at a time
-GROUP_LIMIT = 400  # different fragments of a group that are sorted together
+REACHES = (REACH, 8, 1)  # of the pieces that large groups are dealt out by
+GROUP_LIMIT = 400  # different fragments of a group, or pieces of a class, that one task sorts together
 BASE = np.uint64(0xD6E8FEB86659FD93)
 INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 PLACE_BITS = np.uint64(24)
@@ -100,11 +105,13 @@ def fragments(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram:
     }
 
 
-def pieces(body: bytes, anchor: int, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, bytes, int, bytes]]:
+def pieces(
+    body: bytes, anchor: int, length: int = LENGTH, gram: int = GRAM, reach: int = REACH
+) -> Iterator[tuple[int, bytes, int, bytes]]:
     """(distance class, bytes common to all its strings, first start, bytes) of a fragment."""
     last_start = len(body) - length
-    for k, near in enumerate(range(0, length - gram + 1, REACH)):
-        far = min(near + REACH - 1, length - gram)
+    for k, near in enumerate(range(0, length - gram + 1, reach)):
+        far = min(near + reach - 1, length - gram)
         lo, hi = max(0, anchor - far), min(last_start, anchor - near)
         if lo <= hi:
             yield k, body[anchor - near : anchor - far + length], lo, body[lo : hi + length]
@@ -141,20 +148,42 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def _sorted_out(strings: DataFrame, length: int) -> DataFrame:
-    """(g, f, lo, hi): stretches of starts that repeat, from whole groups of (g, f, copies, anchor, body)."""
+SPAN_DDL = "g long, f long, lo long, hi long"
+
+
+class _Collection:
+    """Pieces that wait to be sorted, and stretches (g, f, lo, hi) that are known to repeat."""
+
+    def __init__(self, length: int):
+        self.length = length
+        self.done: list[tuple] = []
+        self.waiting: list[tuple] = []
+
+    def full(self) -> bool:
+        return len(self.waiting) >= COLLECTION or len(self.done) >= 100 * COLLECTION
 
-    def flush(done: list[tuple], waiting: list[tuple]) -> pa.RecordBatch:
-        out = list(done)
-        for (g, f, lo, _), at in zip(waiting, repeated_starts([w[3] for w in waiting], length) if waiting else ()):
+    def flush(self) -> pa.RecordBatch:
+        """Sort what waits; pieces without a group are only compared with."""
+        out, bodies = self.done, [w[3] for w in self.waiting]
+        for (g, f, lo, _), at in zip(self.waiting, repeated_starts(bodies, self.length) if bodies else ()):
             if g is not None and len(at):
                 breaks = np.flatnonzero(np.diff(at) > 1)
-                for a, b in zip(at[np.append(0, breaks + 1)].tolist(), at[np.append(breaks, len(at) - 1)].tolist()):
-                    out.append((g, f, lo + a, lo + b))
+                for first, last in zip(at[np.append(0, breaks + 1)].tolist(), at[np.append(breaks, len(at) - 1)].tolist()):
+                    out.append((g, f, lo + first, lo + last))
+        self.done, self.waiting = [], []
         columns = list(zip(*out)) or [[], [], [], []]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["g", "f", "lo", "hi"])
 
-    def look(group: list[tuple], done: list[tuple], waiting: list[tuple]) -> None:
+
+def _n_tasks(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _sorted_groups(strings: DataFrame, length: int) -> DataFrame:
+    """(g, f, lo, hi): stretches of starts that repeat, from whole groups of (g, f, copies, anchor, body)."""
+
+    def look(group: list[tuple], to: _Collection) -> None:
         """Equal pieces are settled at once and count once in the collection."""
         classes: dict[tuple[int, bytes], dict[bytes, list]] = {}
         for g, f, copies, anchor, body in group:
@@ -164,50 +193,101 @@ def _sorted_out(strings: DataFrame, length: int) -> DataFrame:
             unsettled = False
             for piece, owners in found.items():
                 if len(owners) > 1:
-                    done += [(g, f, lo, lo + len(piece) - length) for copies, g, f, lo in owners if copies == 1]
+                    to.done += [(g, f, lo, lo + len(piece) - length) for copies, g, f, lo in owners if copies == 1]
                 elif owners[0][0] == 1:
                     unsettled = True
             if unsettled and len(found) > 1:
                 for piece, owners in found.items():
                     copies, g, f, lo = owners[0]
                     own = len(owners) == 1 and copies == 1
-                    waiting.append((g, f, lo, piece) if own else (None, None, 0, piece))
+                    to.waiting.append((g, f, lo, piece) if own else (None, None, 0, piece))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done, waiting, group = [], [], []
+        to, group = _Collection(length), []
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if group and row[0] != group[0][0]:
-                    look(group, done, waiting)
+                    look(group, to)
                     group = []
-                    if len(waiting) >= COLLECTION or len(done) >= 100 * COLLECTION:
-                        yield flush(done, waiting)
-                        done, waiting = [], []
+                    if to.full():
+                        yield to.flush()
                 group.append(row)
-        look(group, done, waiting)
-        yield flush(done, waiting)
+        look(group, to)
+        yield to.flush()
 
-    spark = strings.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return strings.repartition(n, "g").sortWithinPartitions("g", "f").mapInArrow(run, "g long, f long, lo long, hi long")
+    return strings.repartition(_n_tasks(strings), "g").sortWithinPartitions("g", "f").mapInArrow(run, SPAN_DDL)
 
 
-def _counted_out(strings: DataFrame, length: int) -> DataFrame:
-    """The same for groups too large to sort in one task: their strings are counted by digest."""
+def _sorted_classes(rows: DataFrame, length: int) -> DataFrame:
+    """The same from classes (c, g, f, lo, body) of different pieces; those without g need no answer."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to, last = _Collection(length), None
         for batch in batches:
-            for g, f, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                digests = [hashlib.blake2b(body[i : i + length], digest_size=16).digest() for i in range(len(body) - length + 1)]
-                n = len(digests)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, g)), pa.array(np.full(n, f)), pa.array(np.arange(n)), pa.array(digests, pa.binary())],
-                    names=["g", "f", "lo", "digest"],
+            for c, *row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if c != last and to.full():
+                    yield to.flush()
+                last = c
+                to.waiting.append(tuple(row))
+        yield to.flush()
+
+    return rows.repartition(_n_tasks(rows), "c").sortWithinPartitions("c").mapInArrow(run, SPAN_DDL)
+
+
+def _dealt_out(strings: DataFrame, length: int) -> DataFrame:
+    """The same from groups too large for one task, of (g, f, copies, anchor, body).
+
+    A class (c) is what pieces of one group and distance class have in common, p stands for the bytes
+    of a piece. A piece with several owners repeats as a whole. The others are compared with the rest
+    of their class, if it is of a size to sort, or else in finer pieces; of the finest, single strings,
+    every class has one kind only.
+    """
+    spark = strings.sparkSession
+    out = spark.createDataFrame([], SPAN_DDL)
+    left = strings.select("g", "f", "copies", F.lit(0).cast("long").alias("lo"), "anchor", "body")
+    for reach in REACHES:
+
+        def cut(batches: Iterable[pa.RecordBatch], reach=reach) -> Iterator[pa.RecordBatch]:
+            def made(rows: list[tuple]) -> pa.RecordBatch:
+                kinds = (pa.binary(), pa.binary(), *[pa.int64()] * 5, pa.binary())
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(x, t) for x, t in zip(list(zip(*rows)) or [[]] * 8, kinds)],
+                    names=["c", "p", "g", "f", "copies", "lo", "anchor", "body"],
                 )
 
-    found = strings.mapInArrow(run, "g long, f long, lo long, digest binary")
-    often = found.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
-    return found.join(often.select("digest"), "digest").select("g", "f", "lo", F.col("lo").alias("hi"))
+            rows = []
+            for batch in batches:
+                for g, f, copies, lo, anchor, body in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                    for k, core, at, piece in pieces(body, anchor, length, reach=reach):
+                        c = hashlib.blake2b(b"%d %d " % (g, k) + core, digest_size=16).digest()
+                        p = hashlib.blake2b(piece, digest_size=16).digest()
+                        rows.append((c, p, g, f, copies, lo + at, anchor - at, piece))
+                    if len(rows) >= 10 * COLLECTION:
+                        yield made(rows)
+                        rows = []
+            yield made(rows)
+
+        parts = materialize(
+            left.mapInArrow(cut, "c binary, p binary, g long, f long, copies long, lo long, anchor long, body binary")
+        )
+        if parts.isEmpty():
+            return out
+        kinds = materialize(
+            parts.groupBy("c", "p").agg(
+                F.count("*").alias("owners"), *[F.first(x).alias(x) for x in ("g", "f", "copies", "lo", "anchor", "body")]
+            ).withColumn("open", (F.col("owners") == 1) & (F.col("copies") == 1))
+        )
+        settled = kinds.where("owners > 1").select("c", "p")
+        hi = F.col("lo") + F.octet_length("body") - length
+        out = out.unionByName(parts.where("copies = 1").join(settled, ["c", "p"]).select("g", "f", "lo", hi.alias("hi")))
+        sizes = kinds.groupBy("c").agg(F.count("*").alias("n"), F.count_if("open").alias("n_open")).where("n > 1 AND n_open > 0")
+        sized = kinds.join(sizes, "c")
+        asked = [F.when(F.col("open"), F.col(x)).alias(x) for x in ("g", "f")]
+        few = sized.where(F.col("n") <= GROUP_LIMIT).select("c", *asked, "lo", "body")
+        out = out.unionByName(_sorted_classes(few, length))
+        answered = F.when(F.col("open"), 1).otherwise(2).cast("long").alias("copies")
+        left = sized.where(F.col("n") > GROUP_LIMIT).select("g", "f", answered, "lo", "anchor", "body")
+    return out
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -236,13 +316,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             F.substring("body", F.col("first").cast("int") + 1, (F.col("starts") + length - 1).cast("int")).alias("body"),
         ).dropDuplicates(["g", "f"])
     )
-    small, large = f"n_kinds <= {GROUP_LIMIT}", f"n_kinds > {GROUP_LIMIT}"
-    within = _sorted_out(bodies.where(small).select("g", "f", "copies", "anchor", "body"), length).unionByName(
-        _counted_out(bodies.where(large).select("g", "f", "body"), length)
-    )
+    columns = ("g", "f", "copies", "anchor", "body")
+    small = bodies.where(F.col("n_kinds") <= GROUP_LIMIT).select(*columns)
+    large = bodies.where(F.col("n_kinds") > GROUP_LIMIT).select(*columns)
     whole = kinds.where("copies > 1").select("g", "f", F.lit(0).cast("long").alias("lo"), (F.col("starts") - 1).alias("hi"))
-    alone = kinds.where("copies = 1").select("g", "f")
-    found = materialize(whole.unionByName(within.join(alone, ["g", "f"], "left_semi")))
+    found = materialize(whole.unionByName(_sorted_groups(small, length)).unionByName(_dealt_out(large, length)))
     spans = cut.select("id", "mark", "g", "f", "first").join(found, ["g", "f"]).select(
         "id", "mark", (F.col("first") + F.col("lo")).alias("start"), (F.col("first") + F.col("hi") + length).alias("stop")
     )
