@@ -11,7 +11,7 @@ from stratawell.config import WELLS_IN_SCOPE
 from stratawell.ml import scoring, training
 from stratawell.operators import quality
 from stratawell.operators.quality import enforce_gate, gate_checks
-from stratawell.plans import bronze, gold, serving, silver, suites
+from stratawell.plans import bronze, gold, incremental, serving, silver, suites
 from stratawell.sinks.tables import Lake
 from stratawell.sources.production import count_source_files, read_csv_sheet, read_workbooks
 from stratawell.sources.trajectory import read_trajectories
@@ -33,6 +33,7 @@ class Sources:
 @dataclass
 class DayResult:
     rows: dict[str, int] = field(default_factory=dict)
+    years: dict[str, set[int]] = field(default_factory=dict)  # of gold, written again
     scoring: dict | None = None
     skipped: dict[str, str] = field(default_factory=dict)
 
@@ -84,9 +85,10 @@ def check_gate(lake: Lake) -> None:
 
 
 def load_gold(lake: Lake) -> dict[str, int]:
+    """Both gold tables from all of silver, and the totals that later changes build on."""
     production = lake.read("silver.cleaned_production")
     stations = lake.read("silver.cleaned_trajectory")
-    return {
+    rows = {
         "gold.production_daily": lake.refresh(
             "gold.production_daily", gold.production_daily(production), YEAR, DAY_KEYS
         ),
@@ -94,6 +96,8 @@ def load_gold(lake: Lake) -> dict[str, int]:
             "gold.ml_feature_store", gold.feature_store(production, stations), YEAR, DAY_KEYS
         ),
     }
+    incremental.build_totals(lake)
+    return rows
 
 
 def train_models(
@@ -139,13 +143,20 @@ def daily_report(lake: Lake, as_of=None) -> tuple[DataFrame, DataFrame | None]:
     )
 
 
-def run_day(lake: Lake, sources: Sources, as_of=None, days: int = 30) -> DayResult:
-    """The whole chain; a failed gate stops it before gold."""
+def run_day(lake: Lake, sources: Sources, as_of=None, days: int = 30, full: bool = False) -> DayResult:
+    """The whole chain; a failed gate stops it before gold.
+
+    The first run computes gold from all of silver, later ones write the years that changes reach;
+    ``full`` computes all again.
+    """
     result = DayResult()
     result.rows |= load_bronze(lake, sources)
     result.rows |= load_silver(lake)
     check_gate(lake)
-    result.rows |= load_gold(lake)
+    if full or not lake.exists(incremental.TOTALS):
+        result.rows |= load_gold(lake)
+    else:
+        result.years = incremental.sync_gold(lake)
     run_quality(lake)
     if any(training.versions(lake, m.name) for m in training.MODELS.values()):
         result.scoring = scoring.score_recent(lake, days, as_of)

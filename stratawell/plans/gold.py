@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stratawell.config import (
     FEATURE_BASE_COLUMNS,
@@ -14,7 +14,6 @@ from stratawell.config import (
 )
 from stratawell.functions import kpis
 from stratawell.operators.frames import Lag, Lead, Overall, Running, Trailing, with_frames
-from stratawell.session import checked_broadcast
 
 PRESSURE, OIL, GAS, WATER = (
     "AVG_DOWNHOLE_PRESSURE", "BORE_OIL_VOL", "BORE_GAS_VOL", "BORE_WAT_VOL",
@@ -95,6 +94,11 @@ def production_daily(
     """One row per silver row. ``expanding_baseline`` keeps the future out of the baseline."""
     base = silver.select(*GOLD_BASE_COLUMNS)
     measured = with_frames(base, _baseline(DAILY_MEASURES, expanding_baseline), series, **frames)
+    return daily_rows(measured, rules, processed_ts)
+
+
+def daily_rows(measured: DataFrame, rules: AlertRules = RULES, processed_ts=None) -> DataFrame:
+    """Rows of the daily table from silver rows with ``DAILY_MEASURES``."""
     alerts = alert_columns(measured, rules)
     rolling = [m.name for m in DAILY_MEASURES if m.name not in DAILY_HELPERS]
     return alerts.select(
@@ -143,8 +147,8 @@ def trajectory_stats(stations: DataFrame) -> DataFrame:
 
 
 def join_well_stats(df: DataFrame, stats: DataFrame, entity: str = "well_id") -> DataFrame:
-    """Left join of per-well figures, broadcast where they are known to be few."""
-    return df.join(checked_broadcast(stats), entity, "left")
+    """Left join of per-well figures; how they travel is decided by their size at run time."""
+    return df.join(stats, entity, "left")
 
 
 def feature_store(
@@ -160,15 +164,27 @@ def feature_store(
     helper = [c for c in series.order if c not in FEATURE_BASE_COLUMNS and c in silver.columns]
     base = silver.select(*FEATURE_BASE_COLUMNS, *helper)
     measured = with_frames(base, _baseline(FEATURE_MEASURES, expanding_baseline), series, **frames)
-    joined = join_well_stats(measured, trajectory_stats(stations), series.entity)
-    delta = kpis.change(PRESSURE, "pressure_lag1")
-    anomaly = kpis.any_of(
+    return feature_rows(measured, trajectory_stats(stations), series, rules, processed_ts)
+
+
+def feature_anomaly(rules: AlertRules = RULES, baseline: str = "baseline_gor") -> Column:
+    """The anomaly label of a feature row, given its entity's baseline."""
+    return kpis.any_of(
         [
-            kpis.pressure_anomaly(delta, rules),
+            kpis.pressure_anomaly(kpis.change(PRESSURE, "pressure_lag1"), rules),
             kpis.water_cut_spike("water_cut_pct", "water_cut_lag1", rules),
-            kpis.gor_anomaly("gas_oil_ratio", "baseline_gor", rules),
+            kpis.gor_anomaly("gas_oil_ratio", baseline, rules),
         ]
     )
+
+
+def feature_rows(
+    measured: DataFrame, stats: DataFrame, series: Series = PRODUCTION, rules: AlertRules = RULES, processed_ts=None
+) -> DataFrame:
+    """Rows of the feature store from silver rows with ``FEATURE_MEASURES`` and per-well figures."""
+    joined = join_well_stats(measured, stats, series.entity)
+    delta = kpis.change(PRESSURE, "pressure_lag1")
+    anomaly = feature_anomaly(rules)
     windowed = [
         m.name for m in FEATURE_MEASURES if m.name not in ("baseline_gor", "next_day_pressure")
     ]

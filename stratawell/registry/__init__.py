@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-GROUPS = ("clean", "windows", "gold", "views", "quality", "models", "tables", "files", "streams")
+GROUPS = ("clean", "windows", "gold", "incremental", "views", "quality", "models", "tables", "files", "streams")
 
 
 def all_queries():

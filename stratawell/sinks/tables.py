@@ -102,7 +102,7 @@ class Lake:
         merged = kept.unionByName(batch)
         self.overwrite_partitions(table, merged, partition, cluster_by)
         for year in stale:
-            self._drop_partition(table, partition, year)
+            self.drop_partition(table, partition, year)
 
     def upsert(
         self,
@@ -138,7 +138,7 @@ class Lake:
         """Drop whole partitions older than ``years`` years; returns what was dropped."""
         old = [y for y in self.years(self.read(table), partition) if y <= as_of_year - years]
         for year in old:
-            self._drop_partition(table, partition, year)
+            self.drop_partition(table, partition, year)
         return sorted(old)
 
     def recluster(
@@ -179,11 +179,11 @@ class Lake:
         """Make ``df`` the content of one partition; without rows the partition goes."""
         kept = materialize(df)
         if kept.isEmpty():
-            self._drop_partition(table, partition, value)
+            self.drop_partition(table, partition, value)
         else:
             self.overwrite_partitions(table, kept, partition, cluster_by)
 
-    def _drop_partition(self, table: str, partition: str, value) -> None:
+    def drop_partition(self, table: str, partition: str, value) -> None:
         delete(self.spark, f"{self.path(table)}/{partition}={value}")
 
 
