@@ -9,15 +9,15 @@ from stratawell.registry.base import query, r, rounded
 from stratawell.registry.fixtures import table
 from stratawell.session import scratch_path
 from stratawell.streaming.kpis import (
-    measured_readings,
     production_alerts,
     read_landing,
     start_alerts,
-    start_reading_rules,
     start_windowed_kpi,
     window_drop,
     windowed_kpi,
 )
+from stratawell.streaming.closed import close_windows, rows_in_time, start_closed_windows, start_dealing
+from stratawell.streaming.readings import measured_readings, start_reading_rules
 from stratawell.streaming.tables import latest_state
 
 READINGS = Series("user_id", "ts", ("event_id",))
@@ -112,6 +112,22 @@ def stream_alerts(spark, sf):
     return rounded(spark.read.parquet(out).drop("ON_STREAM_HRS"))
 
 
+FILES_A_PART = 4
+
+
+def landed_in_parts(spark, events):
+    """Rows as a stream of three micro-batches, in time order, of several files each.
+
+    Rows without a time come first.
+    """
+    landing = scratch_path(spark, "landing")
+    edges = [F.lit(x).cast("timestamp_ntz") for x in ("2024-01-11", "2024-01-21")]
+    part = F.when(F.col("ts") >= edges[1], 2).when(F.col("ts") >= edges[0], 1).otherwise(0)
+    for n in range(3):
+        events.filter(part == n).repartition(FILES_A_PART, "event_id").write.parquet(f"{landing}/part-{n}")
+    return read_landing(spark, f"{landing}/*/*.parquet", events.schema, files_per_trigger=FILES_A_PART)
+
+
 @query(
     "stream_state",
     f"""WITH f AS (
@@ -123,16 +139,9 @@ def stream_alerts(spark, sf):
                coalesce(value = lag1 AND lag1 = lag2, false) AS is_flatline FROM f""",
 )
 def stream_state(spark, sf):
-    """Consecutive readings over three micro-batches, written in time order."""
+    """Consecutive readings over three micro-batches of several files, written in time order."""
     events = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    landing = scratch_path(spark, "landing")
-    edges = ["2024-01-11", "2024-01-21", "9999-01-01"]
-    for n, edge in enumerate(edges):
-        after = F.lit(True) if n == 0 else F.col("ts") >= F.lit(edges[n - 1]).cast("timestamp_ntz")
-        events.filter(after & (F.col("ts") < F.lit(edge).cast("timestamp_ntz"))).coalesce(
-            1
-        ).write.parquet(f"{landing}/part-{n}")
-    stream = read_landing(spark, f"{landing}/*/*.parquet", events.schema, files_per_trigger=1)
+    stream = landed_in_parts(spark, events)
     out, checkpoint = scratch_path(spark, "readings"), scratch_path(spark, "readings-checkpoint")
     measures = [Lag("value", "lag1", 1), Lag("value", "lag2", 2), Trailing("value", "mean_7", 7)]
     start_reading_rules(stream, measures, out, checkpoint, READINGS).awaitTermination()
@@ -147,3 +156,27 @@ def stream_state(spark, sf):
             kpis.flatline("value", "lag1", "lag2").alias("is_flatline"),
         )
     )
+
+
+@query(
+    "stream_closed_windows",
+    f"""SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type,
+               count(*) AS n_events, {r('sum(value)', 'total')}, {r('avg(value)', 'mean')}
+        FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
+)
+def stream_closed_windows(spark, sf):
+    """Daily windows, each written once when it is closed; a closing row ends the stream."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    dealt, out = scratch_path(spark, "dealt"), scratch_path(spark, "closed")
+    start_dealing(landed_in_parts(spark, events), "ts", dealt, f"{dealt}-checkpoint").awaitTermination()
+    for last in (False, True):
+        if last:
+            close_windows(spark, dealt, events.schema, "ts")
+        kpi = windowed_kpi(
+            rows_in_time(spark, dealt, events.schema, FILES_A_PART),
+            "ts",
+            ["event_type"],
+            {"n_events": F.count(F.lit(1)), "total": F.sum("value"), "mean": F.avg("value")},
+        )
+        start_closed_windows(kpi, out, f"{out}-checkpoint").awaitTermination()
+    return rounded(spark.read.parquet(out).drop("window_end"))

@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stratawell.config import RULES, AlertRules, Series
+from stratawell.config import RULES, AlertRules
 from stratawell.functions import kpis
-from stratawell.operators.dedupe import latest_per_key
-from stratawell.operators.frames import Measure, with_frames
-from stratawell.session import checked_broadcast, materialize
-from stratawell.storage import delete
-from stratawell.streaming.tables import read_batches, start, write_batch
+from stratawell.streaming.tables import start, write_batch
 
 
 def read_landing(
@@ -117,61 +113,6 @@ def start_alerts(alerts: DataFrame, path: str, checkpoint: str, **trigger) -> St
     )
 
 
-# ---- rules over consecutive readings --------------------------------------------------------------------------
-
-
-def start_reading_rules(
-    stream: DataFrame,
-    measures: Sequence[Measure],
-    path: str,
-    checkpoint: str,
-    series: Series,
-    **trigger,
-) -> StreamingQuery:
-    """Row-frame measures (lags, trailing means) over readings as they arrive.
-
-    Each micro-batch is measured together with the last readings of every entity, kept from
-    earlier batches, and then only its own rows are written. Frames are those of the batch
-    operator, so an entity with very many readings is cut into blocks here too. Readings older
-    than what an entity already had go to ``<path>/late`` with no measures; none are dropped.
-    """
-    reach = max(m.rows for m in measures)
-    e, order = series.entity, series.order
-    spark = stream.sparkSession
-    newest_first = [F.desc(c) for c in order]
-
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
-        columns = batch.columns
-        if batch_id > 0:
-            kept = spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}").select(*columns)
-            edge = latest_per_key(kept, [e], newest_first, total_order=False).select(
-                e, F.struct(*order).alias("_edge")
-            )
-            timed = batch.join(checked_broadcast(edge), e, "left").withColumn(
-                "_late", F.coalesce(F.struct(*order) < F.col("_edge"), F.lit(False))
-            )
-            write_batch(timed.filter("_late").select(*columns), f"{path}/late", batch_id)
-            fresh = timed.filter(~F.col("_late")).select(*columns)
-            both = kept.withColumn("_new", F.lit(False)).unionByName(
-                fresh.withColumn("_new", F.lit(True))
-            )
-        else:
-            both = batch.withColumn("_new", F.lit(True))
-        both = materialize(both)
-        measured = with_frames(both, measures, series).filter("_new").drop("_new")
-        write_batch(measured, f"{path}/rows", batch_id)
-        last = Window.partitionBy(e).orderBy(*newest_first)
-        state = both.withColumn("_k", F.row_number().over(last)).filter(F.col("_k") <= reach)
-        write_batch(state.select(*columns), f"{path}/state", batch_id)
-        delete(spark, f"{path}/state/batch_id={batch_id - 2}")  # a replay needs the last one only
-
-    return start(stream, each_batch, checkpoint, **trigger)
-
-
-def measured_readings(spark: SparkSession, path: str) -> DataFrame:
-    return read_batches(spark, f"{path}/rows").drop("batch_id")
-
-
 # ---- timeliness -------------------------------------------------------------------------------------------------
 
 
