@@ -1,7 +1,8 @@
 """Data-quality suites: every expectation of a suite is measured in one scan of its table.
 
 An expectation names the counts it needs and how they turn into a verdict. A suite asks for all
-counts in a single aggregation, whatever the number of expectations.
+counts in a single aggregation, whatever the number of expectations. Counts of parts of a table add
+up and sketches of distinct values merge, so that parts measured once need not be read again.
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ RESULT_DDL = (
 
 @dataclass(frozen=True)
 class Check:
-    """``counts`` are aggregates; the other expressions read them and ``row_count``."""
+    """``counts`` and ``sketches`` are aggregates; the other expressions read them and ``row_count``."""
 
     counts: dict[str, Column]
     passed: Column
     details: Column
     actual: Column
+    sketches: dict[str, Column] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -52,7 +54,7 @@ def row_count(
         return Check(
             {},
             n >= low if high is None else n.between(low, high),
-            F.concat(F.lit("row_count = "), F.format_number(n, 0)),
+            F.concat(F.format_number(n, 0), F.lit(" rows")),
             n.cast("double"),
         )
 
@@ -68,7 +70,7 @@ def not_null(column: str, mostly: float = 0.95, severity="HIGH") -> Expectation:
         return Check(
             {f"present_{column}": F.count(column)},
             rate >= mostly,
-            F.format_string("not_null_rate = %.4f (%d/%d)", rate, present, total),
+            F.format_string("%d of %d rows have a value (%.4f)", present, total, rate),
             F.round(rate, 4),
         )
 
@@ -80,11 +82,10 @@ def in_set(column: str, allowed: Sequence[str], severity="HIGH") -> Expectation:
 
     def check() -> Check:
         bad = F.col(f"outside_{column}")
-        listed = F.lit(f"  (allowed: {list(allowed)})")
         return Check(
             {f"outside_{column}": F.count_if(~F.col(column).isin(list(allowed)))},
             bad == 0,
-            F.concat(F.lit("unexpected_values = "), bad.cast("string"), listed),
+            F.concat(bad.cast("string"), F.lit(f" values are none of: {', '.join(allowed)}")),
             bad.cast("double"),
         )
 
@@ -92,7 +93,7 @@ def in_set(column: str, allowed: Sequence[str], severity="HIGH") -> Expectation:
 
 
 def _range_check(
-    name: str, column: str, bad: Callable[[Column], Column], mostly, label, bad_label, severity
+    name: str, column: str, bad: Callable[[Column], Column], mostly, wanted: str, severity
 ) -> Expectation:
     """Share of present values that are not ``bad``; text is read as a number first."""
 
@@ -106,8 +107,8 @@ def _range_check(
                 f"wrong_{name}": F.count_if(bad(F.col(column).try_cast("double"))),
             },
             empty | (rate >= mostly),
-            F.when(empty, F.lit("all values NULL — skipped")).otherwise(
-                F.format_string(f"{label} = %.4f  ({bad_label} = %d/%d)", rate, wrong, some)
+            F.when(empty, F.lit("no values to judge")).otherwise(
+                F.format_string(f"%d of %d values are not {wanted} (%.4f are)", wrong, some, rate)
             ),
             F.round(rate, 4),
         )
@@ -121,8 +122,7 @@ def non_negative(column: str, mostly: float = 0.95, severity="HIGH") -> Expectat
         column,
         lambda v: v < 0,
         mostly,
-        "non_negative_rate",
-        "negative_count",
+        "at least 0",
         severity,
     )
 
@@ -133,25 +133,62 @@ def between(column: str, low, high, mostly: float = 0.95, severity="HIGH") -> Ex
         column,
         lambda v: (v < low) | (v > high),
         mostly,
-        "in_range_rate",
-        "out_of_range",
+        f"within {low} to {high}",
         severity,
     )
 
 
+def distinct_between(columns: Sequence[str], low: int, high: int | None = None, severity="HIGH") -> Expectation:
+    """Number of distinct combinations of values, by a sketch that is off by some percent at most.
+
+    NULL is a value here. The sketch has a few kilobytes whatever the size of the table.
+    """
+    name = "_".join(columns)
+
+    def check() -> Check:
+        n = F.hll_sketch_estimate(f"sketch_{name}")
+        return Check(
+            {},
+            n >= low if high is None else n.between(low, high),
+            F.format_string("about %d distinct", n),
+            n.cast("double"),
+            {f"sketch_{name}": F.hll_sketch_agg(F.xxhash64(*columns))},
+        )
+
+    return Expectation(f"expect_{name}_distinct_between", check, float(low), severity)
+
+
 @dataclass(frozen=True)
 class Suite:
     name: str
     table: str
     expectations: Sequence[Expectation] = field(default_factory=tuple)
 
+    def _aggregates(self) -> tuple[dict[str, Column], dict[str, Column]]:
+        checks = [e.check() for e in self.expectations]
+        counts = {"row_count": F.count(F.lit(1))} | {k: c for check in checks for k, c in check.counts.items()}
+        return counts, {k: c for check in checks for k, c in check.sketches.items()}
+
+    def measure(self, df: DataFrame, *by: Column) -> DataFrame:
+        """All counts and sketches in one scan, of the whole table or of each group."""
+        counts, sketches = self._aggregates()
+        return df.groupBy(*by).agg(*[c.alias(k) for k, c in (counts | sketches).items()])
+
+    def merge(self, states: DataFrame) -> DataFrame:
+        """The measures of a table from those of its parts."""
+        counts, sketches = self._aggregates()
+        return states.agg(
+            *[F.coalesce(F.sum(k), F.lit(0)).cast("long").alias(k) for k in counts],
+            *[F.hll_union_agg(k).alias(k) for k in sketches],
+        )
+
     def evaluate(self, df: DataFrame) -> DataFrame:
         """One row: the row count and an array with the verdict of each expectation."""
+        return self.judge(self.measure(df))
+
+    def judge(self, measured: DataFrame) -> DataFrame:
+        """The verdicts from one row of measures."""
         checks = [(e, e.check()) for e in self.expectations]
-        counts = {k: c for _, check in checks for k, c in check.counts.items()}
-        measured = df.agg(
-            F.count(F.lit(1)).alias("row_count"), *[c.alias(k) for k, c in counts.items()]
-        )
         verdicts = F.array(
             *[
                 F.struct(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
@@ -11,7 +12,7 @@ from stratawell.config import WELLS_IN_SCOPE
 from stratawell.ml import scoring, training
 from stratawell.operators import quality
 from stratawell.operators.quality import enforce_gate, gate_checks
-from stratawell.plans import bronze, gold, incremental, serving, silver, suites
+from stratawell.plans import bronze, gold, incremental, quality_states, serving, silver, suites
 from stratawell.sinks.tables import Lake
 from stratawell.sources.production import count_source_files, read_csv_sheet, read_workbooks
 from stratawell.sources.trajectory import read_trajectories
@@ -69,9 +70,12 @@ def load_silver(lake: Lake) -> dict[str, int]:
 
 
 def run_quality(lake: Lake, names: Sequence[str] | None = None) -> DataFrame:
-    """Run suites over stored tables and append to the result history."""
-    chosen = suites.select_suites(names)
-    evaluated = suites.run_suites({s.table: lake.read(s.table) for s in chosen}, names)
+    """Run suites over stored tables and append to the result history.
+
+    Only partitions with new files are read.
+    """
+    parts = [quality_states.evaluate_stored(lake, s)[0] for s in suites.select_suites(names)]
+    evaluated = reduce(DataFrame.unionByName, parts)
     rows = quality.suite_rows(evaluated)
     lake.append("silver.dq_results", rows)
     return evaluated

@@ -4,11 +4,13 @@ from pyspark.sql import functions as F
 
 from stratawell.operators import quality, quarantine
 from stratawell.operators.dedupe import key_uniqueness
-from stratawell.plans import suites
+from stratawell.plans import quality_states, suites
 from stratawell.registry.base import query
 from stratawell.registry.clean import CLEAN_SQL, bronze, clean
 from stratawell.registry.fixtures import RAW_SQL, SILVER_SQL, STATIONS_SQL, silver, table
 from stratawell.registry.gold import FEATURES_SQL, features, gold, stations
+from stratawell.session import scratch_path
+from stratawell.sinks.tables import Lake
 
 ALLOWED = ("F-1", "F-11", "F-12")
 
@@ -26,7 +28,7 @@ def row_sql(name, passed, details, actual, threshold):
 def count_sql():
     return row_sql(
         "expect_table_row_count_positive", "count(*) > 0",
-        "'row_count = ' || format('{:,}', count(*))", "count(*)", 1,
+        "format('{:,}', count(*)) || ' rows'", "count(*)", 1,
     )
 
 
@@ -34,41 +36,38 @@ def present_sql(column, mostly=0.95):
     rate = f"coalesce(count({column}) / nullif(count(*), 0), 0)"
     return row_sql(
         f"expect_{column}_not_null_mostly", f"{rate} >= {mostly}",
-        f"printf('not_null_rate = %.4f (%d/%d)', {rate}, count({column}), count(*))",
+        f"printf('%d of %d rows have a value (%.4f)', count({column}), count(*), {rate})",
         f"round({rate}, 4)", mostly,
     )
 
 
-def set_sql(column):
-    bad = f"count(*) FILTER (WHERE {column} NOT IN {ALLOWED})"
-    allowed = str(list(ALLOWED)).replace("'", "''")
+def set_sql(column, allowed=ALLOWED):
+    bad = f"count(*) FILTER (WHERE {column} NOT IN {allowed})"
     return row_sql(
         f"expect_{column}_in_set", f"{bad} = 0",
-        f"'unexpected_values = ' || {bad} || '  (allowed: {allowed})'", bad, 0,
+        f"{bad} || ' values are none of: {', '.join(allowed)}'", bad, 0,
     )
 
 
-def range_sql(name, column, condition, label, bad_label, mostly=0.95):
+def range_sql(name, column, condition, wanted, mostly=0.95):
     bad = f"count(*) FILTER (WHERE {condition})"
     rate = f"(1.0::DOUBLE - {bad}::DOUBLE / nullif(count({column}), 0))"
     return row_sql(
         name, f"count({column}) = 0 OR {rate} >= {mostly}",
-        f"CASE WHEN count({column}) = 0 THEN 'all values NULL — skipped' ELSE "
-        f"printf('{label} = %.4f  ({bad_label} = %d/%d)', {rate}, {bad}, count({column})) END",
+        f"CASE WHEN count({column}) = 0 THEN 'no values to judge' ELSE "
+        f"printf('%d of %d values are not {wanted} (%.4f are)', {bad}, count({column}), {rate}) END",
         f"round({rate}, 4)", mostly,
     )
 
 
-def positive_sql(column):
-    return range_sql(
-        f"expect_{column}_non_negative", column, f"{column} < 0", "non_negative_rate", "negative_count"
-    )
+def positive_sql(column, mostly=0.95):
+    return range_sql(f"expect_{column}_non_negative", column, f"{column} < 0", "at least 0", mostly)
 
 
-def between_sql(column, low, high):
+def between_sql(column, low, high, mostly=0.95):
     return range_sql(
         f"expect_{column}_between_{low}_{high}", column, f"{column} < {low} OR {column} > {high}",
-        "in_range_rate", "out_of_range",
+        f"within {low} to {high}", mostly,
     )
 
 
@@ -141,24 +140,115 @@ def dq_suite_gold(spark, sf):
     return expectations(suites.GOLD_FEATURES, features(spark, sf))
 
 
-@query(
-    "dq_results",
-    f"""WITH {BRONZE_TABLE_SQL}, e AS ({' UNION ALL '.join(BRONZE_ROWS)})
-        SELECT 'bronze_production_suite' AS suite_name, 'bronze.raw_production' AS table_name,
+TRAJECTORY_ROWS = [
+    count_sql(), present_sql("well_id"), set_sql("well_id"), positive_sql("md_m"),
+    between_sql("incl_deg", 0, 180), between_sql("azi_deg", 0, 360), positive_sql("tvd_m"),
+    present_sql("is_md_valid"),
+]
+GOLD_ROWS = [
+    count_sql(), present_sql("well_id"), present_sql("DATEPRD"), positive_sql("BORE_OIL_VOL"),
+    present_sql("pressure_lag1", 0.70), present_sql("water_cut_lag1", 0.70),
+    present_sql("gor_lag1", 0.70), present_sql("next_day_pressure", 0.70),
+    present_sql("is_anomaly", 0.90),
+]
+STRICT_PRODUCTION_ROWS = [
+    row_sql(
+        "expect_table_row_count_between", "count(*) BETWEEN 1 AND 100000",
+        "format('{:,}', count(*)) || ' rows'", "count(*)", 1,
+    ),
+    present_sql("WELL_BORE_CODE", 1.0), present_sql("DATEPRD", 1.0),
+    between_sql("AVG_DOWNHOLE_PRESSURE", 0, 10000, 0.99), positive_sql("BORE_OIL_VOL", 0.99),
+    between_sql("ON_STREAM_HRS", 0, 24, 1.0), set_sql("FLOW_KIND", ("production", "injection", "test")),
+]
+STRICT_TRAJECTORY_ROWS = [between_sql("md_m", 0, 10000, 1.0), between_sql("incl_deg", 0, 180, 1.0)]
+STRICT_GOLD_ROWS = [
+    row_sql(
+        "expect_table_row_count_min", "count(*) >= 3", "format('{:,}', count(*)) || ' rows'", "count(*)", 3
+    )
+]
+
+
+def history_sql(source, suite, rows):
+    """The result row of one suite."""
+    return f"""SELECT * FROM (WITH {source}, e AS ({' UNION ALL '.join(rows)})
+        SELECT '{suite.name}' AS suite_name, '{suite.table}' AS table_name,
                (SELECT count(*) FROM t) AS row_count, CAST(count(*) AS INTEGER) AS n_expectations,
                CAST(count(*) FILTER (WHERE passed) AS INTEGER) AS n_passed,
                CAST(count(*) FILTER (WHERE NOT passed) AS INTEGER) AS n_failed,
                round(count(*) FILTER (WHERE passed) / count(*), 6) AS pass_rate,
                count(*) FILTER (WHERE passed) / count(*) >= 0.95 AS suite_success
-        FROM e""",
+        FROM e)"""
+
+
+SURVEY_TABLE_SQL = STATIONS_SQL + ", t AS (SELECT * FROM survey)"
+FEATURE_TABLE_SQL = FEATURES_SQL + ", t AS (SELECT * FROM features)"
+
+
+def quality_tables(spark, sf):
+    return {
+        "bronze.raw_production": bronze(spark, sf),
+        "silver.cleaned_production": clean(spark, sf),
+        "silver.cleaned_trajectory": stations(spark, sf),
+        "gold.ml_feature_store": features(spark, sf),
+    }
+
+
+@query(
+    "dq_results",
+    " UNION ALL ".join(
+        history_sql(source, suite, rows)
+        for source, suite, rows in (
+            (BRONZE_TABLE_SQL, suites.BRONZE_PRODUCTION, BRONZE_ROWS),
+            (SILVER_TABLE_SQL, suites.SILVER_PRODUCTION, SILVER_ROWS),
+            (SURVEY_TABLE_SQL, suites.SILVER_TRAJECTORY, TRAJECTORY_ROWS),
+            (FEATURE_TABLE_SQL, suites.GOLD_FEATURES, GOLD_ROWS),
+        )
+    ),
 )
 def dq_results(spark, sf):
-    evaluated = suites.run_suites(
-        {"bronze.raw_production": bronze(spark, sf)}, ["bronze_production_suite"]
-    )
+    """All daily suites, each over its whole table."""
+    evaluated = suites.run_suites(quality_tables(spark, sf))
     return quality.suite_rows(evaluated).drop("run_ts", "expectations_json")
 
 
+def strict_sql(source, suite, rows):
+    return f"SELECT * FROM (WITH {source} SELECT '{suite.name}' AS suite_name, * FROM ({' UNION ALL '.join(rows)}))"
+
+
+@query(
+    "dq_strict",
+    " UNION ALL ".join(
+        strict_sql(source, suite, rows)
+        for source, suite, rows in (
+            (SILVER_TABLE_SQL, suites.SILVER_PRODUCTION_STRICT, STRICT_PRODUCTION_ROWS),
+            (SURVEY_TABLE_SQL, suites.SILVER_TRAJECTORY_STRICT, STRICT_TRAJECTORY_ROWS),
+            (FEATURE_TABLE_SQL, suites.GOLD_FEATURES_STRICT, STRICT_GOLD_ROWS),
+        )
+    ),
+)
+def dq_strict(spark, sf):
+    evaluated = suites.run_suites(quality_tables(spark, sf), [s.name for s in suites.STRICT_SUITES])
+    return quality.expectation_rows(evaluated).drop("table_name", "row_count", "severity")
+
+
+@query(
+    "dq_incremental",
+    suite_sql(SILVER_SQL + ", t AS (SELECT *, 'production' AS FLOW_KIND FROM silver)", *SILVER_ROWS),
+)
+def dq_incremental(spark, sf):
+    """Years arrive in two loads and one is written again; only changed years are measured each time."""
+    lake = Lake(spark, scratch_path(spark, "quality"))
+    name, rows = suites.SILVER_PRODUCTION.table, silver(spark, sf)
+    lake.refresh(name, rows.filter("date_year < 1996"), ["date_year"], ["well_id"])
+    quality_states.evaluate_stored(lake, suites.SILVER_PRODUCTION)
+    wrong = rows.filter("date_year >= 1996").withColumn("BORE_OIL_VOL", -F.col("BORE_OIL_VOL"))
+    lake.overwrite_partitions(name, wrong, "date_year", ["well_id"])
+    quality_states.evaluate_stored(lake, suites.SILVER_PRODUCTION)
+    lake.overwrite_partitions(name, rows.filter("date_year >= 1996"), "date_year", ["well_id"])
+    evaluated, _ = quality_states.evaluate_stored(lake, suites.SILVER_PRODUCTION)
+    return quality.expectation_rows(evaluated).select("name", "passed", "details", "actual_value", "threshold")
+
+
 @query(
     "dq_gate",
     f"""WITH {SILVER_SQL}, {STATIONS_SQL}

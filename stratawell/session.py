@@ -70,7 +70,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.scratch = path
+    return kept
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing will read again, so that scratch does not pile up."""
+    for table in tables:
+        path = table.__dict__.get("scratch")
+        if path:
+            delete(table.sparkSession, path)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from stratawell.operators import quality as q
 from stratawell.operators.quarantine import RowRule, action_for, quarantine_rows, split_rows
-from stratawell.plans import suites
+from stratawell.plans import quality_states, suites
+from stratawell.session import materialize as q_materialized
+from stratawell.sinks.tables import Lake
 
 
 def evaluate(df, *expectations):
@@ -18,9 +20,9 @@ def evaluate(df, *expectations):
 def test_not_null_and_row_count(spark):
     df = spark.createDataFrame([(1,), (None,), (3,), (4,)], "a int")
     got = evaluate(df, q.row_count(), q.not_null("a", 0.75))
-    assert got["expect_table_row_count_positive"]["details"] == "row_count = 4"
+    assert got["expect_table_row_count_positive"]["details"] == "4 rows"
     r = got["expect_a_not_null_mostly"]
-    assert (r["passed"], r["actual_value"], r["details"]) == (True, 0.75, "not_null_rate = 0.7500 (3/4)")
+    assert (r["passed"], r["actual_value"], r["details"]) == (True, 0.75, "3 of 4 rows have a value (0.7500)")
     assert not evaluate(df, q.not_null("a", 0.76))["expect_a_not_null_mostly"]["passed"]
 
 
@@ -37,7 +39,7 @@ def test_empty_table(spark):
         "expect_a_non_negative": True,
         "expect_a_between_0_1": True,
     }
-    assert got["expect_a_non_negative"]["details"] == "all values NULL — skipped"
+    assert got["expect_a_non_negative"]["details"] == "no values to judge"
     assert got["expect_a_not_null_mostly"]["actual_value"] == 0.0
 
 
@@ -47,9 +49,9 @@ def test_sets_and_ranges(spark):
     )
     got = evaluate(df, q.in_set("w", ["x"]), q.non_negative("v", 0.6), q.between("v", 0, 4, 0.3))
     assert not got["expect_w_in_set"]["passed"]
-    assert got["expect_w_in_set"]["details"] == "unexpected_values = 1  (allowed: ['x'])"
+    assert got["expect_w_in_set"]["details"] == "1 values are none of: x"
     assert got["expect_v_non_negative"]["passed"]
-    assert got["expect_v_non_negative"]["details"] == "non_negative_rate = 0.6667  (negative_count = 1/3)"
+    assert got["expect_v_non_negative"]["details"] == "1 of 3 values are not at least 0 (0.6667 are)"
     assert got["expect_v_between_0_4"]["actual_value"] == 0.3333
 
 
@@ -77,7 +79,12 @@ def test_suite_sizes_and_selection():
         "silver_production_suite": 10,
         "silver_witsml_suite": 8,
         "gold_feature_suite": 9,
+        "silver_production_strict": 7,
+        "silver_trajectory_strict": 2,
+        "gold_feature_strict": 1,
     }
+    assert [s.name for s in suites.select_suites()] == list(suites.SUITES)[:4]
+    assert suites.select_suites(["gold_feature_strict"]) == [suites.GOLD_FEATURES_STRICT]
     assert [s.name for s in suites.select_suites([" gold_feature_suite "])] == ["gold_feature_suite"]
     with pytest.raises(ValueError, match="unknown"):
         suites.select_suites(["nope"])
@@ -169,3 +176,46 @@ def test_failures_of_a_day(spark):
     ]
     assert suites.failures_on(history, "2023-11-14").count() == 3
     assert suites.failures_on(history, "2023-11-15").count() == 0
+
+
+def test_states_follow_the_files_of_a_table(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    suite = q.Suite("s", "silver.t", (q.row_count(), q.not_null("v"), q.non_negative("v"), q.distinct_between(["k"], 1, 60)))
+
+    def rows(year, ids, v="id"):
+        df = spark.range(*ids).selectExpr("id AS k", f"CAST({v} AS double) AS v")
+        return df.withColumn("date_year", F.lit(year).cast("int"))
+
+    def run():
+        verdicts, measured = quality_states.evaluate_stored(lake, suite)
+        return {r["name"]: r["actual_value"] for r in q.expectation_rows(verdicts).collect()}, measured
+
+    lake.refresh("silver.t", rows(2020, (0, 10)).unionByName(rows(2021, (5, 25))), ["date_year"])
+    got, measured = run()
+    assert measured == {"2020", "2021"} and got["expect_table_row_count_positive"] == 30
+    assert got["expect_k_distinct_between"] == 25
+    assert run() == (got, set())
+    # What has been measured is not read again: a state that says otherwise stays.
+    states = lake.read(quality_states.state_table(suite))
+    moved = states.withColumn("row_count", F.when(F.col("part") == "2020", 1000).otherwise(F.col("row_count")).cast("long"))
+    lake.refresh(quality_states.state_table(suite), q_materialized(moved))
+    lake.overwrite_partitions("silver.t", rows(2022, (0, 4), "-1").unionByName(rows(None, (0, 2), "NULL")), "date_year")
+    got, measured = run()
+    assert measured == {"2022", quality_states.NO_VALUE} and got["expect_table_row_count_positive"] == 1026
+    assert got["expect_v_non_negative"] == round(1 - 4 / 34, 4)
+    lake.drop_partition("silver.t", "date_year", 2022)
+    got, measured = run()
+    assert measured == set() and got["expect_v_non_negative"] == 1.0
+    wider = q.Suite("s", "silver.t", (*suite.expectations, q.not_null("k")))
+    verdicts, measured = quality_states.evaluate_stored(lake, wider)
+    assert measured == {"2020", "2021", quality_states.NO_VALUE}
+    assert q.expectation_rows(verdicts).filter("name like '%row_count%'").first()["actual_value"] == 32
+
+
+def test_states_of_a_table_without_partitions(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    suite = q.Suite("s", "silver.t", (q.row_count(),))
+    for n in (3, 5):
+        lake.refresh("silver.t", spark.range(n))
+        verdicts, measured = quality_states.evaluate_stored(lake, suite)
+        assert measured == {""} and verdicts.first()["row_count"] == n
