@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from stratawell.session import materialize
+from stratawell.session import materialize, release
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -32,7 +32,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     state, seen = materialize(links.where("a <> b").select("a", "b").distinct()), None
     while True:
-        state = materialize(_small_star(_large_star(state)))
+        before, state = state, materialize(_small_star(_large_star(state)))
+        release(before)
         mark = state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen:
             return state.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stratawell.llm.column_bwt import repeated_starts
 from stratawell.llm.words import slices, text_bytes, unused
-from stratawell.session import materialize, spread
+from stratawell.session import materialize, release, spread
 
 LENGTH = 200
 GRAM = 32  # a power of two
@@ -234,8 +234,8 @@ def _sorted_classes(rows: DataFrame, length: int) -> DataFrame:
     return rows.repartition(_n_tasks(rows), "c").sortWithinPartitions("c").mapInArrow(run, SPAN_DDL)
 
 
-def _dealt_out(strings: DataFrame, length: int) -> DataFrame:
-    """The same from groups too large for one task, of (g, f, copies, anchor, body).
+def _dealt_out(strings: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The same from groups too large for one task, of (g, f, copies, anchor, body), and what it reads.
 
     A class (c) is what pieces of one group and distance class have in common, p stands for the bytes
     of a piece. A piece with several owners repeats as a whole. The others are compared with the rest
@@ -243,7 +243,7 @@ def _dealt_out(strings: DataFrame, length: int) -> DataFrame:
     every class has one kind only.
     """
     spark = strings.sparkSession
-    out = spark.createDataFrame([], SPAN_DDL)
+    out, tables = spark.createDataFrame([], SPAN_DDL), []
     left = strings.select("g", "f", "copies", F.lit(0).cast("long").alias("lo"), "anchor", "body")
     for reach in REACHES:
 
@@ -270,13 +270,15 @@ def _dealt_out(strings: DataFrame, length: int) -> DataFrame:
         parts = materialize(
             left.mapInArrow(cut, "c binary, p binary, g long, f long, copies long, lo long, anchor long, body binary")
         )
+        tables.append(parts)
         if parts.isEmpty():
-            return out
+            break
         kinds = materialize(
             parts.groupBy("c", "p").agg(
                 F.count("*").alias("owners"), *[F.first(x).alias(x) for x in ("g", "f", "copies", "lo", "anchor", "body")]
             ).withColumn("open", (F.col("owners") == 1) & (F.col("copies") == 1))
         )
+        tables.append(kinds)
         settled = kinds.where("owners > 1").select("c", "p")
         hi = F.col("lo") + F.octet_length("body") - length
         out = out.unionByName(parts.where("copies = 1").join(settled, ["c", "p"]).select("g", "f", "lo", hi.alias("hi")))
@@ -287,7 +289,7 @@ def _dealt_out(strings: DataFrame, length: int) -> DataFrame:
         out = out.unionByName(_sorted_classes(few, length))
         answered = F.when(F.col("open"), 1).otherwise(2).cast("long").alias("copies")
         left = sized.where(F.col("n") > GROUP_LIMIT).select("g", "f", answered, "lo", "anchor", "body")
-    return out
+    return out, tables
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -316,11 +318,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             F.substring("body", F.col("first").cast("int") + 1, (F.col("starts") + length - 1).cast("int")).alias("body"),
         ).dropDuplicates(["g", "f"])
     )
+    release(compared)
     columns = ("g", "f", "copies", "anchor", "body")
     small = bodies.where(F.col("n_kinds") <= GROUP_LIMIT).select(*columns)
     large = bodies.where(F.col("n_kinds") > GROUP_LIMIT).select(*columns)
     whole = kinds.where("copies > 1").select("g", "f", F.lit(0).cast("long").alias("lo"), (F.col("starts") - 1).alias("hi"))
-    found = materialize(whole.unionByName(_sorted_groups(small, length)).unionByName(_dealt_out(large, length)))
+    dealt, tables = _dealt_out(large, length)
+    found = materialize(whole.unionByName(_sorted_groups(small, length)).unionByName(dealt))
+    release(kinds, bodies, *tables)
     spans = cut.select("id", "mark", "g", "f", "first").join(found, ["g", "f"]).select(
         "id", "mark", (F.col("first") + F.col("lo")).alias("start"), (F.col("first") + F.col("hi") + length).alias("stop")
     )

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from stratawell.llm.links import components
 from stratawell.llm.words import codes_of, lower_ascii, slices, span_strings, text_bytes, unused, word_spans
-from stratawell.session import materialize, spread
+from stratawell.session import materialize, release, spread
 
 WORD = np.uint64(0x9E3779B97F4A7C15)
 SLICE = 2 << 20  # bytes of text that a task works on at a time
@@ -159,8 +159,8 @@ def _likeliest(led: DataFrame, percent: int, most: int) -> DataFrame:
     return best.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
 
 
-def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of different roots that may be similar, among ``members`` (cid, n, root).
+def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(a, b) of different roots that may be similar, among ``members`` (cid, n, root), and what it reads.
 
     Shingles are ordered by the number of members that have them. A pair shares at least
     ``percent`` of the larger set, so it shares one of the first n - ceil(percent n / 100) + 1 of
@@ -190,7 +190,7 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
     # At the first shingle that two sets share, what is left of both must hold the rest of the overlap.
     most = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     enough = (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
-    return left.join(right, "h").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough).select("a", "b").distinct()
+    return left.join(right, "h").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough).select("a", "b").distinct(), [shingles, prefix]
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, plan: Banding) -> DataFrame:
@@ -270,8 +270,11 @@ def near_duplicates(docs: DataFrame, plan: Banding = Banding()) -> DataFrame:
     )
     links, roots = with_more(_likeliest(led, plan.percent, plan.leaders))
 
-    members = mixed(roots).groupBy("cid").agg(F.first("n").alias("n"), F.first("root").alias("root"))
-    links, roots = with_more(_prefix_pairs(materialize(members), sets, plan.percent))
+    rest = mixed(roots)
+    members = materialize(rest.groupBy("cid").agg(F.first("n").alias("n"), F.first("root").alias("root")))
+    pairs, tables = _prefix_pairs(members, sets, plan.percent)
+    more, roots = with_more(pairs)
+    release(buckets, first, sets, left, rest, members, links, more, *tables)
 
     named = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "s1", "s2", "doc", F.coalesce("root", "cid").alias("group")
