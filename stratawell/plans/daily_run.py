@@ -13,9 +13,10 @@ from stratawell.ml import scoring, training
 from stratawell.operators import quality
 from stratawell.operators.quality import enforce_gate, gate_checks
 from stratawell.plans import bronze, gold, incremental, quality_states, serving, silver, suites
+from stratawell.session import materialize
 from stratawell.sinks.tables import Lake
 from stratawell.sources.production import count_source_files, read_csv_sheet, read_workbooks
-from stratawell.sources.trajectory import read_trajectories
+from stratawell.sources.trajectory import read_trajectories, split_unreadable
 
 DAY_KEYS = ["well_id", "DATEPRD"]
 YEAR = ["date_year"]
@@ -45,8 +46,11 @@ def load_bronze(lake: Lake, sources: Sources) -> dict[str, int]:
         raise FileNotFoundError(f"no files below {sources.production}")
     read = read_workbooks if sources.sheet_format == "xlsx" else read_csv_sheet
     sheet = read(spark, sources.production)
-    documents = read_trajectories(spark, sources.surveys, sources.wells)
+    # Written once: the readable and the unreadable ones are stored apart.
+    found = materialize(read_trajectories(spark, sources.surveys, sources.wells))
+    documents, unreadable = split_unreadable(found)
     return {
+        "bronze.unreadable_surveys": lake.refresh("bronze.unreadable_surveys", unreadable),
         "bronze.raw_production": lake.refresh(
             "bronze.raw_production", bronze.bronze_production(sheet, sources.wells), YEAR, ["well_id"]
         ),

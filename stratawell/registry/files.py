@@ -12,9 +12,10 @@ from stratawell.plans.silver import silver_trajectory
 from stratawell.registry.base import query, r, rounded
 from stratawell.registry.fixtures import RAW_SQL, STATIONS_SQL, raw_sheet, spread_lines, table, trajectory_documents
 from stratawell.session import scratch_path
+from stratawell.sinks.tables import Lake
 from stratawell.sources.production import POSITIONS, decode_workbooks, read_csv_sheet
-from stratawell.sources.trajectory import read_trajectories, route_document, route_documents
-from stratawell.sources.welllogs import logs_long, logs_wide, parse_logs
+from stratawell.sources.trajectory import read_trajectories, route_document, route_documents, write_documents
+from stratawell.sources.welllogs import logs_long, logs_wide, parse_logs, read_log_lines, write_log_table
 
 
 def workbook(rows) -> bytes:
@@ -187,6 +188,55 @@ def las_logs_long(spark, sf):
     )
 
 
+def large_logs(spark, sf, folder):
+    """A few logs of many lines on disk: one per well (eight) and kind, in the order of the line items."""
+    well = F.concat(F.lit("F-"), F.col("l_suppkey") % 8)
+    line = F.concat_ws(
+        "  ",
+        F.col("l_orderkey").cast("string"),
+        F.when(F.col("l_linenumber") == 1, "-999.25").otherwise(F.col("l_quantity").cast("string")),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
+    )
+    lines = F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_partkey", line.alias("line"))))
+    header = F.concat(
+        F.lit("~VERSION INFORMATION\n VERS.  2.0 : format\n~WELL INFORMATION\n# mnemonic\n NULL.  -999.25 : missing\n WELL.  "),
+        F.col("well"), F.lit(" : well\n LTYP.  "), F.col("l_returnflag"),
+        F.lit(" : type\n~CURVE INFORMATION\n DEPT.M : depth\n ROP.M/H : rate\n GR_CAL.API : gamma\n~A\n# data\n"),
+    )
+    logs = (
+        table(spark, sf, "lineitem").groupBy(well.alias("well"), "l_returnflag").agg(lines.alias("lines"))
+        .select(
+            F.concat(header, F.array_join(F.transform("lines", lambda x: x["line"]), "\n")).alias("value"),
+            F.concat_ws("-", "well", "l_returnflag").alias("log"),
+        )
+    )
+    logs.write.partitionBy("log").text(folder)
+
+
+@query(
+    "las_table",
+    f"""SELECT 'F-' || (l_suppkey % 8) AS well_name, l_returnflag AS log_type,
+               CAST(row_number() OVER (PARTITION BY l_suppkey % 8, l_returnflag
+                    ORDER BY l_orderkey, l_linenumber, l_partkey) - 1 AS INTEGER) AS step,
+               CAST(l_orderkey AS DOUBLE) AS "DEPT",
+               {r("CASE WHEN l_linenumber <> 1 THEN l_quantity END", '"ROP"')},
+               {r('CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE)', '"GR_CAL"')} FROM lineitem""",
+)
+def las_table(spark, sf):
+    """Logs on disk, each read in several splits, stored by well and log type."""
+    folder, lake = scratch_path(spark, "logs"), Lake(spark, scratch_path(spark, "log-lake"))
+    large_logs(spark, sf, folder)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "16k")
+    try:
+        write_log_table(lake, "bronze.well_logs", read_log_lines(spark, f"{folder}/*"), ("DEPT", "ROP", "GR_CAL"))
+    finally:
+        spark.conf.set(name, before)
+    stored = lake.read("bronze.well_logs").select("well_name", "log_type", "step", "DEPT", "ROP", "GR_CAL")
+    return rounded(stored)
+
+
 @query(
     "route_docs",
     """SELECT page_id, CASE page_id % 7 WHEN 0 THEN 'well_info' WHEN 1 THEN 'wellbore_info'
@@ -221,3 +271,51 @@ def route_files(spark, sf):
     found = route_documents(spark, root)
     page = F.regexp_extract("path", r"/n=([0-9]+)/[^/]+$", 1).cast("long")
     return found.select(page.alias("page_id"), "doc_type")
+
+
+NAMES = ("_wellInfo", "_wellboreInfo", "trajectory", "message", "bhaRun", "mudLog", "log")
+TAGS = ("well", "wellbore", "trajectory", "message", "bhaRun", "mudLog", "log")
+
+
+def documents_on_disk(spark, sf, root):
+    """One XML file per page, in the folder of its type; some are cut short, some hold another element."""
+    pages = table(spark, sf, "pages")
+    for at, folder in enumerate(NAMES):
+        tag = F.when(F.col("page_id") % 13 == 5, "unknown").otherwise(TAGS[at])
+        name = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<name>n"), F.col("page_id"), F.lit("</name>"))).otherwise("")
+        text = F.concat(
+            F.lit('<?xml version="1.0"?><docs><'), tag, F.lit(' uid="u'), F.col("page_id"), F.lit('">'), name,
+            F.lit("<commonData><sourceName>s"), F.col("page_id") % 5, F.lit("</sourceName></commonData></"), tag, F.lit("></docs>"),
+        )
+        cut = F.when(F.col("page_id") % 11 == 3, F.substring(text, 1, 40)).otherwise(text)
+        kept = pages.filter(F.col("page_id") % 7 == at).select(cut.alias("value"), F.col("page_id").alias("n"))
+        kept.write.partitionBy("n").text(f"{root}/field/{folder}")
+
+
+@query(
+    "documents_table",
+    """WITH p AS (
+          SELECT page_id, CASE page_id % 7 WHEN 0 THEN 'well_info' WHEN 1 THEN 'wellbore_info'
+                   WHEN 2 THEN 'trajectory' WHEN 3 THEN 'messages' WHEN 4 THEN 'bha'
+                   WHEN 5 THEN 'mud_log' ELSE 'other' END AS doc_type,
+                 page_id % 11 = 3 AS cut, page_id % 13 = 5 AS unknown FROM pages)
+        SELECT page_id, doc_type,
+               CASE WHEN doc_type = 'other' THEN 'no document type' WHEN cut THEN 'not readable as XML'
+                    WHEN unknown THEN 'no element of its type' END AS reason,
+               CASE WHEN doc_type <> 'other' AND NOT cut AND NOT unknown THEN 'u' || page_id END AS uid,
+               CASE WHEN doc_type <> 'other' AND NOT cut AND NOT unknown AND page_id % 2 = 0 THEN 'n' || page_id END AS name,
+               CASE WHEN doc_type <> 'other' AND NOT cut AND NOT unknown THEN 's' || (page_id % 5) END AS "sourceName"
+        FROM p""",
+)
+def documents_table(spark, sf):
+    """All documents in one pass: stored by type, rejected ones in a table of their own."""
+    root, lake = scratch_path(spark, "all-documents"), Lake(spark, scratch_path(spark, "documents-lake"))
+    documents_on_disk(spark, sf, root)
+    write_documents(lake, root)
+    page = F.regexp_extract("source_path", r"/n=([0-9]+)/[^/]+$", 1).cast("long").alias("page_id")
+    none = F.lit(None).cast("string")
+    good = lake.read("bronze.documents").select(page, "doc_type", none.alias("reason"), "uid", "name", "sourceName")
+    bad = lake.read("bronze.rejected_documents").select(
+        page, "doc_type", "reason", *[none.alias(c) for c in ("uid", "name", "sourceName")]
+    )
+    return good.unionByName(bad)

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stratawell.config import DOCUMENT_ROUTES, ENTITY_PATTERN, STATION_DDL, WELLS_IN_SCOPE
+from stratawell.session import materialize
+from stratawell.sinks.tables import Lake
 from stratawell.storage import any_file
 
 TRAJECTORY_DDL = (
@@ -139,3 +141,67 @@ def read_documents(
         for kind, path in paths.items()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+# ---- all documents in one pass --------------------------------------------------------------------------------
+
+
+def _documents_schema(tags: Sequence[str]) -> str:
+    """What the root element of any document may hold: rows of each type, all with the same fields."""
+    fields = [f"{t}: STRING" for t in tags]
+    row = f"STRUCT<_uid: STRING, {', '.join(fields)}, commonData: STRUCT<{', '.join(fields)}>>"
+    return ", ".join([*[f"{tag} ARRAY<{row}>" for tag in DOCUMENT_ROW_TAGS.values()], f"{CORRUPT} STRING"])
+
+
+def read_routed_documents(spark: SparkSession, root: str, extra: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(documents, rejected): every file below ``root``, routed by its path and parsed by its type.
+
+    Documents are flat rows: doc_type, source_path, uid and the tags; one that a document lacks is
+    NULL, and it may stand in the document itself or in its ``commonData``. Rejected are files that
+    are no XML, have no type, or hold no element of their type, each with its reason. Files are read
+    once and no text is kept.
+    """
+    base = root.rstrip("/")
+    tags = [*UNIVERSAL_TAGS, *extra]
+    files = (
+        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
+        .text([base, *underscore_folders(spark, base)])
+        .select(file_path().alias("source_path"), F.col("value").alias("_text"))
+    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = files.select(
+        "source_path",
+        route_document(F.col("source_path")).alias("doc_type"),
+        F.from_xml("_text", _documents_schema(tags), options).alias("_xml"),
+    )
+    rows = F.lit(None).cast(f"{parsed.select('_xml.*').dtypes[0][1]}")
+    for kind, tag in DOCUMENT_ROW_TAGS.items():
+        rows = F.when(F.col("doc_type") == kind, F.col(f"_xml.{tag}")).otherwise(rows)
+    broken = F.col("_xml").isNull() | F.col(f"_xml.{CORRUPT}").isNotNull()
+    reason = (
+        F.when(F.col("doc_type") == "other", "no document type")
+        .when(broken, "not readable as XML")
+        .when(F.coalesce(F.size("_rows"), F.lit(-1)) < 1, "no element of its type")
+    )
+    judged = materialize(parsed.withColumn("_rows", rows).select("source_path", "doc_type", "_rows", reason.alias("reason")))
+    flat = judged.filter("reason IS NULL").select("doc_type", "source_path", F.explode("_rows").alias("_row"))
+    documents = flat.select(
+        "doc_type", "source_path", F.col("_row._uid").alias("uid"),
+        *[F.coalesce(F.col(f"_row.{t}"), F.col(f"_row.commonData.{t}")).alias(t) for t in tags],
+    )
+    return documents, judged.filter("reason IS NOT NULL").select("source_path", "doc_type", "reason")
+
+
+def write_documents(lake: Lake, root: str, extra: Sequence[str] = ()) -> dict[str, int]:
+    """Store all documents by type, and those that were rejected; returns the row counts."""
+    documents, rejected = read_routed_documents(lake.spark, root, extra)
+    return {
+        "bronze.documents": lake.refresh("bronze.documents", documents, ["doc_type"], ["source_path"]),
+        "bronze.rejected_documents": lake.refresh("bronze.rejected_documents", rejected),
+    }
+
+
+def split_unreadable(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Trajectory documents that could be read, and path and text of those that could not."""
+    broken = F.col(CORRUPT).isNotNull()
+    return documents.filter(~broken), documents.filter(broken).select("well_id", "source_path", CORRUPT)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stratawell.config import LOG_NULL_VALUE
 from stratawell.functions.parsing import to_number, without_sentinel
+from stratawell.sinks.tables import Lake
 
 # Curves the drilling model reads.
 COMMON_CURVES = ("DEPT", "RPM", "SWOB", "TFLO", "SPPA", "GR_CAL", "ECD", "ROP")
@@ -32,6 +33,18 @@ def _header_value(lines: Column, mnemonic: str) -> Column:
     return F.regexp_extract(F.get(hit, F.lit(0)), pattern, 1)
 
 
+def _header_columns() -> list[Column]:
+    """Well, log type, missing value and curve names from the lines of the header sections."""
+    missing = to_number(_header_value(F.col("_well"), "NULL"))
+    name = r"^\s*([^\s.]+)\s*\."
+    return [
+        _header_value(F.col("_well"), "WELL").alias("well_name"),
+        _header_value(F.col("_well"), "LTYP").alias("log_type"),
+        F.coalesce(missing, F.lit(LOG_NULL_VALUE)).alias("null_value"),
+        F.transform("_curves", lambda line: F.regexp_extract(line, name, 1)).alias("curves"),
+    ]
+
+
 def parse_logs(files: DataFrame) -> DataFrame:
     """One row per file and depth step: well, log type, and a map from curve to text value."""
     text = F.col("text")
@@ -40,14 +53,7 @@ def parse_logs(files: DataFrame) -> DataFrame:
         .withColumn("_curves", _section(text, "C"))
         .select(
             "source_path",
-            _header_value(F.col("_well"), "WELL").alias("well_name"),
-            _header_value(F.col("_well"), "LTYP").alias("log_type"),
-            F.coalesce(
-                to_number(_header_value(F.col("_well"), "NULL")), F.lit(LOG_NULL_VALUE)
-            ).alias("null_value"),
-            F.transform(
-                "_curves", lambda line: F.regexp_extract(line, r"^\s*([^\s.]+)\s*\.", 1)
-            ).alias("curves"),
+            *_header_columns(),
             F.posexplode(_section(text, "A")).alias("step", "line"),
         )
         .withColumn("values", F.split(F.trim("line"), r"\s+"))
@@ -93,3 +99,61 @@ def logs_wide(parsed: DataFrame, curves: Sequence[str] = COMMON_CURVES) -> DataF
             for c in curves
         ],
     )
+
+
+# ---- large logs, read by many tasks ------------------------------------------------------------------------
+
+DATA_MARK = r"^~A"
+
+
+def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Data lines of all logs below ``path``: source_path, well_name, log_type, null_value, curves, step, values.
+
+    Files are split like any text: a line knows its file and where the split that it was read from
+    begins. The lines of a split are in order, so the line counts of the splits, one row each, tell a
+    line's place in its file, and with it whether it stands in the header or in the data. Only the few
+    header lines of a file are gathered. A file without a data section has no rows.
+    """
+    lines = (
+        spark.read.text(path)
+        .select(
+            F.col("_metadata.file_path").alias("source_path"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.col("value").alias("line"),
+        )
+        .filter(~F.col("line").rlike(r"^\s*(#|$)"))
+        .withColumn("_at", F.monotonically_increasing_id())
+    )
+    splits = lines.groupBy("source_path", "_block").agg(
+        F.min("_at").alias("_first"),
+        F.count(F.lit(1)).alias("_n"),
+        F.min(F.when(F.col("line").rlike(DATA_MARK), F.col("_at"))).alias("_mark"),
+    )
+    earlier = Window.partitionBy("source_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("source_path")
+    based = splits.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first"))
+    layout = based.withColumn("_mark", F.min(F.col("_mark") + F.col("_base")).over(whole)).filter("_mark IS NOT NULL")
+    placed = lines.join(layout.select("source_path", "_block", "_base", "_mark"), ["source_path", "_block"])
+    placed = placed.withColumn("_place", F.col("_at") + F.col("_base"))
+
+    ordered = F.array_sort(F.collect_list(F.struct("_place", "line")))
+    text = F.array_join(F.transform(ordered, lambda x: x["line"]), "\n")
+    headers = (
+        placed.filter(F.col("_place") < F.col("_mark"))
+        .groupBy("source_path")
+        .agg(text.alias("_text"))
+        .withColumn("_well", _section(F.col("_text"), "W"))
+        .withColumn("_curves", _section(F.col("_text"), "C"))
+        .select("source_path", *_header_columns())
+    )
+    data = placed.filter((F.col("_place") > F.col("_mark")) & ~F.startswith("line", F.lit("~")))
+    return data.join(headers, "source_path").select(
+        *headers.columns,
+        (F.col("_place") - F.col("_mark") - 1).cast("int").alias("step"),
+        F.split(F.trim("line"), r"\s+").alias("values"),
+    )
+
+
+def write_log_table(lake: Lake, table: str, rows: DataFrame, curves: Sequence[str] = COMMON_CURVES) -> int:
+    """Store logs as a table by well and log type, one column per curve; returns the row count."""
+    return lake.refresh(table, logs_wide(rows, curves), ["well_name", "log_type"], ["source_path", "step"])

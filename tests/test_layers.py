@@ -15,8 +15,8 @@ from stratawell.plans.silver import silver_production, silver_trajectory
 from stratawell.registry.files import workbook
 from stratawell.sinks.tables import Lake
 from stratawell.sources.production import count_source_files, read_csv_sheet, read_workbooks
-from stratawell.sources.trajectory import read_documents, read_trajectories, route_documents
-from stratawell.sources.welllogs import logs_long, logs_wide, parse_logs, read_logs
+from stratawell.sources.trajectory import read_documents, read_trajectories, route_documents, split_unreadable
+from stratawell.sources.welllogs import logs_long, logs_wide, parse_logs, read_log_lines, read_logs
 from stratawell.streaming.kpis import late_files
 
 AT = {name: i for i, name in enumerate(SHEET_COLUMNS)}
@@ -326,6 +326,30 @@ def test_gate_stops_the_chain(spark, tmp_path):
     assert not lake.exists("gold.production_daily")
 
 
+def test_logs_in_small_splits(spark, tmp_path):
+    head = "~V\r\n VERS. 2.0 : v\r\n~W\r\n WELL. F-1 : well\r\n LTYP. time : type\r\n~C\r\n DEPT.M : d\r\n ROP.M : r\r\n"
+    data = "".join(f"{i} {i * 2}\r\n" + ("# note\r\n\r\n" if i % 50 == 0 else "") for i in range(900))
+    (tmp_path / "a.las").write_text(head + "~A DEPT ROP\r\n" + data)
+    (tmp_path / "b.las").write_text(head)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        rows = logs_wide(read_log_lines(spark, str(tmp_path)), ("DEPT", "ROP", "GR_CAL"))
+        got = sorted((r.step, r.DEPT, r.ROP, r.GR_CAL, r.well_name, r.log_type) for r in rows.collect())
+        assert read_log_lines(spark, str(tmp_path)).count() == 900
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [(i, float(i), 2.0 * i, None, "F-1", "time") for i in range(900)]
+
+
+def test_unreadable_surveys_are_kept_apart(spark, tmp_path):
+    write_surveys(tmp_path)
+    folder = next(tmp_path.glob("*/[0-9]*/trajectory"))
+    (folder / "broken.xml").write_text("<trajectorys><trajectory><name>x</name>")
+    readable, broken = split_unreadable(read_trajectories(spark, str(tmp_path)).cache())
+    assert broken.count() == 1 and readable.count() > 0
+
+
 def test_report_windows(spark):
     df = spark.createDataFrame(
         [("F-1", dt.date(2024, 1, d), d % 2) for d in range(1, 11)],
