@@ -6,13 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from stratawell.config import WELLS_IN_SCOPE
 from stratawell.ml import scoring, training
 from stratawell.operators import quality
 from stratawell.operators.quality import enforce_gate, gate_checks
-from stratawell.plans import bronze, gold, incremental, quality_states, serving, silver, suites
+from stratawell.plans import bronze, gold, incremental, quality_states, routing, serving, silver, suites
 from stratawell.session import materialize
 from stratawell.sinks.tables import Lake
 from stratawell.sources.production import count_source_files, read_csv_sheet, read_workbooks
@@ -60,10 +60,16 @@ def load_bronze(lake: Lake, sources: Sources) -> dict[str, int]:
     }
 
 
-def load_silver(lake: Lake) -> dict[str, int]:
-    production = silver.silver_production(lake.read("bronze.raw_production"))
+def load_silver(lake: Lake, route: bool = False, run_date=None) -> dict[str, int]:
+    """Typed tables; with ``route``, rows that break a rule go to quarantine instead."""
+    rows, routed = lake.read("bronze.raw_production"), {}
+    if route:
+        at = F.current_date() if run_date is None else F.lit(run_date).cast("date")
+        rows, actions = routing.route_production(lake, rows, at)
+        routed = {routing.QUARANTINE: actions["new"]}
+    production = silver.silver_production(rows)
     stations = silver.silver_trajectory(lake.read("bronze.raw_witsml_trajectory"))
-    return {
+    return routed | {
         "silver.cleaned_production": lake.refresh(
             "silver.cleaned_production", production, YEAR, DAY_KEYS
         ),
@@ -151,16 +157,19 @@ def daily_report(lake: Lake, as_of=None) -> tuple[DataFrame, DataFrame | None]:
     )
 
 
-def run_day(lake: Lake, sources: Sources, as_of=None, days: int = 30, full: bool = False) -> DayResult:
+def run_day(lake: Lake, sources: Sources, as_of=None, days: int = 30, full: bool = False, route: bool = False) -> DayResult:
     """The whole chain; a failed gate stops it before gold.
 
     The first run computes gold from all of silver, later ones write the years that changes reach;
-    ``full`` computes all again.
+    ``full`` computes all again. ``route`` sends bad rows to quarantine and lets a failed CRITICAL
+    expectation of silver stop the chain too.
     """
     result = DayResult()
     result.rows |= load_bronze(lake, sources)
-    result.rows |= load_silver(lake)
+    result.rows |= load_silver(lake, route, as_of)
     check_gate(lake)
+    if route:
+        routing.block_on_critical(quality_states.evaluate_stored(lake, suites.SILVER_PRODUCTION)[0])
     if full or not lake.exists(incremental.TOTALS):
         result.rows |= load_gold(lake)
     else:

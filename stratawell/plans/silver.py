@@ -51,7 +51,8 @@ def silver_production(
     """Latest load per bore code and day, typed, with KPIs and flags.
 
     ``raw_text_key`` keys the date by its raw text instead of the parsed day. ``flow_kind``
-    keeps only rows of that kind. ``oil_null_flag`` adds ``is_oil_null``.
+    keeps only rows of that kind. ``oil_null_flag`` adds ``is_oil_null``. The ``dq_flag`` of routed rows
+    stays.
     """
     rows = bronze.dropna(subset=["DATEPRD", "WELL_BORE_CODE"])
     if wells is not None:
@@ -61,7 +62,8 @@ def silver_production(
     rows = rows.withColumn("_day", to_day("DATEPRD")).filter(F.col("_day").isNotNull())
     day_key = "DATEPRD" if raw_text_key else "_day"
     latest = latest_per_key(rows, ["WELL_BORE_CODE", day_key], [F.desc("ingestion_ts")])
-    typed = typed_production(latest).select(*TYPED_ORDER)
+    flags = [c for c in ("dq_flag",) if c in latest.columns]
+    typed = typed_production(latest).select(*TYPED_ORDER, *flags)
     silver = production_kpis(typed, rules)
     if oil_null_flag:
         silver = silver.withColumn("is_oil_null", F.col("BORE_OIL_VOL").isNull())

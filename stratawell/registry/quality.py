@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from stratawell.operators import quality, quarantine
 from stratawell.operators.dedupe import key_uniqueness
-from stratawell.plans import quality_states, suites
+from stratawell.plans import quality_states, routing, suites
 from stratawell.registry.base import query
 from stratawell.registry.clean import CLEAN_SQL, bronze, clean
 from stratawell.registry.fixtures import RAW_SQL, SILVER_SQL, STATIONS_SQL, silver, table
@@ -352,6 +352,29 @@ def quarantine_query(spark, sf):
     )
 
 
+@query(
+    "dq_quarantine_table",
+    f"""WITH {JUDGED_SQL}
+        SELECT array_to_string(list_filter([CASE WHEN r1 THEN 'WELL_BORE_CODE is null' END,
+                 CASE WHEN r2 THEN 'DATEPRD is null' END,
+                 CASE WHEN r3 THEN 'AVG_DOWNHOLE_PRESSURE out of range' END],
+                 lambda x: x IS NOT NULL), '; ') AS failure_reason,
+               CASE WHEN r1 OR r2 THEN 'CRITICAL' ELSE 'HIGH' END AS severity, DATE '2024-05-01' AS run_date,
+               count(DISTINCT (WELL_BORE_CODE, DATEPRD, ON_STREAM_HRS, AVG_DOWNHOLE_PRESSURE,
+                 AVG_DOWNHOLE_TEMPERATURE, BORE_OIL_VOL, BORE_GAS_VOL, BORE_WAT_VOL, FLOW_KIND)) AS n_rows,
+               (SELECT count(*) FROM judged WHERE NOT (r1 OR r2 OR r3)) AS n_kept
+        FROM judged WHERE r1 OR r2 OR r3 GROUP BY ALL""",
+)
+def dq_quarantine_table(spark, sf):
+    """Routed twice: the second run, a day later and with later loads of the same rows, adds nothing."""
+    lake, rows = Lake(spark, scratch_path(spark, "routing")), bronze(spark, sf)
+    routing.route_production(lake, rows, F.lit("2024-05-01").cast("date"))
+    later = rows.withColumn("ingestion_ts", F.col("ingestion_ts") + F.expr("INTERVAL 1 DAY"))
+    kept, _ = routing.route_production(lake, later, F.lit("2024-05-02").cast("date"))
+    found = lake.read(routing.QUARANTINE).groupBy("failure_reason", "severity", "run_date")
+    return found.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_kept", F.lit(kept.count()).cast("long"))
+
+
 @query(
     "rows_after_quarantine",
     f"""WITH {JUDGED_SQL}

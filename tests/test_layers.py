@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from stratawell.config import SHEET_COLUMNS
 from stratawell.ml import training
+from stratawell.operators import quality as q
 from stratawell.operators.quality import GateBlocked
-from stratawell.plans import daily_run, serving
+from stratawell.plans import daily_run, routing, serving
 from stratawell.plans.bronze import bronze_production, bronze_trajectory
 from stratawell.plans.silver import silver_production, silver_trajectory
 from stratawell.registry.files import workbook
@@ -317,6 +318,41 @@ def test_daily_chain(spark, tmp_path):
     assert lake.read("gold.ml_predictions").filter("pred_rop_efficiency_score is not null").count() == 0
 
 
+def test_routed_chain(spark, tmp_path):
+    rows = production_rows()
+    at = {name: i for i, name in enumerate(SHEET_COLUMNS)}
+    bad = list(rows[5])
+    bad[at["AVG_DOWNHOLE_PRESSURE"]] = "99999"
+    nameless = list(rows[7])
+    nameless[at["BORE_OIL_VOL"]], flagged = "-5", list(rows[9])
+    flagged[at["FLOW_KIND"]] = "odd"
+    book = [*rows[:5], bad, rows[6], nameless, rows[8], flagged, *rows[10:]]
+    write_book(tmp_path / "prod" / "book.xlsx", book)
+    write_surveys(tmp_path / "surveys")
+    sources = daily_run.Sources(str(tmp_path / "prod"), str(tmp_path / "surveys"))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    daily_run.load_bronze(lake, sources)
+    for day, new in ((dt.date(2014, 3, 1), 2), (dt.date(2014, 3, 2), 0)):
+        assert daily_run.load_silver(lake, True, day)[routing.QUARANTINE] == new
+        silver = lake.read("silver.cleaned_production")
+        assert silver.count() == len(rows) - 1 - 2 and silver.filter("dq_flag").count() == 1
+    held = lake.read(routing.QUARANTINE)
+    assert {(r.severity, str(r.run_date)) for r in held.collect()} == {("HIGH", "2014-03-01")}
+    assert routing.resolve(lake, "failure_reason like 'AVG_DOWNHOLE_PRESSURE%'") == 1
+    assert routing.resolve(lake, "failure_reason like 'AVG_DOWNHOLE_PRESSURE%'") == 0
+    daily_run.load_silver(lake, True, dt.date(2014, 3, 3))
+    silver = lake.read("silver.cleaned_production")
+    assert silver.count() == len(rows) - 1 - 1 and silver.filter("AVG_DOWNHOLE_PRESSURE > 99998").count() == 1
+
+
+def test_critical_expectations_block(spark):
+    df = spark.createDataFrame([(None,)], "a int")
+    suite = q.Suite("s", "t", (q.not_null("a", severity="CRITICAL"), q.not_null("a", 0.5)))
+    with pytest.raises(GateBlocked, match="s/expect_a_not_null_mostly"):
+        routing.block_on_critical(suite.evaluate(df))
+    routing.block_on_critical(q.Suite("s", "t", (q.row_count(severity="CRITICAL"),)).evaluate(df))
+
+
 def test_gate_stops_the_chain(spark, tmp_path):
     write_book(tmp_path / "prod" / "book.xlsx", production_rows(days=10))
     write_surveys(tmp_path / "surveys")
