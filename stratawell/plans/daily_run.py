@@ -13,6 +13,7 @@ from stratawell.ml import scoring, training
 from stratawell.operators import quality
 from stratawell.operators.quality import enforce_gate, gate_checks
 from stratawell.plans import bronze, gold, incremental, quality_states, routing, serving, silver, suites
+from stratawell.plans.reconcile import block_serving, mark_stored, marked_refresh
 from stratawell.session import materialize
 from stratawell.sinks.tables import Lake
 from stratawell.sources.production import count_source_files, read_csv_sheet, read_workbooks
@@ -51,11 +52,13 @@ def load_bronze(lake: Lake, sources: Sources) -> dict[str, int]:
     documents, unreadable = split_unreadable(found)
     return {
         "bronze.unreadable_surveys": lake.refresh("bronze.unreadable_surveys", unreadable),
-        "bronze.raw_production": lake.refresh(
-            "bronze.raw_production", bronze.bronze_production(sheet, sources.wells), YEAR, ["well_id"]
+        "bronze.raw_production": marked_refresh(
+            lake, "bronze.raw_production", bronze.bronze_production(sheet, sources.wells),
+            partition_by=YEAR, cluster_by=["well_id"],
         ),
-        "bronze.raw_witsml_trajectory": lake.refresh(
-            "bronze.raw_witsml_trajectory", bronze.bronze_trajectory(documents), cluster_by=["well_id"]
+        "bronze.raw_witsml_trajectory": marked_refresh(
+            lake, "bronze.raw_witsml_trajectory", bronze.bronze_trajectory(documents),
+            cluster_by=["well_id"], rows=F.json_array_length("trajectory_stations_json"),
         ),
     }
 
@@ -70,11 +73,11 @@ def load_silver(lake: Lake, route: bool = False, run_date=None) -> dict[str, int
     production = silver.silver_production(rows)
     stations = silver.silver_trajectory(lake.read("bronze.raw_witsml_trajectory"))
     return routed | {
-        "silver.cleaned_production": lake.refresh(
-            "silver.cleaned_production", production, YEAR, DAY_KEYS
+        "silver.cleaned_production": marked_refresh(
+            lake, "silver.cleaned_production", production, DAY_KEYS, YEAR, DAY_KEYS
         ),
-        "silver.cleaned_trajectory": lake.refresh(
-            "silver.cleaned_trajectory", stations, cluster_by=["well_id", "md_m"]
+        "silver.cleaned_trajectory": marked_refresh(
+            lake, "silver.cleaned_trajectory", stations, cluster_by=["well_id", "md_m"]
         ),
     }
 
@@ -103,8 +106,8 @@ def load_gold(lake: Lake) -> dict[str, int]:
     production = lake.read("silver.cleaned_production")
     stations = lake.read("silver.cleaned_trajectory")
     rows = {
-        "gold.production_daily": lake.refresh(
-            "gold.production_daily", gold.production_daily(production), YEAR, DAY_KEYS
+        "gold.production_daily": marked_refresh(
+            lake, "gold.production_daily", gold.production_daily(production), DAY_KEYS, YEAR, DAY_KEYS
         ),
         "gold.ml_feature_store": lake.refresh(
             "gold.ml_feature_store", gold.feature_store(production, stations), YEAR, DAY_KEYS
@@ -174,6 +177,9 @@ def run_day(lake: Lake, sources: Sources, as_of=None, days: int = 30, full: bool
         result.rows |= load_gold(lake)
     else:
         result.years = incremental.sync_gold(lake)
+        if result.years:
+            mark_stored(lake, "gold.production_daily", DAY_KEYS)
+    block_serving(lake)
     run_quality(lake)
     if any(training.versions(lake, m.name) for m in training.MODELS.values()):
         result.scoring = scoring.score_recent(lake, days, as_of)

@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from stratawell.operators import quality, quarantine
 from stratawell.operators.dedupe import key_uniqueness
-from stratawell.plans import quality_states, routing, suites
+from stratawell.plans import quality_states, reconcile, routing, suites
+from stratawell.plans.bronze import bronze_trajectory
 from stratawell.registry.base import query
 from stratawell.registry.clean import CLEAN_SQL, bronze, clean
-from stratawell.registry.fixtures import RAW_SQL, SILVER_SQL, STATIONS_SQL, silver, table
+from stratawell.registry.fixtures import RAW_SQL, SILVER_SQL, STATIONS_SQL, silver, table, trajectory_documents
 from stratawell.registry.gold import FEATURES_SQL, features, gold, stations
 from stratawell.session import scratch_path
 from stratawell.sinks.tables import Lake
@@ -300,13 +301,43 @@ def reconcile_missing(spark, sf):
     return quarantine.missing_keys(orders, lines, ["k"])
 
 
+LOST_DAY = "1996-05-20"
+
+
 @query(
     "reconcile_gold",
-    f"""WITH {SILVER_SQL} SELECT well_id, DATEPRD FROM silver WHERE false""",
+    f"""WITH {SILVER_SQL} SELECT well_id, DATEPRD FROM silver WHERE DATEPRD = DATE '{LOST_DAY}'""",
 )
 def reconcile_gold(spark, sf):
-    """Keys of silver that gold lacks: there must be none."""
-    return quarantine.missing_keys(silver(spark, sf), gold(spark, sf), ["well_id", "DATEPRD"])
+    """Keys of silver that gold lacks; a day was lost on the way."""
+    lake = Lake(spark, scratch_path(spark, "reconcile"))
+    kept = gold(spark, sf).filter(F.col("DATEPRD") != F.lit(LOST_DAY).cast("date"))
+    reconcile.marked_refresh(lake, "silver.cleaned_production", silver(spark, sf), reconcile.KEYS, ["date_year"])
+    reconcile.marked_refresh(lake, "gold.production_daily", kept, reconcile.KEYS, ["date_year"])
+    return reconcile.missing_in_gold(lake)
+
+
+@query(
+    "reconcile_trajectory",
+    f"""WITH {STATIONS_SQL}, {SILVER_SQL}, c AS (
+          SELECT 'bronze_vs_silver_trajectory' AS check_name, count(*) AS source_rows,
+                 count(*) FILTER (WHERE md_m >= 100) AS target_rows FROM survey),
+        k AS (SELECT 'silver_vs_gold_keys' AS check_name, count(*) AS source_rows, count(*) AS target_rows FROM silver)
+        SELECT *, round(abs(source_rows - target_rows) / source_rows, 6) AS difference,
+               abs(source_rows - target_rows) / source_rows < 0.05 AS passed FROM c
+        UNION ALL SELECT *, 0.0, true FROM k""",
+)
+def reconcile_trajectory(spark, sf):
+    """Stations in the documents of bronze and in silver, from which shallow ones were lost; gold keys."""
+    lake = Lake(spark, scratch_path(spark, "reconcile"))
+    docs = bronze_trajectory(trajectory_documents(spark, sf))
+    reconcile.marked_refresh(
+        lake, "bronze.raw_witsml_trajectory", docs, rows=F.json_array_length("trajectory_stations_json")
+    )
+    reconcile.marked_refresh(lake, "silver.cleaned_trajectory", stations(spark, sf).filter("md_m >= 100"))
+    reconcile.marked_refresh(lake, "silver.cleaned_production", silver(spark, sf), reconcile.KEYS, ["date_year"])
+    reconcile.marked_refresh(lake, "gold.production_daily", gold(spark, sf), reconcile.KEYS, ["date_year"])
+    return reconcile.reconcile(lake)
 
 
 # ---- quarantine ----------------------------------------------------------------------------------------
