@@ -134,7 +134,7 @@ windowed AS (
     {running_sql(_O, True)} AS cum_oil_vol_monthly, {running_sql(_G, True)} AS cum_gas_vol_monthly
   FROM silver
 ),
-gold AS (
+gold AS MATERIALIZED (
   SELECT *, abs({_P} - prev_pressure) AS pressure_delta_24h,
     coalesce(abs({_P} - prev_pressure) > 500, false) AS is_anomaly_pressure,
     coalesce(water_cut_pct > 80 AND prev_water_cut_pct < 60, false) AS is_water_cut_spike,
@@ -297,6 +297,7 @@ def predictions(gold: DataFrame) -> DataFrame:
     """Seven-row mean as the prediction; rows without a valid pressure have none."""
     return gold.filter("is_pressure_valid").select(
         "well_id",
+        "WELL_BORE_CODE",
         "DATEPRD",
         F.col("pressure_7d_avg").alias("pred_next_day_pressure"),
         F.lit(None).cast("double").alias("pred_rop_efficiency_score"),

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratawell.config import SHEET_COLUMNS
-from stratawell.ml import training
+from stratawell.ml import scoring, training
 from stratawell.operators import quality as q
 from stratawell.operators.quality import GateBlocked
 from stratawell.plans import daily_run, routing, serving
@@ -286,7 +286,7 @@ def test_daily_chain(spark, tmp_path):
     assert day.rows["silver.cleaned_trajectory"] == 5
     assert day.skipped.keys() == {"scoring", "serving.ml_predictions"}
     assert len(lake.read("gold.production_daily").columns) == 34
-    assert len(lake.read("gold.ml_feature_store").columns) == 44
+    assert len(lake.read("gold.ml_feature_store").columns) == 45  # with the bore code
     assert len(lake.read("serving.production_daily").columns) == 27
     assert spark.table("vw_anomaly_alerts").count() > 0
 
@@ -304,7 +304,7 @@ def test_daily_chain(spark, tmp_path):
     assert predictions.count() == 93
     assert predictions.filter("pred_next_day_pressure is null").count() == 0
     assert day.scoring["flagged"] == predictions.filter("pred_is_anomaly = 1").count()
-    assert len(lake.read("serving.ml_predictions").columns) == 8
+    assert len(lake.read("serving.ml_predictions").columns) == 9  # with the bore code
     assert spark.table("vw_ml_predictions").count() == 180
     report, anomalies = daily_run.daily_report(lake, as_of)
     assert report.count() == 3 and anomalies.first()[0] >= 0
@@ -386,6 +386,23 @@ def test_unreadable_surveys_are_kept_apart(spark, tmp_path):
     assert broken.count() == 1 and readable.count() > 0
 
 
+def test_two_bores_of_one_day_meet_their_own_predictions(spark):
+    day = dt.date(2020, 1, 1)
+    daily = spark.createDataFrame(
+        [("F-1", "A", day, 100.0, True), ("F-1", "B", day, 200.0, False), ("F-1", "C", day, 300.0, False)],
+        "well_id string, WELL_BORE_CODE string, DATEPRD date, AVG_DOWNHOLE_PRESSURE double, is_anomaly_pressure boolean",
+    )
+    scored = spark.createDataFrame(
+        [("F-1", "A", day, 101.0, None, 1, 0.5, None), ("F-1", "B", day, 205.0, None, 0, 0.1, None)],
+        scoring.PREDICTION_DDL,
+    )
+    view = serving.predictions_vs_actuals(daily, serving.serving_predictions(scored))
+    got = sorted((r.actual_pressure, r.pressure_abs_error, r.prediction_result) for r in view.collect())
+    assert [g[:2] for g in got] == [(100.0, 1.0), (200.0, 5.0), (300.0, None)] and got[0][2] == "TRUE_POS"
+    by_day = serving.serving_predictions(scored.drop("WELL_BORE_CODE").limit(1))
+    assert serving.predictions_vs_actuals(daily, by_day).count() == 3
+
+
 def test_report_windows(spark):
     df = spark.createDataFrame(
         [("F-1", dt.date(2024, 1, d), d % 2) for d in range(1, 11)],
