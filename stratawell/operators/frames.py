@@ -314,6 +314,19 @@ def _blocked(df, measures, series: Series, profile, max_rows: int, bucket: str)
 # ---- frames of a fixed duration --------------------------------------------------------------------
 
 
+MAX_PART_ROWS = 2_000  # of an entity within one duration: what a range frame reads for a row
+
+
+def _few_a_part(df: DataFrame, entity: str, at: Column, seconds: int, max_rows: int) -> bool:
+    """Whether the input is small and has few rows per entity and duration; counts are made in the tasks."""
+    bound = row_bound(df)
+    if bound is None or bound > max_rows:
+        return False
+    parts = df.filter(at.isNotNull()).groupBy(entity, F.floor(at / seconds).alias("_part"))
+    most = parts.agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return (most or 0) <= MAX_PART_ROWS
+
+
 def with_duration_mean(
     df: DataFrame,
     column: str,
@@ -330,10 +343,15 @@ def with_duration_mean(
     over the other. Nothing is subtracted: only readings within the duration enter, NaN, infinities
     and rounding errors of others do not. ``with_frames`` splits parts with many rows. What is of the
     same second is added up first. A row without a time keeps its place with a NULL mean.
+
+    While all entities are small and no part has many rows, a window of that range is enough.
     """
     e = series.entity
     at = F.unix_seconds(F.col(series.time).cast("timestamp"))
     value = F.col(column).cast("double")
+    if strategy == "range" or (strategy == "auto" and _few_a_part(df, e, at, seconds, max_rows)):
+        frame = Window.partitionBy(e).orderBy(at).rangeBetween(-seconds, -1)
+        return df.withColumn(name, F.when(at.isNotNull(), F.avg(value).over(frame)))
     moments = (
         df.filter(at.isNotNull())
         .groupBy(F.col(e).alias("_e"), at.alias("_s"))
