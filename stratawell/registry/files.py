@@ -13,7 +13,7 @@ from stratawell.registry.base import query, r, rounded
 from stratawell.registry.fixtures import RAW_SQL, STATIONS_SQL, raw_sheet, spread_lines, table, trajectory_documents
 from stratawell.session import scratch_path
 from stratawell.sinks.tables import Lake
-from stratawell.sources.production import POSITIONS, decode_workbooks, read_csv_sheet
+from stratawell.sources.production import POSITIONS, count_source_files, decode_workbooks, read_csv_sheet
 from stratawell.sources.trajectory import read_trajectories, route_document, route_documents, write_documents
 from stratawell.sources.welllogs import logs_long, logs_wide, parse_logs, read_log_lines, write_log_table
 
@@ -319,3 +319,34 @@ def documents_table(spark, sf):
         page, "doc_type", "reason", *[none.alias(c) for c in ("uid", "name", "sourceName")]
     )
     return good.unionByName(bad)
+
+
+FOLDERS = {"1": "Norway-F-1 main", "2": "field_F-11_x", "3": "F-12", "4": "Norway-F-99"}
+
+
+@query(
+    "survey_layout",
+    f"""WITH {STATIONS_SQL}
+        SELECT CASE left(trajectory_uid, 1) WHEN '1' THEN 'F-1' WHEN '3' THEN 'F-12' END AS well_id,
+               count(DISTINCT trajectory_uid) AS n_documents
+        FROM survey WHERE left(trajectory_uid, 1) IN ('1', '3') GROUP BY ALL""",
+)
+def survey_layout(spark, sf):
+    """Documents found by the default folder layout; only folders that name a well in scope count."""
+    root = scratch_path(spark, "layout")
+    docs = trajectory_documents(spark, sf)
+    for first, folder in FOLDERS.items():
+        chosen = docs.filter(F.startswith("_uid", F.lit(first))).drop("well_id", "source_path")
+        chosen.write.format("xml").option("rootTag", "trajectorys").option("rowTag", "trajectory").save(
+            f"{root}/{folder}/{first}/trajectory"
+        )
+    return read_trajectories(spark, root).groupBy("well_id").agg(F.countDistinct("_uid").alias("n_documents"))
+
+
+@query("source_files", "SELECT count(*) AS n_files FROM nation")
+def source_files(spark, sf):
+    """One file per nation below a folder, counted without reading them."""
+    root = scratch_path(spark, "reachable")
+    nations = table(spark, sf, "nation").select(F.col("n_name").alias("value"), F.col("n_nationkey").alias("n"))
+    nations.write.partitionBy("n").text(root)
+    return spark.range(1).select(F.lit(count_source_files(spark, f"{root}/*/part-*")).cast("long").alias("n_files"))

@@ -442,3 +442,19 @@ def alert_level(spark, sf):
 def failed_critical(spark, sf):
     evaluated = suites.SILVER_PRODUCTION.evaluate(clean(spark, sf))
     return quality.failed_expectations(evaluated, "CRITICAL").select("name", "details")
+
+
+@query(
+    "failed_critical_history",
+    f"""WITH {SILVER_TABLE_SQL}, e AS ({' UNION ALL '.join(SILVER_ROWS)})
+        SELECT 'silver_production_suite' AS suite_name, name, details FROM e
+        WHERE NOT passed AND name = 'expect_well_id_in_set'""",
+)
+def failed_critical_history(spark, sf):
+    """From the stored results of two days, what failed on the second at the severest level."""
+    lake = Lake(spark, scratch_path(spark, "history"))
+    for day, rows in (("2024-05-01", silver(spark, sf).withColumn("well_id", F.lit("F-1"))), ("2024-05-02", clean(spark, sf))):
+        evaluated = suites.SILVER_PRODUCTION.evaluate(rows)
+        lake.append("silver.dq_results", quality.suite_rows(evaluated, F.lit(day).cast("timestamp")))
+    failed = suites.failures_on(lake.read("silver.dq_results"), "2024-05-02", "CRITICAL")
+    return failed.select("suite_name", "name", "details")
