@@ -11,6 +11,7 @@ from stratawell.storage import delete
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "stratawell", master: str | None = None, **conf: str) -> SparkSession:
@@ -68,9 +69,16 @@ def materialize(df: DataFrame) -> DataFrame:
     A lost executor then costs no recomputation. Unlike a checkpoint, which computes its input
     twice, this is one pass, and later readers get column pruning and a known size.
     """
-    path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    # The shuffle files of the write go with its end, not when the driver happens to collect garbage.
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    kept = spark.read.schema(df.schema).parquet(path)
     kept.scratch = path
     return kept
 
