@@ -11,8 +11,10 @@ the one or have others are decoded too.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -24,6 +26,8 @@ from stratawell.llm.words import slices
 from stratawell.session import spread
 
 BUCKETS = 1 << 14
+NAMED = 32  # innermost elements whose names count
+KINDS = (("ul", "li"), ("p",), ("ol", "li"), ("table", "tr", "td"), ("blockquote", "p"), ("figure", "figcaption"), ("dl", "dd"), ("pre",))
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr".split()
@@ -38,11 +42,25 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPES = frozenset("ul ol dl table article section main div body html td th".split())
 CONTAINER = frozenset({"article", "main"})
 AROUND = frozenset("nav footer aside form button menu dialog".split())
-AROUND_NAME = regex.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|"
-    r"nav\w*|menu\w*|breadcrumbs?|sidebar\w*|widget\w*|footer|masthead|site-header|social|share\w*|related|recommend\w*|"
-    r"comments?\w*|disqus|replies|respond|pagination|pager|toolbar|login|search)(?:$|[-_ ])"
+# A name (class or id) tells of such a part if one of its words does and the others say nothing else:
+# cookie-banner does, share-price-report does not.
+AROUND_WORD = regex.compile(
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|"
+    r"nav\w*|menu\w*|breadcrumbs?|sidebar\w*|widget\w*|footer|masthead|social|share|sharing|related|recommend\w*|"
+    r"comments?|commentlist|disqus|replies|respond|pagination|pager|toolbar|login|search"
 )
+NEUTRAL_WORD = regex.compile(
+    r"site|main|page|post|posts|article|articles|entry|blog|top|bottom|left|right|upper|lower|primary|secondary|global|mobile|"
+    r"desktop|header|head|inner|outer|box|block|list|item|items|bar|area|section|container|wrap|wrapper|content|body|row|col|"
+    r"column|group|panel|slot|unit|link|links|button|buttons|btn|icon|icons|form|signup|thread|reader|user|js|is|has|\d+"
+)
+
+
+@lru_cache(maxsize=100_000)
+def tells_around(name: str) -> bool:
+    words = [w for w in regex.split(r"[-_]+", name) if w]
+    around = [bool(AROUND_WORD.fullmatch(w)) for w in words]
+    return any(around) and all(x or NEUTRAL_WORD.fullmatch(w) for x, w in zip(around, words)) or name == "site-header"
 
 
 AROUND_WEIGHT = -8.0  # at most
@@ -58,11 +76,18 @@ class Block:
 
 
 class _Reader(HTMLParser):
-    """Collects the leaf blocks of a page, also of one whose tags are not closed."""
+    """Collects the leaf blocks of a page, also of one whose tags are not closed.
+
+    What is open is counted by tag, and the elements that say something about their place have a stack
+    of their own, so that deep nesting costs a block no more than flat text. Of names, those of the
+    innermost ``NAMED`` elements are kept.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, str, str]] = []  # tag, names, place
+        self.open: Counter[str] = Counter()
+        self.places: list[str] = []
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.linked = self.silent = 0
@@ -71,23 +96,32 @@ class _Reader(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                place = next((p for _, _, p in reversed(self.stack) if p), "none")
-                tags = tuple(t for t, _, _ in self.stack)
-                names = tuple(n for _, n, _ in self.stack if n)
+                place = self.places[-1] if self.places else "none"
+                leaf = self.stack[-1][0] if self.stack else ""
+                tags = (*(t for t in self.open if t != leaf), leaf) if leaf else ()
+                names = tuple(n for _, n, _ in self.stack[-NAMED:] if n)
                 self.blocks.append(Block(text, tags, names, place, min(1.0, self.linked / len(text))))
             self.parts, self.linked = [], 0
 
     def _place(self, tag: str, names: str) -> str:
         if tag in ("html", "body"):  # their names tell about the layout, not about their text
             return ""
-        if tag in AROUND or names and AROUND_NAME.search(names):
+        told = [tells_around(n) for n in names.split() if not n.startswith("role:")]
+        # An article may carry one such name among others, and is one of these parts if all say so.
+        if tag in AROUND or (all(told) and told if tag in CONTAINER else any(told)):
             return "around"
         if tag == "header":
-            return "" if any(p == "container" for _, _, p in self.stack) else "around"
+            return "" if "container" in self.places else "around"
         return "container" if tag in CONTAINER or "role:main" in names else ""
 
     def _close(self, at: int) -> None:
-        self.silent -= sum(t in SILENT for t, _, _ in self.stack[at:])
+        for tag, _, place in self.stack[at:]:
+            self.silent -= tag in SILENT
+            self.open[tag] -= 1
+            if not self.open[tag]:
+                del self.open[tag]
+            if place:
+                self.places.pop()
         del self.stack[at:]
 
     def _end_head(self) -> None:
@@ -108,7 +142,8 @@ class _Reader(HTMLParser):
         if tag not in INLINE:
             self._flush()
             closes = ENDS.get(tag, frozenset())
-            for at in range(len(self.stack) - 1, -1, -1):
+            within = len(self.stack) if "p" in self.open or any(t in self.open for t in closes) else 0
+            for at in range(within - 1, -1, -1):
                 open_tag = self.stack[at][0]
                 if open_tag == "p" or open_tag in closes:
                     self._close(at)
@@ -123,7 +158,11 @@ class _Reader(HTMLParser):
         names = " ".join(x.lower() for x in (found.get("class"), found.get("id")) if x)
         if found.get("role"):
             names = f"{names} role:{found['role'].lower()}".strip()
-        self.stack.append((tag, names, self._place(tag, names)))
+        place = self._place(tag, names)
+        self.stack.append((tag, names, place))
+        self.open[tag] += 1
+        if place:
+            self.places.append(place)
         self.silent += tag in SILENT
 
     def handle_startendtag(self, tag, attrs):
@@ -135,6 +174,8 @@ class _Reader(HTMLParser):
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self._flush()
+        if tag not in self.open:
+            return
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at][0] == tag:
                 self._close(at)
@@ -148,7 +189,7 @@ class _Reader(HTMLParser):
         if self.silent:
             return
         self.parts.append(data)
-        if any(t == "a" for t, _, _ in self.stack):
+        if "a" in self.open:
             self.linked += len(data.strip())
 
 
@@ -178,10 +219,10 @@ def block_features(blocks: list[Block], masked: bool = False) -> list[list[int]]
         text, n = b.text, len(b.text)
         tags = [t for t in b.tags if not (masked and t in CONTAINER)]
         place = "none" if masked and b.place == "container" else b.place
-        letters = sum(map(str.isalpha, text[:400]))
+        letters = sum(map(str.isalpha, text))
         names = [
             "bias", f"place={place}", f"size={n.bit_length()}",
-            f"links={int(b.link_share * 4)}", f"end={text[-1] in '.!?:;'}", f"letters={letters * 5 // min(n, 400)}",
+            f"links={int(b.link_share * 4)}", f"end={text[-1] in '.!?:;'}", f"letters={letters * 5 // n}",
             f"mark={text[0] in '©|·'}",
         ]
         names.append(f"tag={tags[-1] if tags else ''}")
@@ -192,10 +233,12 @@ def block_features(blocks: list[Block], masked: bool = False) -> list[list[int]]
 
 
 def training_views(blocks: list[Block]) -> list[tuple[list[list[int]], list[int]]]:
-    """Features and labels of a labelled page: in full, without the marks of the article, and
-    with the same tag everywhere, its surroundings spread between the blocks of the article."""
+    """Features and labels of a labelled page: in full, without the marks of the article, both also
+    with its text in lists, tables and quotes, and with the same tag everywhere, its surroundings spread between the blocks of the article."""
     labels = weak_labels(blocks)
-    views = [(block_features(blocks), labels), (block_features(blocks, masked=True), labels)]
+    # Lists, tables and quotes stand in articles too; menus must not make them a sign of the contrary.
+    kinds = [replace(b, tags=(*b.tags[:-1], *KINDS[i % len(KINDS)])) if y else b for i, (b, y) in enumerate(zip(blocks, labels))]
+    views = [(block_features(x, masked), labels) for x in (blocks, kinds) for masked in (False, True)]
     main = [i for i, y in enumerate(labels) if y]
     rest = [i for i, y in enumerate(labels) if not y]
     place = {i: (k + 0.5) / max(len(main), 1) for k, i in enumerate(main)} | {i: k / max(len(rest), 1) for k, i in enumerate(rest)}
