@@ -182,23 +182,33 @@ class LetterModel:
         return spent, "".join(shared) + text
 
 
+_DROPPED = 255
+_SYMBOL_OF = np.zeros(256, np.uint8)
+_SYMBOL_OF[np.frombuffer(LETTERS.encode(), np.uint8)] = np.arange(1, 27)
+_SYMBOL_OF[np.frombuffer(LETTERS.upper().encode(), np.uint8)] = np.arange(1, 27)
+_SYMBOL_OF[0x80:0xC0] = _DROPPED  # only the first byte of other characters counts
+_SYMBOL_OF[0xC0:0xF5] = OTHER
+
+
+def trigram_counts(texts: pa.Array) -> np.ndarray:
+    """Trigrams of symbols in the words of some texts; a word has two edges before it and one after."""
+    rows = texts.cast(pa.large_binary()).to_pylist()
+    seen = _SYMBOL_OF[np.frombuffer(b" ".join([b" ", *(row or b"" for row in rows)]), np.uint8)]
+    seen = seen[seen != _DROPPED].astype(np.int16)
+    # The symbol before an edge does not matter: blanks in a row are one edge.
+    first = seen[:-2] * (seen[1:-1] != EDGE)
+    counts = np.bincount((first * SYMBOLS + seen[1:-1]) * SYMBOLS + seen[2:], minlength=SYMBOLS**3)
+    counts[0] = 0  # edges only
+    return counts
+
+
 def fit_letters(docs: DataFrame, smoothing: float = 0.1) -> LetterModel:
     """Trigram costs of the letters within words, counted over all texts of ``docs``."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS**3, np.int64)
-        table = np.zeros(256, np.uint8)
-        table[np.frombuffer(LETTERS.encode(), np.uint8)] = np.arange(1, 27)
-        table[0xC0:0xF5] = OTHER  # the first byte of other characters; further bytes are dropped
-        for part in slices(batches, budget=2 << 20):
-            data, bounds = text_bytes(part.column(0))
-            fenced = np.insert(lower_ascii(data), bounds[:-1], 0x20)
-            seen = table[fenced[(fenced & 0xC0) != 0x80]]
-            # Two edges before each word, one after it.
-            edge = np.flatnonzero((seen[:-1] == EDGE) & (seen[1:] != EDGE)) + 1
-            seen = np.insert(seen, edge, EDGE).astype(np.int64)
-            code = (seen[:-2] * SYMBOLS + seen[1:-1]) * SYMBOLS + seen[2:]
-            total += np.bincount(code[(seen[1:-1] != EDGE) | (seen[2:] != EDGE)], minlength=SYMBOLS**3)
+        for part in slices(batches, budget=1 << 20):
+            total += trigram_counts(part.column(0))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 

@@ -291,3 +291,53 @@ def test_training_raises_the_likelihood():
     model = crf_extract.train(pages)
     assert [model.decode(x) for x, _ in pages] == [y for _, y in pages]
     assert crf_extract.train([]).decode([[0]]) == [0]
+
+
+def test_trigram_counts_equal_a_plain_count():
+    import pyarrow as pa
+
+    texts = ["", None, " a  b", "é\tÀx", "Zebra", "ab\n\ncd ", "日本 x9y", "q"]
+    plain = np.zeros(deobfuscation.SYMBOLS**3, np.int64)
+    joined = " ".join(["", "", *[t or "" for t in texts]])
+    symbols = [deobfuscation.LETTERS.find(c.lower()) + 1 if c.isascii() else deobfuscation.OTHER for c in joined]
+    for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+        if b or c:
+            plain[((a if b else 0) * deobfuscation.SYMBOLS + b) * deobfuscation.SYMBOLS + c] += 1
+    assert (deobfuscation.trigram_counts(pa.array(texts)) == plain).all()
+
+
+FIRST = "The first long sentence of this part tells the reader something useful about the matter."
+OTHER_TEXT = "Another sentence of it goes on for quite a while and ends with a full stop."
+PROSE = "This paragraph has several words and is part of the article that the page is about, as one sees."
+HARD_PAGES = [  # html, main text
+    (f"<body><nav><ul><li><a href=x>Home</a></li><li><a href=y>About</a></li></ul></nav><article><p>{PROSE}</p><ul><li>{FIRST}</li>"
+     f"<li>{OTHER_TEXT}</li></ul><p>{PROSE}</p></article><footer>Copyright</footer></body>", f"{PROSE} {FIRST} {OTHER_TEXT} {PROSE}"),
+    (f"<main><ul><li>{FIRST}</li><li>{OTHER_TEXT}</li></ul></main>", f"{FIRST} {OTHER_TEXT}"),
+    (f"<main><p>{PROSE}</p><table><tr><td>{FIRST}</td><td>4.5</td></tr></table><blockquote>{OTHER_TEXT}</blockquote></main>",
+     f"{PROSE} {FIRST} 4.5 {OTHER_TEXT}"),
+    (f'<article class="post related"><p>{PROSE}</p></article>', PROSE),
+    (f'<article><div id="share-price-report"><p>{PROSE}</p></div></article>', PROSE),
+    (f'<article><div class="login-guide article-body"><p>{PROSE}</p></div></article>', PROSE),
+    (f'<article><p>{PROSE}</p></article><div class="comment-list"><article class="comment"><p>{FIRST}</p></article></div>', PROSE),
+    (f'<article><p>{PROSE}</p></article><div class="cookie-banner"><p>{FIRST}</p></div>', PROSE),
+    (f'<article><p>{PROSE}</p><aside><p>{FIRST}</p></aside></article><div id="related_posts"><p>{FIRST}</p></div>', PROSE),
+]
+
+
+def test_hard_pages(spark):
+    import pyarrow.parquet as pq
+
+    pages = [crf_extract.blocks_of(r) for r in pq.read_table("/root/testdata/sf0.001/pages.parquet").column("html").to_pylist()]
+    model = crf_extract.train([v for b in pages for v in crf_extract.training_views(b)])
+    for html, text in HARD_PAGES:
+        assert model.main_text(html) == text, html
+
+
+@pytest.mark.parametrize("html", ["<div>x" * 50_000, "<b>" * 20_000 + "<p>y</p>" * 20_000, "<b>x</i></div>" * 30_000, '<div class="a b">' * 20_000 + "<p>t</p>" * 20_000])
+def test_nesting_costs_no_more_than_flat_text(html):
+    import time
+
+    begin = time.perf_counter()
+    blocks = crf_extract.blocks_of(html)
+    assert len(crf_extract.block_features(blocks)) == len(blocks) >= 20_000
+    assert time.perf_counter() - begin < 30
