@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from stratawell.llm.words import codes_of, lower_ascii, slices, span_strings, text_bytes, word_spans
-from stratawell.session import spread
+from stratawell.session import materialize, spread
 
 # What a sign may stand for.
 STANDS_FOR = {
@@ -396,7 +396,9 @@ def fit_toxicity(
 
     # The sample is bounded, so it is sent to where the texts are.
     labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    counts = labelled.mapInArrow(count, "word string, n0 long, n1 long").groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    tallies = labelled.mapInArrow(count, "word string, n0 long, n1 long").groupBy("word")
+    # Written once, for it is read twice; one row per word of the sample.
+    counts = materialize(tallies.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     whole = counts.where("word = ''").first()
     n0, n1 = (whole["n0"], whole["n1"]) if whole else (0, 0)
     if not n0 or not n1:
