@@ -162,6 +162,17 @@ def test_surveys(spark, tmp_path):
     assert not rows["s2"]["is_md_valid"] and rows["s3"]["md_m"] is None and rows["s3"]["tvd_m"] == 3.0
 
 
+def test_stations_without_the_detour_by_text(spark, tmp_path):
+    write_surveys(tmp_path)
+    found = read_trajectories(spark, str(tmp_path))
+    never = F.lit(None).cast("timestamp")
+    by_text, direct = (
+        silver_trajectory(bronze_trajectory(found, ingestion_ts=never, as_text=t), processed_ts=never) for t in (True, False)
+    )
+    assert direct.schema == by_text.schema
+    assert direct.count() == 5 and direct.exceptAll(by_text).isEmpty()
+
+
 def test_routing_and_flattening(spark, tmp_path):
     write_surveys(tmp_path)
     kinds = {r["path"].split("/")[-2]: r["doc_type"] for r in route_documents(spark, str(tmp_path)).collect()}
