@@ -91,6 +91,17 @@ def csv_production(spark, sf):
     return bronze_counts(read_csv_sheet(spark, path))
 
 
+def write_xml(docs, path, *folders):
+    """Documents as compressed files: tags and units are most of their text.
+
+    A folder is written by one task, or by few if it is large; else each task leaves a file in every folder.
+    """
+    if folders:
+        docs = docs.hint("rebalance", *[F.col(c) for c in folders])
+    files = docs.write.format("xml").option("rootTag", "trajectorys").option("rowTag", "trajectory")
+    files.option("compression", "gzip").partitionBy(*folders).save(path)
+
+
 @query(
     "xml_trajectory",
     f"""WITH {STATIONS_SQL}
@@ -101,12 +112,11 @@ def xml_trajectory(spark, sf):
     """All documents as XML files in well folders."""
     root = scratch_path(spark, "surveys")
     docs = trajectory_documents(spark, sf)
-    docs.select(
+    placed = docs.select(
         *[c for c in docs.columns if c not in ("well_id", "source_path")],
         F.concat(F.lit("Norway-"), F.col("well_id"), F.lit(" main")).alias("folder"),
-    ).write.format("xml").option("rootTag", "trajectorys").option(
-        "rowTag", "trajectory"
-    ).partitionBy("folder").save(f"{root}/1/trajectory")
+    )
+    write_xml(placed, f"{root}/1/trajectory", "folder")
     found = read_trajectories(
         spark,
         f"{root}/1/trajectory",
@@ -337,9 +347,7 @@ def survey_layout(spark, sf):
     docs = trajectory_documents(spark, sf)
     for first, folder in FOLDERS.items():
         chosen = docs.filter(F.startswith("_uid", F.lit(first))).drop("well_id", "source_path")
-        chosen.write.format("xml").option("rootTag", "trajectorys").option("rowTag", "trajectory").save(
-            f"{root}/{folder}/{first}/trajectory"
-        )
+        write_xml(chosen, f"{root}/{folder}/{first}/trajectory")
     return read_trajectories(spark, root).groupBy("well_id").agg(F.countDistinct("_uid").alias("n_documents"))
 
 

@@ -423,3 +423,14 @@ def test_report_windows(spark):
     assert serving.last_days(df, 7, as_of).count() == 8
     assert serving.recent_anomalies(df, as_of).first()[0] == 1
     assert serving.recent_anomalies(df.limit(0), as_of).first()[0] == 0
+
+
+def test_xml_files_are_compressed_and_one_a_folder(spark, tmp_path):
+    from stratawell.registry.files import write_xml
+
+    docs = spark.range(0, 400, 1, 8).select(F.col("id").alias("_uid"), F.concat(F.lit("F-"), F.col("id") % 5).alias("folder"))
+    write_xml(docs, str(tmp_path / "x"), "folder")
+    files = list((tmp_path / "x").glob("*/part-*"))
+    assert len(files) == 5 and all(f.name.endswith(".gz") for f in files)
+    back = spark.read.format("xml").option("rowTag", "trajectory").schema("_uid long").load(str(tmp_path / "x"))
+    assert sorted(r["_uid"] for r in back.collect()) == list(range(400))
