@@ -143,3 +143,18 @@ def test_a_run_that_failed_is_repeated(spark, lake, monkeypatch):
         incremental.sync_gold(lake, tables=(incremental.DAILY, broken))
     incremental.sync_gold(lake)
     assert_in_line(lake)
+
+
+def test_a_lake_of_one_gold_table_needs_no_surveys(spark, tmp_path):
+    lake, only = Lake(spark, str(tmp_path)), [incremental.DAILY]
+    rows = raw_rows(wells=("F-1",), days=90)
+    lake.refresh(incremental.SILVER, silver_of(spark, rows), ["date_year"], ["well_id", "DATEPRD"])
+    lake.refresh("gold.production_daily", gold.production_daily(lake.read(incremental.SILVER)), ["date_year"])
+    incremental.build_totals(lake, only)
+    day = rows[3][2]
+    fixed = [(*rows[3][:4], *[1.0 for _ in MEASURED])]
+    written = incremental.backfill_day(lake, silver_of(spark, fixed), day.isoformat(), tables=only)
+    assert set(written) == {"gold.production_daily"} and day.year in written["gold.production_daily"]
+    assert not lake.exists(incremental.STATS)
+    assert plain(lake.read("gold.production_daily")) == plain(gold.production_daily(lake.read(incremental.SILVER)))
+    assert incremental.backfill_day(lake, silver_of(spark, fixed), day.isoformat(), tables=only) == {}
