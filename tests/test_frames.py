@@ -6,6 +6,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from stratawell.config import Series
@@ -209,3 +210,21 @@ def test_duration_mean_keeps_rows_without_time(spark):
     df = spark.createDataFrame(rows, "e string, t timestamp, k int, v double")
     got = {r["k"]: r["m"] for r in with_duration_mean(df, "v", "m", 86_400, SERIES).collect()}
     assert len(got) == 50 and all(got[k] is None for k in range(0, 50, 10))
+
+
+def test_many_small_entities_take_one_range_frame(spark):
+    rows = spark.range(400).select(
+        F.concat(F.lit("e"), F.col("id") % 10).alias("e"),
+        F.when(F.col("id") % 37 != 0, F.timestamp_seconds(F.col("id") * 7_000)).alias("t"),
+        F.col("id").alias("k"),
+        (F.col("id") % 13).cast("double").alias("v"),
+    )
+    series = Series("e", "t", ("k",))
+    out = with_duration_mean(rows, "v", "m", 86_400, series, max_rows=50)
+    assert "Generate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got, wanted = (
+        {r["k"]: r["m"] for r in d.collect()}
+        for d in (out, with_duration_mean(rows, "v", "m", 86_400, series, max_rows=50, strategy="blocks"))
+    )
+    assert got.keys() == wanted.keys() and len(got) == 400
+    assert all(got[k] == pytest.approx(wanted[k]) for k in got)
