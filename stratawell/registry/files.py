@@ -11,7 +11,7 @@ from stratawell.plans.bronze import bronze_production, bronze_trajectory
 from stratawell.plans.silver import silver_trajectory
 from stratawell.registry.base import query, r, rounded
 from stratawell.registry.fixtures import RAW_SQL, STATIONS_SQL, raw_sheet, spread_lines, table, trajectory_documents
-from stratawell.session import scratch_path
+from stratawell.session import scratch_path, spread
 from stratawell.sinks.tables import Lake
 from stratawell.sources.production import POSITIONS, count_source_files, decode_workbooks, read_csv_sheet
 from stratawell.sources.trajectory import read_trajectories, route_document, route_documents, write_documents
@@ -271,7 +271,8 @@ def route_files(spark, sf):
     """A file for each page, in folders of several depths, some below underscore folders."""
     root = scratch_path(spark, "documents")
     names = ("_wellInfo", "_wellboreInfo", "trajectory", "message", "bhaRun", "mudLog", "log")
-    pages = table(spark, sf, "pages").select("page_id", F.concat(F.lit("page "), F.col("page_id")).alias("value"))
+    # Each page is a file of its own: one task would create them one by one.
+    pages = spread(table(spark, sf, "pages")).select("page_id", F.concat(F.lit("page "), F.col("page_id")).alias("value"))
     for at, folder in enumerate(names):
         for level, above in enumerate(("a", "a/b/c/d", "a/_u/c")):
             chosen = pages.filter((F.col("page_id") % 7 == at) & (F.floor(F.col("page_id") / 7) % 3 == level))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -434,3 +435,17 @@ def test_xml_files_are_compressed_and_one_a_folder(spark, tmp_path):
     assert len(files) == 5 and all(f.name.endswith(".gz") for f in files)
     back = spark.read.format("xml").option("rowTag", "trajectory").schema("_uid long").load(str(tmp_path / "x"))
     assert sorted(r["_uid"] for r in back.collect()) == list(range(400))
+
+
+def test_page_files_are_written_by_several_tasks(spark, tiny, monkeypatch):
+    from stratawell.registry import files
+
+    written = []
+
+    def remembered(spark, root):
+        written.extend(f.name.split("-")[1] for f in Path(root).rglob("part-*"))
+        return route_documents(spark, root)
+
+    monkeypatch.setattr(files, "route_documents", remembered)
+    assert files.route_files(spark, tiny).count() == len(written) > 0
+    assert len(set(written)) > 1
