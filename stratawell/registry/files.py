@@ -4,7 +4,8 @@ import io
 import zipfile
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from stratawell.plans.bronze import bronze_production, bronze_trajectory
@@ -20,9 +21,6 @@ from stratawell.sources.welllogs import logs_long, logs_wide, parse_logs, read_l
 
 def workbook(rows) -> bytes:
     """A minimal workbook with one sheet of text cells."""
-    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    docs = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    package = "http://schemas.openxmlformats.org/package/2006/relationships"
     cells = []
     for n, row in enumerate(rows, 1):
         cells.append(f'<row r="{n}">')
@@ -33,34 +31,57 @@ def workbook(rows) -> bytes:
                     f'<c r="{name}{n}" t="inlineStr"><is><t>{escape(str(value))}</t></is></c>'
                 )
         cells.append("</row>")
+    return book("".join(cells).encode())
+
+
+def book(rows: bytes) -> bytes:
+    """A workbook around the row elements of its only sheet."""
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    docs = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    package = "http://schemas.openxmlformats.org/package/2006/relationships"
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-        book.writestr(
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
+        archive.writestr(
             "xl/workbook.xml",
             f'<workbook xmlns="{main}" xmlns:r="{docs}"><sheets>'
             '<sheet name="Daily" sheetId="1" r:id="rId1"/></sheets></workbook>',
         )
-        book.writestr(
+        archive.writestr(
             "xl/_rels/workbook.xml.rels",
             f'<Relationships xmlns="{package}"><Relationship Id="rId1" Type="{docs}/worksheet" '
             'Target="worksheets/sheet1.xml"/></Relationships>',
         )
-        book.writestr(
+        archive.writestr(
             "xl/worksheets/sheet1.xml",
-            f'<worksheet xmlns="{main}"><sheetData>{"".join(cells)}</sheetData></worksheet>',
+            f'<worksheet xmlns="{main}"><sheetData>'.encode() + rows + b"</sheetData></worksheet>",
         )
     return out.getvalue()
 
 
+def row_elements(batch: pa.RecordBatch) -> bytes:
+    """The rows of a batch as row elements with text cells, column by column."""
+    at = pa.array(range(1, batch.num_rows + 1)).cast(pa.string())
+    cells = []
+    for i, values in enumerate(batch.columns):
+        if values.null_count == len(values):
+            continue
+        for plain, escaped in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            values = pc.replace_substring(values, plain, escaped)
+        cell = pc.binary_join_element_wise(f'<c r="{chr(65 + i)}', at, '" t="inlineStr"><is><t>', values, "</t></is></c>", "")
+        cells.append(pc.fill_null(cell, ""))
+    rows = pc.binary_join_element_wise('<row r="', at, '">', *cells, "</row>", "")
+    return "".join(rows.to_pylist()).encode()
+
+
 def to_workbooks(sheet):
     """Each Arrow batch of rows as one workbook, so no workbook grows with the data."""
 
     def encode(batches):
         for n, batch in enumerate(batches):
-            rows = batch.astype(object).where(batch.notna(), None).itertuples(index=False)
-            yield pd.DataFrame({"path": [f"book-{n}.xlsx"], "content": [workbook(rows)]})
+            content = pa.array([book(row_elements(batch))], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([f"book-{n}.xlsx"]), content], names=["path", "content"])
 
-    return sheet.select(*POSITIONS).mapInPandas(encode, "path string, content binary")
+    return sheet.select(*POSITIONS).mapInArrow(encode, "path string, content binary")
 
 
 BRONZE_COUNT_SQL = f"""WITH {RAW_SQL}
