@@ -244,6 +244,16 @@ def large_logs(spark, sf, folder):
     logs.write.partitionBy("log").text(folder)
 
 
+SPLITS = 256
+
+
+def split_bytes(spark, path):
+    """Bytes of a split, so that the files below ``path`` have several splits each, and not many more than ``SPLITS``."""
+    listed = spark.read.format("binaryFile").load(path).agg(F.sum("length"), F.max("length")).first()
+    total, longest = listed
+    return max(16 << 10, min(total // SPLITS, longest // 2, 128 << 20))
+
+
 @query(
     "las_table",
     f"""SELECT 'F-' || (l_suppkey % 8) AS well_name, l_returnflag AS log_type,
@@ -254,12 +264,15 @@ def large_logs(spark, sf, folder):
                {r('CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE)', '"GR_CAL"')} FROM lineitem""",
 )
 def las_table(spark, sf):
-    """Logs on disk, each read in several splits, stored by well and log type."""
+    """Logs on disk, each read in several splits, stored by well and log type.
+
+    Splits grow with the logs, up to Spark's own size: small splits of large logs would only send more task results.
+    """
     folder, lake = scratch_path(spark, "logs"), Lake(spark, scratch_path(spark, "log-lake"))
     large_logs(spark, sf, folder)
     name = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(name)
-    spark.conf.set(name, "16k")
+    spark.conf.set(name, str(split_bytes(spark, f"{folder}/*")))
     try:
         write_log_table(lake, "bronze.well_logs", read_log_lines(spark, f"{folder}/*"), ("DEPT", "ROP", "GR_CAL"))
     finally:
