@@ -21,44 +21,55 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _section(text: Column, letter: str) -> Column:
-    """Lines of one section, comments and blank lines left out."""
-    body = F.regexp_extract(text, rf"(?s)(?:^|\n)~{letter}[^\n]*\n(.*?)(?=\n~|\z)", 1)
-    return F.filter(F.split(body, r"\r?\n"), lambda line: ~line.rlike(r"^\s*(#|$)"))
+def _sections(text: Column) -> Column:
+    """The sections of a log, each from the letter after its mark on."""
+    return F.split(F.concat(F.lit("\n"), text), "\n~")
 
 
-def _header_value(lines: Column, mnemonic: str) -> Column:
-    pattern = rf"^\s*{mnemonic}\s*\.\S*\s+(.*?)\s*:"
-    hit = F.filter(lines, lambda line: line.rlike(pattern))
-    return F.regexp_extract(F.get(hit, F.lit(0)), pattern, 1)
+def _section(sections: Column, letter: str) -> Column:
+    return F.get(F.filter(sections, lambda s: F.startswith(s, F.lit(letter))), F.lit(0))
+
+
+# Patterns are matched on whole sections: a split into lines costs more than all of them. ``_B`` is a blank in a line.
+_B = r"[^\S\n]"
+
+
+def _header_value(section: Column, mnemonic: str) -> Column:
+    found = F.regexp_extract_all(section, F.lit(rf"(?md)^{_B}*{mnemonic}{_B}*\.\S*{_B}+(.*?){_B}*:"), 1)
+    return F.get(found, F.lit(0))
 
 
 def _header_columns() -> list[Column]:
-    """Well, log type, missing value and curve names from the lines of the header sections."""
+    """Well, log type, missing value and curve names from the header sections ``_well`` and ``_curves``."""
     missing = to_number(_header_value(F.col("_well"), "NULL"))
-    name = r"^\s*([^\s.]+)\s*\."
+    # Each line but comments and blank ones has a name, if an empty one; the first is the section's heading.
+    name = rf"(?md)^(?!{_B}*(?:#|$))(?:{_B}*([^\s.]+){_B}*\.)?"
     return [
         _header_value(F.col("_well"), "WELL").alias("well_name"),
         _header_value(F.col("_well"), "LTYP").alias("log_type"),
         F.coalesce(missing, F.lit(LOG_NULL_VALUE)).alias("null_value"),
-        F.transform("_curves", lambda line: F.regexp_extract(line, name, 1)).alias("curves"),
+        F.slice(F.regexp_extract_all("_curves", F.lit(name), 1), 2, 1 << 30).alias("curves"),
     ]
 
 
+def _values(line: Column) -> Column:
+    return F.regexp_extract_all(line, F.lit(r"\S+"), 0)
+
+
 def parse_logs(files: DataFrame) -> DataFrame:
     """One row per file and depth step: well, log type, and a map from curve to text value."""
-    text = F.col("text")
-    return (
-        files.withColumn("_well", _section(text, "W"))
-        .withColumn("_curves", _section(text, "C"))
-        .select(
-            "source_path",
-            *_header_columns(),
-            F.posexplode(_section(text, "A")).alias("step", "line"),
-        )
-        .withColumn("values", F.split(F.trim("line"), r"\s+"))
-        .drop("line")
+    sections = files.select("source_path", _sections(F.col("text")).alias("_sections"))
+    lines = F.slice(F.split(_section(F.col("_sections"), "A"), "\n"), 2, 1 << 30)
+    split = sections.select(
+        "source_path",
+        _section(F.col("_sections"), "W").alias("_well"),
+        _section(F.col("_sections"), "C").alias("_curves"),
+        F.filter(lines, lambda line: ~line.rlike(r"^\s*(#|$)")).alias("_data"),
     )
+    # Headers are read before the lines are dealt out: once a file, not once a line.
+    headed = split.select("source_path", *_header_columns(), "_data")
+    steps = headed.select(*[c for c in headed.columns if c != "_data"], F.posexplode("_data").alias("step", "line"))
+    return steps.withColumn("values", _values(F.col("line"))).drop("line")
 
 
 def logs_long(parsed: DataFrame) -> DataFrame:
@@ -88,14 +99,17 @@ def logs_long(parsed: DataFrame) -> DataFrame:
 
 def logs_wide(parsed: DataFrame, curves: Sequence[str] = COMMON_CURVES) -> DataFrame:
     """One column per curve; a curve the file lacks is NULL. No shuffle."""
-    by_name = F.map_from_entries(F.arrays_zip("curves", F.slice("values", 1, F.size("curves"))))
-    return parsed.withColumn("_v", by_name).select(
+    def text(curve: str) -> Column:
+        """A line's value of a curve; names have a value at their own place, or none."""
+        return F.get("values", F.array_position("curves", curve).cast("int") - 1)
+
+    return parsed.select(
         "source_path",
         "well_name",
         "log_type",
         "step",
         *[
-            F.nullif(without_sentinel(to_number(F.col("_v")[c])), F.col("null_value")).alias(c)
+            F.nullif(without_sentinel(to_number(text(c))), F.col("null_value")).alias(c)
             for c in curves
         ],
     )
@@ -142,15 +156,16 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
         placed.filter(F.col("_place") < F.col("_mark"))
         .groupBy("source_path")
         .agg(text.alias("_text"))
-        .withColumn("_well", _section(F.col("_text"), "W"))
-        .withColumn("_curves", _section(F.col("_text"), "C"))
+        .withColumn("_sections", _sections(F.col("_text")))
+        .withColumn("_well", _section(F.col("_sections"), "W"))
+        .withColumn("_curves", _section(F.col("_sections"), "C"))
         .select("source_path", *_header_columns())
     )
     data = placed.filter((F.col("_place") > F.col("_mark")) & ~F.startswith("line", F.lit("~")))
     return data.join(headers, "source_path").select(
         *headers.columns,
         (F.col("_place") - F.col("_mark") - 1).cast("int").alias("step"),
-        F.split(F.trim("line"), r"\s+").alias("values"),
+        _values(F.col("line")).alias("values"),
     )
 
 
