@@ -37,12 +37,20 @@ def apply_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     )
 
 
+def holds_back(rules: Sequence[RowRule]) -> Column:
+    """Whether a row goes to quarantine: a CRITICAL or HIGH rule is broken.
+
+    A condition on ``severity`` would be pushed below it, and each rule then judged several times a row.
+    """
+    broken = [F.coalesce(r.broken, F.lit(False)) for r in rules if r.severity in ("CRITICAL", "HIGH")]
+    return reduce(lambda a, b: a | b, broken, F.lit(False))
+
+
 def split_rows(df: DataFrame, rules: Sequence[RowRule]) -> tuple[DataFrame, DataFrame]:
     """Rows that go on (clean, or flagged as MEDIUM) and rows to quarantine (CRITICAL, HIGH)."""
-    judged = apply_rules(df, rules)
-    held = F.coalesce(F.col("severity").isin("CRITICAL", "HIGH"), F.lit(False))
-    kept = judged.filter(~held).drop("failure_reason", "severity")
-    return kept, judged.filter(held)
+    held = holds_back(rules)
+    kept = apply_rules(df.filter(~held), rules).drop("failure_reason", "severity")
+    return kept, apply_rules(df.filter(held), rules)
 
 
 def quarantine_rows(

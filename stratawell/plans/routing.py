@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stratawell.config import SHEET_COLUMNS
 from stratawell.operators.quality import GateBlocked, failed_expectations
-from stratawell.operators.quarantine import RowRule, action_for, apply_rules, quarantine_rows
+from stratawell.operators.quarantine import RowRule, action_for, apply_rules, holds_back, quarantine_rows
 from stratawell.plans.silver import typed_production
 from stratawell.plans.suites import production_rules
 from stratawell.session import materialize
@@ -23,11 +23,19 @@ QUARANTINE = "silver.quarantine"
 SOURCE = "silver.cleaned_production"
 
 
+def typed_beside_raw(bronze: DataFrame) -> DataFrame:
+    """Typed rows, with the bronze row as it is in ``_raw``."""
+    return typed_production(bronze.withColumn("_raw", F.struct(*[F.col(c) for c in bronze.columns])))
+
+
+def judged_rows(typed: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
+    judged = apply_rules(typed, rules)
+    return judged.select("_raw.*", "failure_reason", "severity", "dq_flag", action_for("severity").alias("action"))
+
+
 def judged_production(bronze: DataFrame, rules: Sequence[RowRule] | None = None) -> DataFrame:
     """Bronze rows as they are, with failure_reason, severity, dq_flag and the action of each."""
-    raw = bronze.withColumn("_raw", F.struct(*[F.col(c) for c in bronze.columns]))
-    judged = apply_rules(typed_production(raw), production_rules() if rules is None else rules)
-    return judged.select("_raw.*", "failure_reason", "severity", "dq_flag", action_for("severity").alias("action"))
+    return judged_rows(typed_beside_raw(bronze), production_rules() if rules is None else rules)
 
 
 def route_production(
@@ -37,11 +45,12 @@ def route_production(
 
     A repeated run stores nothing, and records keep the date of the run that first held them.
     """
-    judged = judged_production(bronze, rules)
-    held = F.coalesce(F.col("action").isin("block", "quarantine"), F.lit(False))
+    rules = production_rules() if rules is None else rules
+    typed, back = typed_beside_raw(bronze), holds_back(rules)
+    judged, held, clean = (judged_rows(rows, rules) for rows in (typed, typed.filter(back), typed.filter(~back)))
     data = [c for c in SHEET_COLUMNS if c in bronze.columns] + ["well_id"]
     records = quarantine_rows(
-        judged.filter(held).select(*data, "failure_reason", "severity", "dq_flag"), SOURCE, run_date
+        held.select(*data, "failure_reason", "severity", "dq_flag"), SOURCE, run_date
     ).dropDuplicates(["quarantine_id"])
     lake.create_if_missing(QUARANTINE, records.schema)
     known = lake.read(QUARANTINE)
@@ -52,8 +61,8 @@ def route_production(
     released = known.filter("resolved").select(F.col("quarantine_id").alias("_id")).distinct()
     row = F.to_json(F.struct(*data), {"ignoreNullFields": "false"})
     own = F.sha2(F.concat_ws("|", F.lit(SOURCE), row), 256)
-    through = judged.filter(held).join(released, own == F.col("_id"), "left_semi")
-    kept = judged.filter(~held).unionByName(through).drop("failure_reason", "severity", "action")
+    through = held.join(released, own == F.col("_id"), "left_semi")
+    kept = clean.unionByName(through).drop("failure_reason", "severity", "action")
     by_action = judged.groupBy(F.coalesce("action", F.lit("pass")).alias("action")).count().collect()
     return kept, {r["action"]: r["count"] for r in by_action} | {"new": fresh.count()}
 
