@@ -233,18 +233,22 @@ def near_duplicates(docs: DataFrame, plan: Banding = Banding()) -> DataFrame:
         .select("cid", "n", "i", "ku", F.posexplode("v").alias("j", "kv"))
         .select(F.xxhash64("i", "ku", "j", "kv").alias("key"), "cid", "n")
     )
-    # Only buckets of several classes go on.
-    shared = tables.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high"), F.count("*").alias("size"))
-    buckets = materialize(tables.join(shared.where("low < high").select("key", "size"), "key"))
+    # Only buckets of several classes go on. Their keys are written first: the files of two shuffles of all tables
+    # would else lie on disk at once.
+    sizes = tables.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high"), F.count("*").alias("size"))
+    shared = materialize(sizes.where("low < high").select("key", "size"))
+    buckets = materialize(tables.join(shared, "key"))
+    release(shared)
 
     # The class whose buckets are the fullest stands in the middle of its like.
-    weights = buckets.groupBy("cid").agg(F.sum("size").alias("weight"))
+    weights = materialize(buckets.groupBy("cid").agg(F.sum("size").alias("weight")))
     weighed = buckets.join(weights, "cid").select("key", "cid", "n", "weight")
-    middle = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("cid")).alias("minus"), "n")).alias("lead"))
+    middle = materialize(weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("cid")).alias("minus"), "n")).alias("lead")))
     led = weighed.join(middle, "key").select(
         "cid", F.col("n").alias("n_a"), (-F.col("lead.minus")).alias("other"), F.col("lead.n").alias("n_b")
     )
     first = materialize(_likeliest(led.where("cid <> other"), plan.percent, 1))
+    release(weights, middle)
 
     wanted = classes.join(buckets.select("cid").distinct(), "cid", "left_semi").select("cid", "doc", "s1", "s2")
     sets = materialize(_full_sets(docs, wanted, plan))
