@@ -129,7 +129,8 @@ def document_sets(docs: DataFrame, plan: Banding) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (a, b), with what other ids they carry, whose full sets are similar enough."""
+    kept = pairs.columns
     left = sets.select(F.col("cid").alias("a"), F.col("hashes").alias("set_a"))
     right = sets.select(F.col("cid").alias("b"), F.col("hashes").alias("set_b"))
 
@@ -140,9 +141,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(kept).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long")
+    both = pairs.join(left, "a").join(right, "b").select(*kept, "set_a", "set_b")
+    return both.mapInArrow(compare, ", ".join(f"{c} long" for c in kept))
 
 
 def _sized(pairs: DataFrame, percent: int) -> DataFrame:
@@ -150,17 +152,20 @@ def _sized(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
 
-def _likeliest(led: DataFrame, percent: int, most: int) -> DataFrame:
-    """(a, b): for each class of (cid, n_a, other, n_b) the leaders it shares most tables with."""
-    met = _sized(led, percent).groupBy("cid", "other").agg(F.count("*").alias("met"))
+def _likeliest(led: DataFrame, percent: int, most: int, *kept: str) -> DataFrame:
+    """(a, b): for each class of (cid, n_a, other, n_b) the leaders it shares most tables with.
+
+    ``kept`` are columns that the two classes fix in either order; they go along.
+    """
+    met = _sized(led, percent).groupBy("cid", "other").agg(F.count("*").alias("met"), *[F.first(c).alias(c) for c in kept])
     # At most one row per class and table.
     order = W.partitionBy("cid").orderBy(F.desc("met"), "other")
     best = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-    return best.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct()
+    return best.select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b"), *kept).distinct()
 
 
 def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
-    """(a, b) of different roots that may be similar, among ``members`` (cid, n, root), and what it reads.
+    """(a, b, root_a, root_b) of different roots that may be similar, among ``members`` (cid, n, root), and what it reads.
 
     Shingles are ordered by the number of members that have them. A pair shares at least
     ``percent`` of the larger set, so it shares one of the first n - ceil(percent n / 100) + 1 of
@@ -190,7 +195,7 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> tuple[Da
     # At the first shingle that two sets share, what is left of both must hold the rest of the overlap.
     most = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     enough = (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
-    return left.join(right, "h").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough).select("a", "b").distinct(), [shingles, prefix]
+    return left.join(right, "h").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & enough).select("a", "b", "root_a", "root_b").distinct(), [shingles, prefix]
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, plan: Banding) -> DataFrame:
@@ -248,12 +253,13 @@ def near_duplicates(docs: DataFrame, plan: Banding = Banding()) -> DataFrame:
         "cid", F.col("n").alias("n_a"), (-F.col("lead.minus")).alias("other"), F.col("lead.n").alias("n_b")
     )
     first = materialize(_likeliest(led.where("cid <> other"), plan.percent, 1))
-    release(weights, middle)
 
-    wanted = classes.join(buckets.select("cid").distinct(), "cid", "left_semi").select("cid", "doc", "s1", "s2")
+    wanted = classes.join(weights, "cid", "left_semi").select("cid", "doc", "s1", "s2")
     sets = materialize(_full_sets(docs, wanted, plan))
+    release(weights, middle)
     links = materialize(_confirmed(first, sets, plan.percent))
     roots = components(links)
+    release(first, links)
 
     def mixed(state: DataFrame) -> DataFrame:
         """Buckets that still hold more than one component, with the component of each class."""
@@ -263,22 +269,27 @@ def near_duplicates(docs: DataFrame, plan: Banding = Banding()) -> DataFrame:
         split = named.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1")
         return materialize(named.join(split.select("key"), "key", "left_semi"))
 
-    def with_more(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        more = materialize(links.unionByName(_confirmed(pairs, sets, plan.percent)))
-        return more, components(more)
+    def with_more(roots: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The components once those of similar pairs are joined; links inside of them are not gone through again."""
+        joined = _confirmed(pairs, sets, plan.percent).select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        links = materialize(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(joined))
+        found = components(links)
+        release(links)
+        return found
 
     left = mixed(roots)
     draws = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "cid").alias("draw"), "cid", "n", "root")).alias("lead"))
     led = left.join(draws, "key").where("root <> lead.root").select(
-        "cid", F.col("n").alias("n_a"), F.col("lead.cid").alias("other"), F.col("lead.n").alias("n_b")
+        "cid", F.col("n").alias("n_a"), F.col("lead.cid").alias("other"), F.col("lead.n").alias("n_b"),
+        F.least("root", "lead.root").alias("root_a"), F.greatest("root", "lead.root").alias("root_b"),
     )
-    links, roots = with_more(_likeliest(led, plan.percent, plan.leaders))
+    roots = with_more(roots, _likeliest(led, plan.percent, plan.leaders, "root_a", "root_b"))
 
     rest = mixed(roots)
     members = materialize(rest.groupBy("cid").agg(F.first("n").alias("n"), F.first("root").alias("root")))
     pairs, tables = _prefix_pairs(members, sets, plan.percent)
-    more, roots = with_more(pairs)
-    release(buckets, first, sets, left, rest, members, links, more, *tables)
+    roots = with_more(roots, pairs)
+    release(buckets, sets, left, rest, members, *tables)
 
     named = classes.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "s1", "s2", "doc", F.coalesce("root", "cid").alias("group")

@@ -63,6 +63,24 @@ def test_components_of_long_chains_and_stars(frame):
     assert got == {x: want[x] for p in pairs for x in p if want[x] != x}
 
 
+def test_components_stop_at_stars(frame, monkeypatch):
+    """Links of a star are written once; so are links between the roots of stars that were found before."""
+    made, written = links.materialize, []
+
+    def watched(df):
+        written.append(made(df))
+        return written[-1]
+
+    monkeypatch.setattr(links, "materialize", watched)
+    star = [(5, x) for x in range(100, 160)] + [(x, 9) for x in range(200, 260)]
+    for pairs in (star, [(b, a) for a, b in star] + [(5, 9)]):
+        written.clear()
+        got = {r.node: r.root for r in links.components(frame(pairs, "a long, b long")).collect()}
+        want = union_find(300, pairs)
+        assert got == {x: want[x] for p in pairs for x in p if want[x] != x}
+        assert len(written) == 1
+
+
 def test_shingle_sets_are_exact(prose):
     texts = [t for _, t in near_rows(prose)]
     sets, bounds = minhash.shingle_sets(pa.array(texts), 2)
