@@ -228,20 +228,21 @@ def large_logs(spark, sf, folder):
         F.when(F.col("l_linenumber") == 1, "-999.25").otherwise(F.col("l_quantity").cast("string")),
         F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
     )
-    lines = F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_partkey", line.alias("line"))))
     header = F.concat(
         F.lit("~VERSION INFORMATION\n VERS.  2.0 : format\n~WELL INFORMATION\n# mnemonic\n NULL.  -999.25 : missing\n WELL.  "),
         F.col("well"), F.lit(" : well\n LTYP.  "), F.col("l_returnflag"),
-        F.lit(" : type\n~CURVE INFORMATION\n DEPT.M : depth\n ROP.M/H : rate\n GR_CAL.API : gamma\n~A\n# data\n"),
+        F.lit(" : type\n~CURVE INFORMATION\n DEPT.M : depth\n ROP.M/H : rate\n GR_CAL.API : gamma\n~A\n# data"),
     )
-    logs = (
-        table(spark, sf, "lineitem").groupBy(well.alias("well"), "l_returnflag").agg(lines.alias("lines"))
-        .select(
-            F.concat(header, F.array_join(F.transform("lines", lambda x: x["line"]), "\n")).alias("value"),
-            F.concat_ws("-", "well", "l_returnflag").alias("log"),
-        )
-    )
-    logs.write.partitionBy("log").text(folder)
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "line"]
+    lines = table(spark, sf, "lineitem").select(well.alias("well"), "l_returnflag", *order[:3], line.alias("line"))
+    log = F.concat_ws("-", "well", "l_returnflag").alias("log")
+    # Without a well or a kind there is no header, so no data section either: such a log is empty.
+    headers = lines.select("well", "l_returnflag").distinct().select(log, F.coalesce(header, F.lit("")).alias("line"))
+    data = lines.filter(F.col("well").isNotNull() & F.col("l_returnflag").isNotNull()).select(log, *order)
+    # A log is one file, so one task writes it; sorting spills, where gathering its lines into one row does not.
+    rows = headers.withColumn("_first", F.lit(True)).unionByName(data.withColumn("_first", F.lit(False)), allowMissingColumns=True)
+    placed = rows.repartition("log").sortWithinPartitions("log", F.desc("_first"), *order)
+    placed.select("log", F.col("line").alias("value")).write.partitionBy("log").text(folder)
 
 
 SPLITS = 256
