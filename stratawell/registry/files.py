@@ -14,6 +14,7 @@ from stratawell.registry.base import query, r, rounded
 from stratawell.registry.fixtures import RAW_SQL, STATIONS_SQL, raw_sheet, spread_lines, table, trajectory_documents
 from stratawell.session import scratch_path, spread
 from stratawell.sinks.tables import Lake
+from stratawell.sources.folders import write_files
 from stratawell.sources.production import POSITIONS, count_source_files, decode_workbooks, read_csv_sheet
 from stratawell.sources.trajectory import read_trajectories, route_document, route_documents, write_documents
 from stratawell.sources.welllogs import logs_long, logs_wide, parse_logs, read_log_lines, write_log_table
@@ -307,13 +308,16 @@ def route_files(spark, sf):
     root = scratch_path(spark, "documents")
     names = ("_wellInfo", "_wellboreInfo", "trajectory", "message", "bhaRun", "mudLog", "log")
     # Each page is a file of its own: one task would create them one by one.
-    pages = spread(table(spark, sf, "pages")).select("page_id", F.concat(F.lit("page "), F.col("page_id")).alias("value"))
-    for at, folder in enumerate(names):
-        for level, above in enumerate(("a", "a/b/c/d", "a/_u/c")):
-            chosen = pages.filter((F.col("page_id") % 7 == at) & (F.floor(F.col("page_id") / 7) % 3 == level))
-            # One file per page, under its own folder.
-            kept = chosen.select("value", F.col("page_id").alias("n"))
-            kept.write.partitionBy("n").text(f"{root}/{above}/{folder}")
+    pages = spread(table(spark, sf, "pages"))
+    above = F.get(F.array(*[F.lit(a) for a in ("a", "a/b/c/d", "a/_u/c")]), (F.floor(F.col("page_id") / 7) % 3).cast("int"))
+    kind = F.get(F.array(*[F.lit(n) for n in names]), (F.col("page_id") % 7).cast("int"))
+    # One file per page, under its own folder.
+    placed = pages.select(
+        F.concat(above, F.lit("/"), kind).alias("folder"),
+        F.col("page_id").alias("n"),
+        F.concat(F.lit("page "), F.col("page_id")).alias("value"),
+    )
+    write_files(placed.filter("folder IS NOT NULL"), root)
     found = route_documents(spark, root)
     page = F.regexp_extract("path", r"/n=([0-9]+)/[^/]+$", 1).cast("long")
     return found.select(page.alias("page_id"), "doc_type")
@@ -325,17 +329,19 @@ TAGS = ("well", "wellbore", "trajectory", "message", "bhaRun", "mudLog", "log")
 
 def documents_on_disk(spark, sf, root):
     """One XML file per page, in the folder of its type; some are cut short, some hold another element."""
-    pages = table(spark, sf, "pages")
-    for at, folder in enumerate(NAMES):
-        tag = F.when(F.col("page_id") % 13 == 5, "unknown").otherwise(TAGS[at])
-        name = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<name>n"), F.col("page_id"), F.lit("</name>"))).otherwise("")
-        text = F.concat(
-            F.lit('<?xml version="1.0"?><docs><'), tag, F.lit(' uid="u'), F.col("page_id"), F.lit('">'), name,
-            F.lit("<commonData><sourceName>s"), F.col("page_id") % 5, F.lit("</sourceName></commonData></"), tag, F.lit("></docs>"),
-        )
-        cut = F.when(F.col("page_id") % 11 == 3, F.substring(text, 1, 40)).otherwise(text)
-        kept = pages.filter(F.col("page_id") % 7 == at).select(cut.alias("value"), F.col("page_id").alias("n"))
-        kept.write.partitionBy("n").text(f"{root}/field/{folder}")
+    pages = spread(table(spark, sf, "pages"))
+    kind = (F.col("page_id") % 7).cast("int")
+    own = F.get(F.array(*[F.lit(t) for t in TAGS]), kind)
+    tag = F.when(F.col("page_id") % 13 == 5, "unknown").otherwise(own)
+    name = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<name>n"), F.col("page_id"), F.lit("</name>"))).otherwise("")
+    text = F.concat(
+        F.lit('<?xml version="1.0"?><docs><'), tag, F.lit(' uid="u'), F.col("page_id"), F.lit('">'), name,
+        F.lit("<commonData><sourceName>s"), F.col("page_id") % 5, F.lit("</sourceName></commonData></"), tag, F.lit("></docs>"),
+    )
+    cut = F.when(F.col("page_id") % 11 == 3, F.substring(text, 1, 40)).otherwise(text)
+    folder = F.concat(F.lit("field/"), F.get(F.array(*[F.lit(f) for f in NAMES]), kind))
+    placed = pages.select(folder.alias("folder"), F.col("page_id").alias("n"), cut.alias("value"))
+    write_files(placed.filter("folder IS NOT NULL"), root)
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from stratawell.config import DOCUMENT_ROUTES, ENTITY_PATTERN, STATION_DDL, WELLS_IN_SCOPE
 from stratawell.session import materialize
 from stratawell.sinks.tables import Lake
+from stratawell.sources.folders import list_files, local_path, read_files
 from stratawell.storage import any_file
 
 TRAJECTORY_DDL = (
@@ -106,9 +107,16 @@ def route_documents(spark: SparkSession, root: str) -> DataFrame:
     """All files below ``root`` with their type; contents are not read.
 
     Spark passes over folders whose name starts with an underscore, such as those of the well
-    and wellbore documents, so these are named by pattern.
+    and wellbore documents, so these are named by pattern where tasks cannot list the folder.
     """
     base = root.rstrip("/")
+    if any_file(spark, base) and (folder := local_path(spark, base)):
+        files = list_files(spark, folder).select(
+            F.concat(F.lit("file:"), "path").alias("path"),
+            F.timestamp_millis("modified").alias("modificationTime"),
+            "length",
+        )
+        return files.withColumn("doc_type", route_document(F.col("path")))
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     files = reader.load([base, *underscore_folders(spark, base)]).select(
         "path", "modificationTime", "length"
@@ -163,11 +171,16 @@ def read_routed_documents(spark: SparkSession, root: str, extra: Sequence[str] =
     """
     base = root.rstrip("/")
     tags = [*UNIVERSAL_TAGS, *extra]
-    files = (
-        spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-        .text([base, *underscore_folders(spark, base)])
-        .select(file_path().alias("source_path"), F.col("value").alias("_text"))
-    )
+    if any_file(spark, base) and (folder := local_path(spark, base)):
+        files = read_files(list_files(spark, folder)).select(
+            F.concat(F.lit("file://"), "path").alias("source_path"), F.col("content").cast("string").alias("_text")
+        )
+    else:
+        files = (
+            spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
+            .text([base, *underscore_folders(spark, base)])
+            .select(file_path().alias("source_path"), F.col("value").alias("_text"))
+        )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = files.select(
         "source_path",
