@@ -173,7 +173,7 @@ def read_routed_documents(spark: SparkSession, root: str, extra: Sequence[str] =
     tags = [*UNIVERSAL_TAGS, *extra]
     if any_file(spark, base) and (folder := local_path(spark, base)):
         files = read_files(list_files(spark, folder)).select(
-            F.concat(F.lit("file://"), "path").alias("source_path"), F.col("content").cast("string").alias("_text")
+            F.concat(F.lit("file:"), "path").alias("source_path"), F.col("content").cast("string").alias("_text")
         )
     else:
         files = (
